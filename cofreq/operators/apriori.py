@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from ..functions import empty_array
 from ..session import broadcast_if_small, materialize
 from .groupjoin import DEFAULT_MAX_GROUP, group_join, pairs_within
-from .support import (basket_stats, distinct_rows, frequent, item_support, keep_items,
-                      min_count, pair_occurrences, triple_support)
+from .support import (basket_stats, frequent, frequent_rows, pair_occurrences, prepare,
+                      triple_support)
 
 REPORTS = ("all", "exact_k", "last_level", "from_k")
 
@@ -92,25 +92,17 @@ def apriori(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "item
     if strategy not in ("pairs", "extend"):
         raise ValueError("strategy must be 'pairs' or 'extend'")
     raw = rows.select(tid, item).where(F.col(item).isNotNull())
-    rows = distinct_rows(raw, tid, item)
-    stats = basket_stats(rows, tid)
-    m = min_count(min_support, stats.n_baskets)
-    check = stats.max_basket > max_group
-    item_type = rows.schema[item].dataType
+    prep = prepare(raw, min_support, tid, item)
+    m = prep.threshold
+    item_type = prep.rows.schema[item].dataType
     stop = _stop_level(max_len, report, k)
 
-    l1 = frequent(item_support(raw if count_mode == "occurrence" else rows, tid, item,
-                               mode=count_mode), m)
-    l1 = materialize(l1.select(empty_array(item_type).alias("prefix"),
-                               F.col(item).alias("last"), "support"), "level-1")
+    l1, items, widest = frequent_rows(prep, tid, item, count_mode, raw)
+    check = widest > max_group
+    l1 = l1.select(empty_array(item_type).alias("prefix"), F.col(item).alias("last"), "support")
     levels = [l1]
     size = l1.count()
-    items = keep_items(rows, l1.select(F.col("last").alias(item)), item)
-    if strategy == "pairs":
-        occ = items.select(tid, empty_array(item_type).alias("prefix"), F.col(item).alias("last"))
-    else:
-        items = materialize(items, "frequent-rows")
-        occ = items.select(tid, empty_array(item_type).alias("prefix"), F.col(item).alias("last"))
+    occ = items.select(tid, empty_array(item_type).alias("prefix"), F.col(item).alias("last"))
     level = 1
     while size > 1 and (stop is None or level < stop):
         if strategy == "pairs":
@@ -151,18 +143,17 @@ def r_apriori(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "it
     candidates; with ``discard`` the baskets are cut to frequent items first.
     Pass 3 joins frequent-pair occurrences on their first item (CG-3).
     """
-    rows = distinct_rows(rows, tid, item)
-    stats = basket_stats(rows, tid)
-    m = min_count(min_support, stats.n_baskets)
-    check = stats.max_basket > max_group
-    item_type = rows.schema[item].dataType
-
-    l1 = materialize(frequent(item_support(rows, tid, item), m), "r-level-1")
+    prep = prepare(rows, min_support, tid, item)
+    m = prep.threshold
+    item_type = prep.rows.schema[item].dataType
+    l1, kept, widest = frequent_rows(prep, tid, item)
+    check = widest > max_group
     levels = [l1.select(empty_array(item_type).alias("prefix"), F.col(item).alias("last"),
                         "support")]
     if max_len >= 2:
-        pair_rows = keep_items(rows, l1, item) if discard else rows
-        pair_rows = materialize(pair_rows, "r-rows")
+        pair_rows = kept if discard else prep.rows
+        if not discard:
+            check = basket_stats(pair_rows, tid).max_basket > max_group
         occ = pair_occurrences(pair_rows, tid, item, max_group, check)
         l2 = materialize(frequent(occ.groupBy("item1", "item2")
                                   .agg(F.count(F.lit(1)).alias("support")), m), "r-level-2")

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small
+from ..session import broadcast_if_small, materialize
 from .groupjoin import DEFAULT_MAX_GROUP, group_join, pairs_within
 from .support import distinct_rows
 
@@ -46,23 +46,38 @@ def _without_position(itemset: str, pos: int):
 def count_containment(rows: DataFrame, cands: DataFrame, tid: str = "tid", item: str = "item",
                       itemset: str = "itemset", keep_zero: bool = True,
                       max_group: int = DEFAULT_MAX_GROUP) -> DataFrame:
-    """``(itemset, support)``: baskets holding every item of a candidate.
+    """``(itemset, support)``: baskets holding every item of a candidate (JN-1).
 
-    Candidate items are joined to basket rows on the item (a skew-safe join:
-    a hot item's rows and candidates are split into blocks), matches are
-    counted per (candidate, basket) and kept when all k items matched.
+    A prefix walk over the baskets restricted to candidate prefixes: start
+    with basket rows whose item begins some candidate, extend each partial
+    match by a later item of the same basket (skew-safe join on ``tid``) and
+    keep it only while it is still a prefix of some candidate.  Work grows
+    with the matches that exist, not with candidates x baskets.
     """
     rows = distinct_rows(rows, tid, item)
-    cand_items = cands.select(F.col(itemset).alias("_cand"),
-                              F.explode(itemset).alias(item))
-    hits = group_join(rows, cand_items, [item], left_spread=[tid], right_spread=["_cand"],
-                      max_group=max_group)
-    per_basket = hits.groupBy("_cand", tid).agg(F.count(F.lit(1)).alias("_hits"))
-    full = per_basket.where(F.col("_hits") == F.size("_cand"))
-    counts = full.groupBy("_cand").agg(F.count(F.lit(1)).alias("support"))
+    cset = cands.select(F.col(itemset).alias("_cand"))
+    k = cset.select(F.size("_cand").alias("k")).limit(1).collect()
+    if not k:
+        return cset.select(F.col("_cand").alias(itemset), F.lit(0).cast("bigint").alias("support"))
+    k = k[0]["k"]
+    firsts = broadcast_if_small(cset.select(F.col("_cand")[0].alias(item)).distinct())
+    used = broadcast_if_small(items_in_candidates(cset, "_cand", item))
+    rows = materialize(rows.join(used, item, "left_semi"), "candidate-rows")
+    part = rows.join(firsts, item, "left_semi").select(tid, F.array(item).alias("_pre"),
+                                                       F.col(item).alias("_last"))
+    nxt = rows.select(tid, F.col(item).alias("_next"))
+    for j in range(2, k + 1):
+        ext = group_join(part, nxt, [tid], left_spread=["_pre"], right_spread=["_next"],
+                         condition=F.col("_next") > F.col("_last"), max_group=max_group)
+        ext = ext.select(tid, F.concat("_pre", F.array("_next")).alias("_pre"),
+                         F.col("_next").alias("_last"))
+        prefixes = broadcast_if_small(cset.select(F.slice("_cand", 1, j).alias("_pre")).distinct())
+        part = ext.join(prefixes, "_pre", "left_semi")
+        if j < k:
+            part = materialize(part, f"containment-{j}")
+    counts = part.groupBy(F.col("_pre").alias("_cand")).agg(F.count(F.lit(1)).alias("support"))
     if keep_zero:
-        out = cands.select(F.col(itemset).alias("_cand")).join(counts, "_cand", "left") \
-            .fillna(0, ["support"])
+        out = cset.join(counts, "_cand", "left").fillna(0, ["support"])
     else:
         out = counts
     return out.select(F.col("_cand").alias(itemset), F.col("support").cast("bigint"))

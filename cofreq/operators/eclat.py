@@ -20,17 +20,18 @@ from ..session import broadcast_if_small, materialize
 from .apriori import _stop_level, level_result, select_report
 from .encode import dense_tids
 from .groupjoin import DEFAULT_MAX_GROUP, pairs_within
-from .support import basket_stats, distinct_rows, frequent, min_count
+from .support import distinct_rows, frequent, prepare
 
 
 def tid_bitsets(rows: DataFrame, tid: str = "tid", item: str = "item",
-                dense: bool = True) -> DataFrame:
+                dense: bool = True, already_distinct: bool = False) -> DataFrame:
     """``(item, word, bits)`` from long rows (AGG-8).
 
     ``dense=True`` renumbers transactions ``0..n-1`` first; ``False`` uses an
     integral, non-negative ``tid`` as it is.
     """
-    rows = distinct_rows(rows, tid, item)
+    if not already_distinct:
+        rows = distinct_rows(rows, tid, item)
     if dense:
         rows = dense_tids(rows, tid, "_dtid")
         t = F.col("_dtid")
@@ -50,13 +51,13 @@ def eclat(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "item",
           dense: bool = True, max_group: int = DEFAULT_MAX_GROUP) -> DataFrame:
     """Frequent itemsets by tidset intersection; same contract and result as
     :func:`cofreq.operators.apriori.apriori`."""
-    rows = distinct_rows(rows, tid, item)
-    stats = basket_stats(rows, tid)
-    m = min_count(min_support, stats.n_baskets)
-    item_type = rows.schema[item].dataType
+    prep = prepare(rows, min_support, tid, item)
+    m = prep.threshold
+    item_type = prep.rows.schema[item].dataType
     stop = _stop_level(max_len, report, k)
 
-    bits = materialize(tid_bitsets(rows, tid, item, dense), "bitsets-1")
+    bits = materialize(tid_bitsets(prep.rows, tid, item, dense, already_distinct=True),
+                       "bitsets-1")
     l1 = materialize(frequent(bitset_support(bits, [item]), m)
                      .select(empty_array(item_type).alias("prefix"),
                              F.col(item).alias("last"), "support"), "eclat-level-1")

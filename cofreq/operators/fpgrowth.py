@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .prepare import to_baskets
-from .support import basket_stats, distinct_rows, min_count
+from .support import prepare
 
 
 def fraction_for_count(m: int, n: int) -> float:
@@ -25,11 +25,10 @@ def fraction_for_count(m: int, n: int) -> float:
 def fpgrowth(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "item",
              num_partitions: int | None = None, max_len: int | None = None) -> DataFrame:
     """``(itemset, k, support)`` with sorted itemsets, like the other miners."""
-    rows = distinct_rows(rows, tid, item)
-    stats = basket_stats(rows, tid)
-    m = min_count(min_support, stats.n_baskets)
-    baskets = to_baskets(rows, tid, item, "items")
-    fp = FPGrowth(itemsCol="items", minSupport=fraction_for_count(m, max(stats.n_baskets, 1)),
+    prep = prepare(rows, min_support, tid, item)
+    m = prep.threshold
+    baskets = to_baskets(prep.rows, tid, item, "items")
+    fp = FPGrowth(itemsCol="items", minSupport=fraction_for_count(m, max(prep.n_baskets, 1)),
                   minConfidence=0.0)
     if num_partitions:
         fp = fp.setNumPartitions(int(num_partitions))
@@ -48,14 +47,13 @@ def fpgrowth_rules(rows: DataFrame, min_support, min_confidence: float, *,
                    num_partitions: int | None = None) -> DataFrame:
     """Spark's own rule generation on an FP-Growth model (MINE-6):
     ``(antecedent, consequent, confidence, lift, support)``."""
-    rows = distinct_rows(rows, tid, item)
-    stats = basket_stats(rows, tid)
-    m = min_count(min_support, stats.n_baskets)
-    fp = FPGrowth(itemsCol="items", minSupport=fraction_for_count(m, max(stats.n_baskets, 1)),
+    prep = prepare(rows, min_support, tid, item)
+    m = prep.threshold
+    fp = FPGrowth(itemsCol="items", minSupport=fraction_for_count(m, max(prep.n_baskets, 1)),
                   minConfidence=float(min_confidence))
     if num_partitions:
         fp = fp.setNumPartitions(int(num_partitions))
-    model = fp.fit(to_baskets(rows, tid, item, "items"))
+    model = fp.fit(to_baskets(prep.rows, tid, item, "items"))
     return model.associationRules.select(F.array_sort("antecedent").alias("antecedent"),
                                          F.col("consequent")[0].alias("consequent"),
                                          "confidence", "lift", "support")

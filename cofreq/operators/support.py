@@ -63,6 +63,39 @@ def basket_stats(rows: DataFrame, tid: str = "tid") -> BasketStats:
     return BasketStats(int(r["n"] or 0), int(r["m"] or 0))
 
 
+@dataclass(frozen=True)
+class Prepared:
+    """Distinct rows written once, the basket count and the threshold."""
+    rows: DataFrame
+    n_baskets: int
+    threshold: int
+
+
+def prepare(rows: DataFrame, min_support, tid: str = "tid", item: str = "item") -> Prepared:
+    """Write the distinct ``(tid, item)`` rows once (tokenising, dimension
+    joins and the dedup run a single time) and resolve the threshold."""
+    from ..session import materialize
+
+    rows = materialize(distinct_rows(rows, tid, item), "rows")
+    n = rows.select(tid).distinct().count()
+    return Prepared(rows, n, min_count(min_support, n))
+
+
+def frequent_rows(prep: Prepared, tid: str = "tid", item: str = "item",
+                  count_mode: str = "presence", raw: DataFrame | None = None
+                  ) -> tuple[DataFrame, DataFrame, int]:
+    """Frequent items ``(item, support)`` (written), the rows cut to them
+    (written) and the largest cut basket."""
+    from ..session import materialize
+
+    src = raw if count_mode == "occurrence" and raw is not None else prep.rows
+    l1 = materialize(frequent(item_support(src, tid, item, mode=count_mode), prep.threshold),
+                     "items")
+    kept = materialize(keep_items(prep.rows, l1, item), "frequent-rows")
+    widest = basket_stats(kept, tid).max_basket
+    return l1, kept, widest
+
+
 # ---------------------------------------------------------------- rows
 
 def distinct_rows(rows: DataFrame, tid: str = "tid", item: str = "item") -> DataFrame:
@@ -126,15 +159,14 @@ def pair_support(rows: DataFrame, min_support, tid: str = "tid", item: str = "it
     R-Apriori pass 2); without it every pair is generated and filtered
     afterwards (CG-2).  Both give the same result.
     """
-    rows = distinct_rows(rows, tid, item)
-    stats = basket_stats(rows, tid)
-    m = min_count(min_support, stats.n_baskets)
+    prep = prepare(rows, min_support, tid, item)
     if discard:
-        l1 = frequent(item_support(rows, tid, item), m)
-        rows = keep_items(rows, l1, item)
-    occ = pair_occurrences(rows, tid, item, max_group, check_hot=stats.max_basket > max_group)
+        _, rows, widest = frequent_rows(prep, tid, item)
+    else:
+        rows, widest = prep.rows, basket_stats(prep.rows, tid).max_basket
+    occ = pair_occurrences(rows, tid, item, max_group, check_hot=widest > max_group)
     counts = occ.groupBy("item1", "item2").agg(F.count(F.lit(1)).alias("support"))
-    return frequent(counts, m)
+    return frequent(counts, prep.threshold)
 
 
 def triple_support(rows: DataFrame, pairs: DataFrame, threshold: int,
