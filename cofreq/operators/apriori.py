@@ -23,8 +23,7 @@ from pyspark.sql import functions as F
 from ..functions import empty_array
 from ..session import broadcast_if_small, materialize
 from .groupjoin import DEFAULT_MAX_GROUP, group_join, pairs_within
-from .support import (basket_stats, frequent, frequent_rows, pair_occurrences, prepare,
-                      triple_support)
+from .support import frequent, frequent_rows, pair_occurrences, prepare, triple_support
 
 REPORTS = ("all", "exact_k", "last_level", "from_k")
 
@@ -97,7 +96,7 @@ def apriori(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "item
     item_type = prep.rows.schema[item].dataType
     stop = _stop_level(max_len, report, k)
 
-    l1, items, widest = frequent_rows(prep, tid, item, count_mode, raw)
+    l1, items, widest = frequent_rows(prep, tid, item, count_mode, raw, max_group)
     check = widest > max_group
     l1 = l1.select(empty_array(item_type).alias("prefix"), F.col(item).alias("last"), "support")
     levels = [l1]
@@ -127,7 +126,7 @@ def apriori(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "item
         levels.append(nxt)
         level += 1
         if size > 1 and (stop is None or level < stop):
-            keys = broadcast_if_small(nxt.select("prefix", "last"))
+            keys = broadcast_if_small(nxt.select("prefix", "last"), bound=size)
             occ = materialize(cand.join(keys, ["prefix", "last"], "left_semi"), f"occ-{level}")
         cand.unpersist()
     out = level_result(levels)
@@ -146,14 +145,14 @@ def r_apriori(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "it
     prep = prepare(rows, min_support, tid, item)
     m = prep.threshold
     item_type = prep.rows.schema[item].dataType
-    l1, kept, widest = frequent_rows(prep, tid, item)
+    l1, kept, widest = frequent_rows(prep, tid, item, max_group=max_group)
     check = widest > max_group
     levels = [l1.select(empty_array(item_type).alias("prefix"), F.col(item).alias("last"),
                         "support")]
     if max_len >= 2:
         pair_rows = kept if discard else prep.rows
         if not discard:
-            check = basket_stats(pair_rows, tid).max_basket > max_group
+            check = prep.max_basket > max_group
         occ = pair_occurrences(pair_rows, tid, item, max_group, check)
         l2 = materialize(frequent(occ.groupBy("item1", "item2")
                                   .agg(F.count(F.lit(1)).alias("support")), m), "r-level-2")

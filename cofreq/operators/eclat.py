@@ -63,7 +63,8 @@ def eclat(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "item",
                              F.col(item).alias("last"), "support"), "eclat-level-1")
     levels = [l1]
     size = l1.count()
-    tids = bits.join(broadcast_if_small(l1.select(F.col("last").alias(item))), item, "left_semi") \
+    l1_keys = broadcast_if_small(l1.select(F.col("last").alias(item)), bound=size)
+    tids = bits.join(l1_keys, item, "left_semi") \
         .select(empty_array(item_type).alias("prefix"), F.col(item).alias("last"), "word", "bits")
     tids = materialize(tids, "eclat-tids-1")
     # A (prefix, word) group never holds more items than the word held at
@@ -87,7 +88,7 @@ def eclat(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "item",
         levels.append(nxt)
         level += 1
         if size > 1 and (stop is None or level < stop):
-            keys = broadcast_if_small(nxt.select("prefix", "last"))
+            keys = broadcast_if_small(nxt.select("prefix", "last"), bound=size)
             tids = materialize(cand.join(keys, ["prefix", "last"], "left_semi"),
                                f"eclat-tids-{level}")
         cand.unpersist()

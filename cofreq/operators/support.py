@@ -54,45 +54,61 @@ def min_count(min_support, n_baskets: int) -> int:
 class BasketStats:
     n_baskets: int
     max_basket: int
+    n_rows: int = 0
 
 
 def basket_stats(rows: DataFrame, tid: str = "tid") -> BasketStats:
-    """Number of baskets and the largest basket, in one job (AGG-13)."""
+    """Number of baskets, the largest basket and the number of rows, in one
+    job (AGG-13)."""
     sizes = rows.groupBy(tid).agg(F.count(F.lit(1)).alias("_size"))
-    r = sizes.agg(F.count(F.lit(1)).alias("n"), F.max("_size").alias("m")).first()
-    return BasketStats(int(r["n"] or 0), int(r["m"] or 0))
+    r = sizes.agg(F.count(F.lit(1)).alias("n"), F.max("_size").alias("m"),
+                  F.sum("_size").alias("r")).first()
+    return BasketStats(int(r["n"] or 0), int(r["m"] or 0), int(r["r"] or 0))
 
 
 @dataclass(frozen=True)
 class Prepared:
-    """Distinct rows written once, the basket count and the threshold."""
+    """Distinct rows written once, their statistics and the threshold."""
     rows: DataFrame
     n_baskets: int
+    max_basket: int
+    n_rows: int
     threshold: int
 
+    @property
+    def frequent_item_bound(self) -> int:
+        """At most ``rows / threshold`` items can be frequent."""
+        return self.n_rows // max(self.threshold, 1)
+
 
 def prepare(rows: DataFrame, min_support, tid: str = "tid", item: str = "item") -> Prepared:
     """Write the distinct ``(tid, item)`` rows once (tokenising, dimension
-    joins and the dedup run a single time) and resolve the threshold."""
+    joins and the dedup run a single time), measure them in one job and
+    resolve the threshold."""
     from ..session import materialize
 
     rows = materialize(distinct_rows(rows, tid, item), "rows")
-    n = rows.select(tid).distinct().count()
-    return Prepared(rows, n, min_count(min_support, n))
+    st = basket_stats(rows, tid)
+    return Prepared(rows, st.n_baskets, st.max_basket, st.n_rows,
+                    min_count(min_support, st.n_baskets))
 
 
 def frequent_rows(prep: Prepared, tid: str = "tid", item: str = "item",
-                  count_mode: str = "presence", raw: DataFrame | None = None
-                  ) -> tuple[DataFrame, DataFrame, int]:
-    """Frequent items ``(item, support)`` (written), the rows cut to them
-    (written) and the largest cut basket."""
+                  count_mode: str = "presence", raw: DataFrame | None = None,
+                  max_group: int = DEFAULT_MAX_GROUP) -> tuple[DataFrame, DataFrame, int]:
+    """Frequent items ``(item, support)`` and the rows cut to them (both
+    written), and an upper bound of the largest cut basket."""
     from ..session import materialize
 
     src = raw if count_mode == "occurrence" and raw is not None else prep.rows
     l1 = materialize(frequent(item_support(src, tid, item, mode=count_mode), prep.threshold),
                      "items")
-    kept = materialize(keep_items(prep.rows, l1, item), "frequent-rows")
-    widest = basket_stats(kept, tid).max_basket
+    bound = prep.frequent_item_bound if count_mode == "presence" else None
+    kept = materialize(keep_items(prep.rows, l1, item, bound=bound), "frequent-rows")
+    widest = prep.max_basket
+    if widest > max_group:
+        # pruning may have made every basket small; measure only when it matters
+        widest = basket_stats(kept, tid).max_basket
     return l1, kept, widest
 
 
@@ -124,10 +140,12 @@ def frequent(counts: DataFrame, threshold: int, col: str = "support") -> DataFra
     return counts.where(F.col(col) >= F.lit(int(threshold)))
 
 
-def keep_items(rows: DataFrame, items: DataFrame, item: str = "item") -> DataFrame:
+def keep_items(rows: DataFrame, items: DataFrame, item: str = "item",
+               bound: int | None = None) -> DataFrame:
     """Keep rows whose item is in ``items`` (PRJ-5); a semi-join that
-    broadcasts the item list only when its measured size allows."""
-    return rows.join(broadcast_if_small(items.select(item)), item, "left_semi")
+    broadcasts the item list only when its size (proven ``bound`` or
+    measured) allows."""
+    return rows.join(broadcast_if_small(items.select(item), bound=bound), item, "left_semi")
 
 
 def trim_baskets(rows: DataFrame, items: DataFrame, min_items: int,
@@ -161,9 +179,9 @@ def pair_support(rows: DataFrame, min_support, tid: str = "tid", item: str = "it
     """
     prep = prepare(rows, min_support, tid, item)
     if discard:
-        _, rows, widest = frequent_rows(prep, tid, item)
+        _, rows, widest = frequent_rows(prep, tid, item, max_group=max_group)
     else:
-        rows, widest = prep.rows, basket_stats(prep.rows, tid).max_basket
+        rows, widest = prep.rows, prep.max_basket
     occ = pair_occurrences(rows, tid, item, max_group, check_hot=widest > max_group)
     counts = occ.groupBy("item1", "item2").agg(F.count(F.lit(1)).alias("support"))
     return frequent(counts, prep.threshold)

@@ -86,12 +86,20 @@ def row_count_at_most(df: DataFrame, limit: int) -> int | None:
     return n if n <= limit else None
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast-hint ``df`` only when its measured row count is within
-    ``limit``; otherwise leave the join strategy to Spark (shuffle join,
-    AQE may still switch at run time)."""
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_MAX_ROWS,
+                       bound: int | None = None) -> DataFrame:
+    """Broadcast-hint ``df`` only when its row count is within ``limit``;
+    otherwise leave the join strategy to Spark (shuffle join, AQE may still
+    switch at run time).
+
+    ``bound`` is a proven upper bound on the rows (e.g. a known count, or
+    rows / min_support for frequent items); when it is within the limit no
+    job is needed, otherwise the rows are counted (at most ``limit + 1``).
+    """
     from pyspark.sql import functions as F
 
+    if bound is not None and bound <= limit:
+        return F.broadcast(df)
     if row_count_at_most(df, limit) is not None:
         return F.broadcast(df)
     return df
