@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Rows below which a helper table (item list, hot-group list, dictionary,
 # level table) may be broadcast.  The count is measured, never assumed.
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_ROWS = 1_000_000
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
