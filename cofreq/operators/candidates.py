@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..session import broadcast_if_small, materialize
 from .groupjoin import DEFAULT_MAX_GROUP, group_join, pairs_within
-from .support import distinct_rows
+from .support import basket_stats, distinct_rows
 
 
 def candidates(level: DataFrame, itemset: str = "itemset", prune: bool = True,
@@ -63,12 +63,15 @@ def count_containment(rows: DataFrame, cands: DataFrame, tid: str = "tid", item:
     firsts = broadcast_if_small(cset.select(F.col("_cand")[0].alias(item)).distinct())
     used = broadcast_if_small(items_in_candidates(cset, "_cand", item))
     rows = materialize(rows.join(used, item, "left_semi"), "candidate-rows")
+    # a partial match never has more rows per basket than the basket itself
+    check = basket_stats(rows, tid).max_basket > max_group
     part = rows.join(firsts, item, "left_semi").select(tid, F.array(item).alias("_pre"),
                                                        F.col(item).alias("_last"))
     nxt = rows.select(tid, F.col(item).alias("_next"))
     for j in range(2, k + 1):
         ext = group_join(part, nxt, [tid], left_spread=["_pre"], right_spread=["_next"],
-                         condition=F.col("_next") > F.col("_last"), max_group=max_group)
+                         condition=F.col("_next") > F.col("_last"), max_group=max_group,
+                         check_hot=check)
         ext = ext.select(tid, F.concat("_pre", F.array("_next")).alias("_pre"),
                          F.col("_next").alias("_last"))
         prefixes = broadcast_if_small(cset.select(F.slice("_cand", 1, j).alias("_pre")).distinct())

@@ -40,13 +40,14 @@ def dense_ids(df: DataFrame, order: Sequence[Column], id_col: str = "id",
 
 
 def build_dictionary(rows: DataFrame, tid: str = "tid", item: str = "item",
-                     order: str = "desc", start: int = 1) -> DataFrame:
+                     order: str = "desc", start: int = 1,
+                     already_distinct: bool = False) -> DataFrame:
     """``(item, item_id, support)``: one dense id per distinct item (ENC-1).
 
     ``order='desc'`` numbers the most frequent item first, ``'asc'`` the
     rarest first (rare prefixes keep the miners' groups small); ties by item.
     """
-    sup = item_support(rows, tid, item)
+    sup = item_support(rows, tid, item, already_distinct=already_distinct)
     first = F.desc("support") if order == "desc" else F.asc("support")
     return dense_ids(sup, [first, F.asc(item)], "item_id", start) \
         .select(item, "item_id", "support")
@@ -96,6 +97,7 @@ def encoded_rows(rows: DataFrame, tid: str = "tid", item: str = "item",
                  order: str = "asc") -> tuple[DataFrame, DataFrame]:
     """Distinct rows with items replaced by dense ids; returns
     ``(rows(tid, item_id), dictionary)``."""
-    rows = distinct_rows(rows, tid, item)
-    dictionary = materialize(build_dictionary(rows, tid, item, order), "dictionary")
+    rows = materialize(distinct_rows(rows, tid, item), "rows")
+    dictionary = materialize(build_dictionary(rows, tid, item, order, already_distinct=True),
+                             "dictionary")
     return encode(rows, dictionary, item), dictionary

@@ -100,9 +100,11 @@ def frequent_rows(prep: Prepared, tid: str = "tid", item: str = "item",
     written), and an upper bound of the largest cut basket."""
     from ..session import materialize
 
-    src = raw if count_mode == "occurrence" and raw is not None else prep.rows
-    l1 = materialize(frequent(item_support(src, tid, item, mode=count_mode), prep.threshold),
-                     "items")
+    if count_mode == "occurrence" and raw is not None:
+        counts = item_support(raw, tid, item, mode="occurrence")
+    else:
+        counts = item_support(prep.rows, tid, item, mode=count_mode, already_distinct=True)
+    l1 = materialize(frequent(counts, prep.threshold), "items")
     bound = prep.frequent_item_bound if count_mode == "presence" else None
     kept = materialize(keep_items(prep.rows, l1, item, bound=bound), "frequent-rows")
     widest = prep.max_basket
@@ -120,17 +122,17 @@ def distinct_rows(rows: DataFrame, tid: str = "tid", item: str = "item") -> Data
 
 
 def item_support(rows: DataFrame, tid: str = "tid", item: str = "item",
-                 mode: str = "presence") -> DataFrame:
+                 mode: str = "presence", already_distinct: bool = False) -> DataFrame:
     """``(item, support)``.
 
     ``presence`` counts baskets containing the item (AGG-1); ``occurrence``
     counts rows, so an item repeated inside a basket counts more than once
-    (AGG-2).
+    (AGG-2).  ``already_distinct`` skips the dedup for rows that are sets.
     """
-    if mode == "presence":
-        rows = distinct_rows(rows, tid, item)
-    elif mode != "occurrence":
+    if mode not in ("presence", "occurrence"):
         raise ValueError("mode must be 'presence' or 'occurrence'")
+    if mode == "presence" and not already_distinct:
+        rows = distinct_rows(rows, tid, item)
     return (rows.where(F.col(item).isNotNull())
             .groupBy(item).agg(F.count(F.lit(1)).alias("support")))
 

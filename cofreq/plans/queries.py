@@ -25,6 +25,7 @@ from ..operators.prepare import clean_rows, profile, to_baskets
 from ..operators.rules import association_rules
 from ..operators.support import (basket_stats, distinct_rows, frequent, item_support,
                                   min_count, pair_support, trim_baskets)
+from ..session import materialize
 from . import catalog as C
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,9 +86,9 @@ WITH b AS ({BRAND}), {N}
 SELECT item, count(*) AS support FROM b GROUP BY item
 HAVING count(*) * 10 >= (SELECT n FROM n)""")
 def item_support_q(spark, d):
-    rows = distinct_rows(C.order_brand_rows(spark, d))
+    rows = materialize(distinct_rows(C.order_brand_rows(spark, d)), "brand-rows")
     m = min_count(Fraction(1, 10), basket_stats(rows).n_baskets)
-    return frequent(item_support(rows), m)
+    return frequent(item_support(rows, already_distinct=True), m)
 
 
 @register("item_occurrence", """
@@ -130,9 +131,9 @@ k AS (SELECT b.* FROM b SEMI JOIN f USING (item)),
 big AS (SELECT tid FROM k GROUP BY tid HAVING count(*) >= 2)
 SELECT tid, item FROM k SEMI JOIN big USING (tid)""")
 def basket_trim_q(spark, d):
-    rows = distinct_rows(C.order_column_rows(spark, d, "l_suppkey"))
+    rows = materialize(distinct_rows(C.order_column_rows(spark, d, "l_suppkey")), "supp-rows")
     m = min_count(Fraction(4, 100), basket_stats(rows).n_baskets)
-    return trim_baskets(rows, frequent(item_support(rows), m), 2)
+    return trim_baskets(rows, frequent(item_support(rows, already_distinct=True), m), 2)
 
 
 @register("basket_contains", f"""
@@ -233,7 +234,7 @@ t AS (SELECT x.item AS item1, y.item AS item2, z.item AS item3, count(*) AS supp
       FROM b x JOIN b y ON x.tid = y.tid AND x.item < y.item JOIN b z ON z.tid = x.tid AND y.item < z.item GROUP BY 1, 2, 3)
 SELECT c.item1, c.item2, c.item3, coalesce(t.support, 0) AS support FROM c LEFT JOIN t USING (item1, item2, item3)""")
 def candidate_containment_q(spark, d):
-    rows = distinct_rows(C.order_brand_rows(spark, d))
+    rows = materialize(distinct_rows(C.order_brand_rows(spark, d)), "brand-rows")
     l2 = apriori(rows, Fraction(2, 100), max_len=2, report="exact_k", k=2)
     cand = candidates(l2)
     return _as_columns(count_containment(rows, cand).withColumn("k", F.size("itemset")), 3)
