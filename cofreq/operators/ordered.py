@@ -34,10 +34,16 @@ def ordered_patterns(rows: DataFrame, min_support, *, tid: str = "tid", item: st
     """``(pattern ARRAY<item>, k INT, support BIGINT)``.
 
     ``order`` are the columns giving the order inside a basket; rows that
-    tie on all of them are ordered arbitrarily but consistently.
+    tie on all of them are ordered arbitrarily but consistently (fixed once
+    the events are written).
     """
-    pos = F.struct(*[F.col(c) for c in order], F.monotonically_increasing_id().alias("_uid"))
-    ev = materialize(rows.where(F.col(item).isNotNull()).select(tid, item, pos.alias("pos")),
+    # After a distributed sort by (tid, order...), monotonically_increasing_id
+    # grows along the sort order, so it is a BIGINT position that compares
+    # correctly inside every basket; the range sort also spreads one huge
+    # basket over several partitions.  Written once, so positions are fixed.
+    sorted_ev = rows.where(F.col(item).isNotNull()).select(tid, item, *order) \
+        .orderBy(tid, *order)
+    ev = materialize(sorted_ev.select(tid, item, F.monotonically_increasing_id().alias("pos")),
                      "ordered-events")
     stats = basket_stats(ev.select(tid).distinct(), tid)
     m = min_count(min_support, stats.n_baskets)

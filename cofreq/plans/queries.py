@@ -319,7 +319,7 @@ FROM r JOIN f a ON a.items = list_filter(r.items, lambda x: x <> r.consequent)
 WHERE r.support * 1000 >= 488 * a.support""")
 def association_rules_q(spark, d):
     rows = C.order_type_rows(spark, d)
-    n = basket_stats(distinct_rows(rows)).n_baskets
+    n = rows.select("tid").distinct().count()
     sets = apriori(rows, Fraction(1, 100))
     rules = association_rules(sets, Fraction(488, 1000), n_baskets=n)
     ppm = F.call_function("div", F.col("support") * F.lit(1_000_000), F.col("antecedent_support"))
