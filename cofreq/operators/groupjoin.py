@@ -40,43 +40,26 @@ def hot_groups(df: DataFrame, keys: Sequence[str], name: str, max_group: int) ->
             .select(*keys, F.ceil(F.col("_rows") / F.lit(max_group)).cast("int").alias(name)))
 
 
-def group_join(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
-               left_spread: Sequence[str], right_spread: Sequence[str],
-               condition: Column | None = None,
-               max_group: int = DEFAULT_MAX_GROUP,
-               same_sizes: bool = False,
-               check_hot: bool = True) -> DataFrame:
-    """Inner join of ``left`` and ``right`` on ``keys`` (plus ``condition``)
-    in which no task holds more than about ``2 * max_group`` rows of a key.
-
-    ``left_spread`` / ``right_spread`` are columns that vary inside a group
-    (e.g. the item); their hash picks a row's block.  ``same_sizes`` says the
-    two sides have equal group sizes (a self-join), so sizes are measured
-    once.  ``check_hot=False`` skips the measurement when the caller has
-    already proven every group is small.
-    """
-    keys = list(keys)
-
-    def plain() -> DataFrame:
-        joined = left.join(right, keys, "inner")
-        return joined.where(condition) if condition is not None else joined
-
-    if not check_hot:
-        return plain()
-
+def _measure_hot(left: DataFrame, right: DataFrame | None, keys: list[str],
+                 max_group: int) -> DataFrame | None:
+    """The hot groups with block counts ``_nl`` / ``_nr`` (written and, when
+    its measured size allows, broadcast), or None when there are none.
+    ``right=None`` means a self-join: sizes are measured once."""
     hot_l = hot_groups(left, keys, "_nl", max_group)
-    if same_sizes:
+    if right is None:
         hot = hot_l.select(*keys, "_nl", F.col("_nl").alias("_nr"))
     else:
-        hot_r = hot_groups(right, keys, "_nr", max_group)
-        hot = hot_l.join(hot_r, keys, "full")
+        hot = hot_l.join(hot_groups(right, keys, "_nr", max_group), keys, "full")
     if hot.limit(1).count() == 0:
-        return plain()
-
+        return None
     hot = materialize(hot.fillna(1, ["_nl", "_nr"]), "hot-groups")
     if row_count_at_most(hot, BROADCAST_MAX_ROWS) is not None:
         hot = F.broadcast(hot)
+    return hot
+
 
+def _blocked_join(left: DataFrame, right: DataFrame, keys: list[str], hot: DataFrame,
+                  left_spread: Sequence[str], right_spread: Sequence[str]) -> DataFrame:
     def blocked(side: DataFrame, own: str, other: str, spread: Sequence[str],
                 own_blk: str, other_blk: str) -> DataFrame:
         n_own = F.coalesce(F.col(own), F.lit(1))
@@ -88,7 +71,31 @@ def group_join(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
 
     lb = blocked(left, "_nl", "_nr", left_spread, "_bl", "_br")
     rb = blocked(right, "_nr", "_nl", right_spread, "_br", "_bl")
-    joined = lb.join(rb, keys + ["_bl", "_br"], "inner").drop("_bl", "_br")
+    return lb.join(rb, keys + ["_bl", "_br"], "inner").drop("_bl", "_br")
+
+
+def group_join(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
+               left_spread: Sequence[str], right_spread: Sequence[str],
+               condition: Column | None = None,
+               max_group: int = DEFAULT_MAX_GROUP,
+               same_sizes: bool = False,
+               check_hot: bool = True) -> DataFrame:
+    """Inner join of ``left`` and ``right`` on ``keys`` (plus ``condition``)
+    in which no task holds more than about ``2 * max_group`` rows of a key.
+
+    ``left_spread`` / ``right_spread`` are columns that vary inside a group
+    (e.g. the item); their hash picks a row's block.  ``same_sizes`` says the
+    two sides have equal group sizes (a self-join), so sizes are measured
+    once.  ``check_hot=False`` skips the measurement when the caller has
+    already proven every group is small.
+    """
+    keys = list(keys)
+    hot = _measure_hot(left, None if same_sizes else right, keys, max_group) \
+        if check_hot else None
+    if hot is None:
+        joined = left.join(right, keys, "inner")
+    else:
+        joined = _blocked_join(left, right, keys, hot, left_spread, right_spread)
     return joined.where(condition) if condition is not None else joined
 
 
@@ -99,13 +106,26 @@ def pairs_within(df: DataFrame, keys: Sequence[str], item: str, *,
 
     Output columns: ``keys``, ``item_a``, ``item_b`` and ``p_a``, ``p_b`` for
     each payload column ``p``.  Items must be distinct inside a group.
+    Without hot groups this is a self-join of one plan, so Spark shuffles the
+    rows once and reuses the exchange for the other side.
     """
     sa, sb = suffixes
+    keys = list(keys)
+    cols = [item, *payload]
+    base = df.select(*keys, *cols)
+    hot = _measure_hot(base, None, keys, max_group) if check_hot else None
+    if hot is None:
+        a, b = base.alias("_pa"), base.alias("_pb")
+        cond = F.col(f"_pa.{item}") < F.col(f"_pb.{item}")
+        for k in keys:
+            cond = (F.col(f"_pa.{k}") == F.col(f"_pb.{k}")) & cond
+        return a.join(b, cond, "inner").select(
+            *[F.col(f"_pa.{k}").alias(k) for k in keys],
+            *[F.col(f"_pa.{c}").alias(c + sa) for c in cols],
+            *[F.col(f"_pb.{c}").alias(c + sb) for c in cols])
 
     def side(sfx: str) -> DataFrame:
-        return df.select(*keys, *[F.col(c).alias(c + sfx) for c in [item, *payload]])
+        return base.select(*keys, *[F.col(c).alias(c + sfx) for c in cols])
 
-    return group_join(side(sa), side(sb), keys,
-                      left_spread=[item + sa], right_spread=[item + sb],
-                      condition=F.col(item + sa) < F.col(item + sb),
-                      max_group=max_group, same_sizes=True, check_hot=check_hot)
+    joined = _blocked_join(side(sa), side(sb), keys, hot, [item + sa], [item + sb])
+    return joined.where(F.col(item + sa) < F.col(item + sb))
