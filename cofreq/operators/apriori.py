@@ -77,7 +77,8 @@ def _stop_level(max_len: int | None, report: str, k: int | None) -> int | None:
 def apriori(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "item",
             max_len: int | None = None, report: str = "all", k: int | None = None,
             count_mode: str = "presence", strategy: str = "pairs",
-            max_group: int = DEFAULT_MAX_GROUP) -> DataFrame:
+            max_group: int = DEFAULT_MAX_GROUP, min_basket_size: int | None = None,
+            num_partitions: int | None = None) -> DataFrame:
     """Frequent itemsets of long rows ``(tid, item)``.
 
     ``min_support``: absolute count (int) or share of baskets (float /
@@ -87,11 +88,13 @@ def apriori(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "item
     occurrences that share a prefix (JN-5); ``'extend'`` extends every
     frequent set found in a basket by each later frequent item of that basket
     (CG-5, the prefix-tree walk); both give the same itemsets.
+    ``min_basket_size`` / ``num_partitions`` see :func:`support.prepare`.
     """
     if strategy not in ("pairs", "extend"):
         raise ValueError("strategy must be 'pairs' or 'extend'")
     raw = rows.select(tid, item).where(F.col(item).isNotNull())
-    prep = prepare(raw, min_support, tid, item)
+    prep = prepare(raw, min_support, tid, item, min_basket_size=min_basket_size,
+                   num_partitions=num_partitions)
     m = prep.threshold
     item_type = prep.rows.schema[item].dataType
     stop = _stop_level(max_len, report, k)

@@ -48,10 +48,12 @@ def bitset_support(bitsets: DataFrame, keys=("item",)) -> DataFrame:
 
 def eclat(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "item",
           max_len: int | None = None, report: str = "all", k: int | None = None,
-          dense: bool = True, max_group: int = DEFAULT_MAX_GROUP) -> DataFrame:
+          dense: bool = True, max_group: int = DEFAULT_MAX_GROUP,
+          min_basket_size: int | None = None, num_partitions: int | None = None) -> DataFrame:
     """Frequent itemsets by tidset intersection; same contract and result as
     :func:`cofreq.operators.apriori.apriori`."""
-    prep = prepare(rows, min_support, tid, item)
+    prep = prepare(rows, min_support, tid, item, min_basket_size=min_basket_size,
+                   num_partitions=num_partitions)
     m = prep.threshold
     item_type = prep.rows.schema[item].dataType
     stop = _stop_level(max_len, report, k)

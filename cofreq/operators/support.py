@@ -81,13 +81,26 @@ class Prepared:
         return self.n_rows // max(self.threshold, 1)
 
 
-def prepare(rows: DataFrame, min_support, tid: str = "tid", item: str = "item") -> Prepared:
+def prepare(rows: DataFrame, min_support, tid: str = "tid", item: str = "item", *,
+            min_basket_size: int | None = None,
+            num_partitions: int | None = None) -> Prepared:
     """Write the distinct ``(tid, item)`` rows once (tokenising, dimension
     joins and the dedup run a single time), measure them in one job and
-    resolve the threshold."""
+    resolve the threshold.
+
+    ``min_basket_size`` drops baskets with fewer distinct items (PRJ-8, off
+    by default; a relative threshold then counts the kept baskets).
+    ``num_partitions`` hash-partitions the written rows by ``tid`` into that
+    many partitions (SRC-6).
+    """
     from ..session import materialize
 
-    rows = materialize(distinct_rows(rows, tid, item), "rows")
+    rows = distinct_rows(rows, tid, item)
+    if min_basket_size and min_basket_size > 1:
+        rows = keep_baskets(rows, min_basket_size, tid)
+    if num_partitions:
+        rows = rows.repartition(int(num_partitions), tid)
+    rows = materialize(rows, "rows")
     st = basket_stats(rows, tid)
     return Prepared(rows, st.n_baskets, st.max_basket, st.n_rows,
                     min_count(min_support, st.n_baskets))
@@ -150,14 +163,18 @@ def keep_items(rows: DataFrame, items: DataFrame, item: str = "item",
     return rows.join(broadcast_if_small(items.select(item), bound=bound), item, "left_semi")
 
 
+def keep_baskets(rows: DataFrame, min_items: int, tid: str = "tid") -> DataFrame:
+    """Keep baskets with at least ``min_items`` rows (PRJ-7 with 2, PRJ-8)."""
+    big = (rows.groupBy(tid).agg(F.count(F.lit(1)).alias("_n"))
+           .where(F.col("_n") >= F.lit(min_items)).select(tid))
+    return rows.join(big, tid, "left_semi")
+
+
 def trim_baskets(rows: DataFrame, items: DataFrame, min_items: int,
                  tid: str = "tid", item: str = "item") -> DataFrame:
     """Keep only the listed items, then drop baskets with fewer than
     ``min_items`` of them (PRJ-6, PRJ-7)."""
-    kept = keep_items(distinct_rows(rows, tid, item), items, item)
-    big = (kept.groupBy(tid).agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") >= F.lit(min_items)).select(tid))
-    return kept.join(big, tid, "left_semi")
+    return keep_baskets(keep_items(distinct_rows(rows, tid, item), items, item), min_items, tid)
 
 
 # ---------------------------------------------------------------- pairs, triples
