@@ -20,12 +20,14 @@ from .support import distinct_rows, item_support
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row position in the low 33 bits
 
 
-def dense_ids(df: DataFrame, order: Sequence[Column], id_col: str = "id",
+def dense_ids(df: DataFrame, order: Sequence[Column] | None, id_col: str = "id",
               start: int = 1) -> DataFrame:
     """Add ``id_col`` = ``start, start+1, ...`` following ``order`` (a total
-    order, so ids are deterministic)."""
-    ranked = materialize(df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id()),
-                         "dense-ids")
+    order, so ids are deterministic).  With ``order=None`` the ids are dense
+    and unique in whatever order the partitions hold, with no sort at all;
+    they are fixed once written."""
+    src = df.orderBy(*order) if order else df
+    ranked = materialize(src.withColumn("_mid", F.monotonically_increasing_id()), "dense-ids")
     part = F.shiftright(F.col("_mid"), _LOCAL_BITS)
     local = F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
     sizes = ranked.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
@@ -86,10 +88,13 @@ def with_tid(df: DataFrame, tid: str = "tid") -> DataFrame:
     return df.withColumn(tid, F.monotonically_increasing_id())
 
 
-def dense_tids(rows: DataFrame, tid: str = "tid", dense: str = "dtid") -> DataFrame:
-    """Add dense ids ``0..n-1`` for the transactions of long rows, in tid
-    order; tid bitsets need dense ids to avoid empty words."""
-    ids = dense_ids(rows.select(tid).distinct(), [F.asc(tid)], dense, start=0)
+def dense_tids(rows: DataFrame, tid: str = "tid", dense: str = "dtid",
+               ordered: bool = False) -> DataFrame:
+    """Add dense ids ``0..n-1`` for the transactions of long rows; tid
+    bitsets need dense ids to avoid empty words.  Ids follow tid order only
+    when ``ordered`` (that costs a global sort)."""
+    ids = dense_ids(rows.select(tid).distinct(), [F.asc(tid)] if ordered else None,
+                    dense, start=0)
     return rows.join(ids, tid, "inner")
 
 
