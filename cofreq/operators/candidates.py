@@ -55,13 +55,15 @@ def count_containment(rows: DataFrame, cands: DataFrame, tid: str = "tid", item:
     with the matches that exist, not with candidates x baskets.
     """
     rows = distinct_rows(rows, tid, item)
-    cset = cands.select(F.col(itemset).alias("_cand"))
-    k = cset.select(F.size("_cand").alias("k")).limit(1).collect()
-    if not k:
+    cset = materialize(cands.select(F.col(itemset).alias("_cand")), "candidates")
+    n_cand = cset.count()
+    if n_cand == 0:
         return cset.select(F.col("_cand").alias(itemset), F.lit(0).cast("bigint").alias("support"))
-    k = k[0]["k"]
-    firsts = broadcast_if_small(cset.select(F.col("_cand")[0].alias(item)).distinct())
-    used = broadcast_if_small(items_in_candidates(cset, "_cand", item))
+    k = cset.select(F.size("_cand").alias("k")).first()["k"]
+    # every helper table below has at most n_cand * k rows
+    bound = n_cand * k
+    firsts = broadcast_if_small(cset.select(F.col("_cand")[0].alias(item)).distinct(), bound=bound)
+    used = broadcast_if_small(items_in_candidates(cset, "_cand", item), bound=bound)
     rows = materialize(rows.join(used, item, "left_semi"), "candidate-rows")
     # a partial match never has more rows per basket than the basket itself
     check = basket_stats(rows, tid).max_basket > max_group
@@ -74,7 +76,8 @@ def count_containment(rows: DataFrame, cands: DataFrame, tid: str = "tid", item:
                          check_hot=check)
         ext = ext.select(tid, F.concat("_pre", F.array("_next")).alias("_pre"),
                          F.col("_next").alias("_last"))
-        prefixes = broadcast_if_small(cset.select(F.slice("_cand", 1, j).alias("_pre")).distinct())
+        prefixes = broadcast_if_small(cset.select(F.slice("_cand", 1, j).alias("_pre")).distinct(),
+                                      bound=n_cand)
         part = ext.join(prefixes, "_pre", "left_semi")
         if j < k:
             part = materialize(part, f"containment-{j}")

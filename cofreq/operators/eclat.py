@@ -41,6 +41,12 @@ def tid_bitsets(rows: DataFrame, tid: str = "tid", item: str = "item",
             .agg(F.bit_or(bit_mask(t)).alias("bits")))
 
 
+def merge_tidsets(bitsets: DataFrame, keys=("itemset",)) -> DataFrame:
+    """OR together the tidsets of equal itemsets, word by word (AGG-10,
+    SET-4); only needed when one itemset was built along several paths."""
+    return bitsets.groupBy(*keys, "word").agg(F.bit_or("bits").alias("bits"))
+
+
 def bitset_support(bitsets: DataFrame, keys=("item",)) -> DataFrame:
     """``(keys..., support)`` = number of set bits (AGG-9)."""
     return bitsets.groupBy(*keys).agg(F.sum(popcount("bits")).cast("bigint").alias("support"))

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from cofreq import functions as CF
 from cofreq.operators.apriori import apriori
-from cofreq.operators.eclat import eclat, tid_bitsets
+from cofreq.operators.eclat import eclat, merge_tidsets, tid_bitsets
 from cofreq.operators.encode import decode
 from cofreq.operators.prepare import ordered_baskets, profile, to_baskets
 from cofreq.operators.support import keep_baskets
@@ -72,3 +72,10 @@ def test_min_basket_size_and_partitions(spark):
     assert as_dict(apriori(rows, 2)) == {(1,): 3, (2,): 2, (1, 2): 2}
     assert as_dict(apriori(rows, 2, min_basket_size=2)) == {(1,): 2, (2,): 2, (1, 2): 2}
     assert as_dict(eclat(rows, 2, num_partitions=3)) == as_dict(apriori(rows, 2))
+
+
+def test_merge_tidsets(spark):
+    df = spark.createDataFrame([([1, 2], 0, 5), ([1, 2], 0, 2), ([1, 2], 1, 1), ([3], 0, 1)],
+                               "itemset array<int>, word bigint, bits bigint")
+    got = {(tuple(r["itemset"]), r["word"]): r["bits"] for r in merge_tidsets(df).collect()}
+    assert got == {((1, 2), 0): 7, ((1, 2), 1): 1, ((3,), 0): 1}
