@@ -390,3 +390,39 @@ FROM fb x JOIN fb y ON x.tid = y.tid AND x.item < y.item
 GROUP BY 1, 2 HAVING count(*) * 5 >= (SELECT n FROM n)""")
 def doc_terms_pairs_q(spark, d):
     return pair_support(C.document_word_rows(spark, d), Fraction(1, 5))
+
+
+# ------------------------------------------------------------------ more report modes and options
+
+@register("eclat_exact_3", f"SELECT * FROM ({TYPE_117}) WHERE k = 3")
+def eclat_exact_3_q(spark, d):
+    return _as_text(eclat(C.order_type_rows(spark, d), Fraction(117, 1000), report="exact_k", k=3))
+
+
+@register("r_apriori_no_discard", f"""
+WITH b AS ({BRAND}), {N}
+SELECT x.item AS item1, y.item AS item2, z.item AS item3, count(*) AS support
+FROM b x JOIN b y ON x.tid = y.tid AND x.item < y.item JOIN b z ON z.tid = x.tid AND y.item < z.item
+GROUP BY 1, 2, 3 HAVING count(*) * 1000 >= 3 * (SELECT n FROM n)""")
+def r_apriori_no_discard_q(spark, d):
+    res = r_apriori(C.order_brand_rows(spark, d), Fraction(3, 1000), discard=False,
+                    report="exact_k", k=3)
+    return _as_columns(res, 3)
+
+
+@register("apriori_min_basket_3", _all_itemsets_sql(
+    f"SELECT * FROM ({TYPE}) WHERE tid IN (SELECT tid FROM ({TYPE}) GROUP BY tid HAVING count(*) >= 3)",
+    5, 100))
+def apriori_min_basket_3_q(spark, d):
+    return _as_text(apriori(C.order_type_rows(spark, d), Fraction(5, 100), min_basket_size=3))
+
+
+@register("doc_word_support", """
+WITH b AS (SELECT DISTINCT tid, item FROM (
+             SELECT doc_id AS tid, unnest(regexp_split_to_array(text, '[ \t\n\r]+')) AS item
+             FROM documents WHERE text IS NOT NULL) WHERE item <> ''),
+n AS (SELECT count(DISTINCT tid) AS n FROM b)
+SELECT item, count(*) AS support FROM b GROUP BY item HAVING count(*) * 5 >= (SELECT n FROM n)""")
+def doc_word_support_q(spark, d):
+    res = apriori(C.document_word_rows(spark, d), Fraction(1, 5), max_len=1)
+    return res.select(F.col("itemset")[0].alias("item"), "support")
