@@ -13,6 +13,7 @@ skew-safe join on ``tid`` with ``position > end`` (no per-basket arrays).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.fpm import PrefixSpan
@@ -45,7 +46,7 @@ def ordered_patterns(rows: DataFrame, min_support, *, tid: str = "tid", item: st
         .orderBy(tid, *order)
     ev = materialize(sorted_ev.select(tid, item, F.monotonically_increasing_id().alias("pos")),
                      "ordered-events")
-    stats = basket_stats(ev.select(tid).distinct(), tid)
+    stats = basket_stats(ev, tid)  # baskets and the longest sequence, one job
     m = min_count(min_support, stats.n_baskets)
     stop = max_len
     if report == "exact_k" and k is not None:
@@ -63,8 +64,13 @@ def ordered_patterns(rows: DataFrame, min_support, *, tid: str = "tid", item: st
     nxt_ev = ev.select(tid, F.col(item).alias("_next"), F.col("pos").alias("_npos"))
     level = 1
     while stop is None or level < stop:
+        # a sequence of length L holds at most C(L, k) distinct k-patterns, so
+        # with both sides provably small the hot-group measurement is skipped
+        longest = stats.max_basket
+        check = longest > max_group or math.comb(longest, level) > max_group
         ext = group_join(occ, nxt_ev, [tid], left_spread=["pattern"], right_spread=["_npos"],
-                         condition=F.col("_npos") > F.col("end"), max_group=max_group)
+                         condition=F.col("_npos") > F.col("end"), max_group=max_group,
+                         check_hot=check)
         cand = (ext.groupBy(tid, F.concat("pattern", F.array("_next")).alias("pattern"))
                 .agg(F.min("_npos").alias("end"))).persist()
         lv = materialize(frequent(cand.groupBy("pattern").agg(F.count(F.lit(1)).alias("support")),
