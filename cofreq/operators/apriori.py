@@ -156,17 +156,18 @@ def r_apriori(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "it
         pair_rows = kept if discard else prep.rows
         if not discard:
             check = prep.max_basket > max_group
-        occ = pair_occurrences(pair_rows, tid, item, max_group, check)
+        occ = pair_occurrences(pair_rows, tid, item, max_group, check).persist()
         l2 = materialize(frequent(occ.groupBy("item1", "item2")
                                   .agg(F.count(F.lit(1)).alias("support")), m), "r-level-2")
         if l2.count() > 0:
             levels.append(l2.select(F.array("item1").alias("prefix"),
                                     F.col("item2").alias("last"), "support"))
         if max_len >= 3 and len(levels) == 2:
-            l3 = materialize(triple_support(pair_rows, l2, m, tid, item, max_group, check),
-                             "r-level-3")
+            l3 = materialize(triple_support(pair_rows, l2, m, tid, item, max_group, check,
+                                            occurrences=occ), "r-level-3")
             if l3.count() > 0:
                 levels.append(l3.select(F.array("item1", "item2").alias("prefix"),
                                         F.col("item3").alias("last"), "support"))
+        occ.unpersist()
     out = level_result(levels)
     return select_report(out, report, k, out[0])

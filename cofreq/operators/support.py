@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import broadcast_if_small
-from .groupjoin import DEFAULT_MAX_GROUP, group_join, pairs_within
+from .groupjoin import DEFAULT_MAX_GROUP, pairs_within
 
 
 # ---------------------------------------------------------------- thresholds
@@ -208,25 +208,23 @@ def pair_support(rows: DataFrame, min_support, tid: str = "tid", item: str = "it
 
 def triple_support(rows: DataFrame, pairs: DataFrame, threshold: int,
                    tid: str = "tid", item: str = "item",
-                   max_group: int = DEFAULT_MAX_GROUP, check_hot: bool = True) -> DataFrame:
+                   max_group: int = DEFAULT_MAX_GROUP, check_hot: bool = True,
+                   occurrences: DataFrame | None = None) -> DataFrame:
     """Frequent triples ``(item1, item2, item3, support)`` from frequent
     pairs (CG-3, AGG-4).
 
     Pair occurrences of frequent pairs are joined on ``(tid, item1)``: two
     frequent pairs ``(a, b)``, ``(a, c)`` in one basket give ``(a, b, c)``,
     which is kept if ``(b, c)`` is frequent too.  Items come out sorted.
+    ``occurrences`` are the pair occurrences if the caller already has them.
     """
-    occ = pair_occurrences(rows, tid, item, max_group, check_hot)
+    occ = occurrences if occurrences is not None else \
+        pair_occurrences(rows, tid, item, max_group, check_hot)
     occ = occ.join(broadcast_if_small(pairs.select("item1", "item2")),
                    ["item1", "item2"], "left_semi")
-    tri = group_join(
-        occ.select(tid, "item1", F.col("item2").alias("b")),
-        occ.select(tid, "item1", F.col("item2").alias("c")),
-        [tid, "item1"], left_spread=["b"], right_spread=["c"],
-        condition=F.col("b") < F.col("c"), max_group=max_group, same_sizes=True,
-        check_hot=check_hot)
-    bc = pairs.select(F.col("item1").alias("b"), F.col("item2").alias("c"))
-    tri = tri.join(broadcast_if_small(bc), ["b", "c"], "left_semi")
-    counts = tri.groupBy("item1", F.col("b").alias("item2"), F.col("c").alias("item3")) \
+    tri = pairs_within(occ, [tid, "item1"], "item2", max_group=max_group, check_hot=check_hot)
+    bc = pairs.select(F.col("item1").alias("item2_a"), F.col("item2").alias("item2_b"))
+    tri = tri.join(broadcast_if_small(bc), ["item2_a", "item2_b"], "left_semi")
+    counts = tri.groupBy("item1", F.col("item2_a").alias("item2"), F.col("item2_b").alias("item3")) \
         .agg(F.count(F.lit(1)).alias("support"))
     return frequent(counts, threshold)
