@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import empty_array
-from ..session import broadcast_if_small, materialize
+from ..session import broadcast_if_small, materialize, release
 from .groupjoin import DEFAULT_MAX_GROUP, group_join, pairs_within
 from .support import frequent, frequent_rows, pair_occurrences, prepare, triple_support
 
@@ -128,10 +128,14 @@ def apriori(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "item
             break
         levels.append(nxt)
         level += 1
+        done = occ
         if size > 1 and (stop is None or level < stop):
             keys = broadcast_if_small(nxt.select("prefix", "last"), bound=size)
             occ = materialize(cand.join(keys, ["prefix", "last"], "left_semi"), f"occ-{level}")
         cand.unpersist()
+        if done is not occ:
+            release(done)
+    release(occ, items, prep.rows)
     out = level_result(levels)
     return select_report(out, report, k, out[0])
 
@@ -169,5 +173,6 @@ def r_apriori(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "it
                 levels.append(l3.select(F.array("item1", "item2").alias("prefix"),
                                         F.col("item3").alias("last"), "support"))
         occ.unpersist()
+    release(kept, prep.rows)
     out = level_result(levels)
     return select_report(out, report, k, out[0])

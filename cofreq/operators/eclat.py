@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import bit_mask, bit_word, empty_array, popcount
-from ..session import broadcast_if_small, materialize
+from ..session import broadcast_if_small, materialize, release
 from .apriori import _stop_level, level_result, select_report
 from .encode import dense_tids
 from .groupjoin import DEFAULT_MAX_GROUP, pairs_within
@@ -95,10 +95,14 @@ def eclat(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "item",
             break
         levels.append(nxt)
         level += 1
+        done = tids
         if size > 1 and (stop is None or level < stop):
             keys = broadcast_if_small(nxt.select("prefix", "last"), bound=size)
             tids = materialize(cand.join(keys, ["prefix", "last"], "left_semi"),
                                f"eclat-tids-{level}")
         cand.unpersist()
+        if done is not tids:
+            release(done)
+    release(tids, bits, prep.rows)
     out = level_result(levels)
     return select_report(out, report, k, out[0])

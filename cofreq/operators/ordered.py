@@ -20,7 +20,7 @@ from pyspark.ml.fpm import PrefixSpan
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small, materialize
+from ..session import broadcast_if_small, materialize, release
 from .apriori import select_report
 from .fpgrowth import fraction_for_count
 from .groupjoin import DEFAULT_MAX_GROUP, group_join
@@ -59,6 +59,7 @@ def ordered_patterns(rows: DataFrame, min_support, *, tid: str = "tid", item: st
     if l1.count() == 0:
         return _result(levels, report, k)
     keep = broadcast_if_small(l1.select(item))
+    all_ev = ev
     ev = materialize(ev.join(keep, item, "left_semi"), "ordered-frequent-events")
     occ = first.join(keep, item, "left_semi").select(tid, F.array(item).alias("pattern"), "end")
     nxt_ev = ev.select(tid, F.col(item).alias("_next"), F.col("pos").alias("_npos"))
@@ -80,10 +81,14 @@ def ordered_patterns(rows: DataFrame, min_support, *, tid: str = "tid", item: st
             break
         levels.append(lv)
         level += 1
+        done = occ
         if stop is None or level < stop:
             occ = materialize(cand.join(broadcast_if_small(lv.select("pattern")), "pattern",
                                         "left_semi"), f"ordered-occ-{level}")
         cand.unpersist()
+        if done is not occ:
+            release(done)
+    release(occ, ev, all_ev)
     return _result(levels, report, k)
 
 

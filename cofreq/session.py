@@ -74,7 +74,25 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_root(spark).rstrip('/')}/cofreq/{tag}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cofreq_path = path  # lets release() remove the table later
+    return out
+
+
+def release(*dfs: DataFrame | None) -> None:
+    """Delete tables written by :func:`materialize` once nothing will read
+    them again (intermediate rows and occurrence tables of finished levels),
+    so repeated runs do not fill the shared checkpoint folder.  Results are
+    never discarded: they keep reading their level tables."""
+    for df in dfs:
+        path = getattr(df, "_cofreq_path", None) if df is not None else None
+        if not path:
+            continue
+        spark = df.sparkSession
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+        df._cofreq_path = None
 
 
 def row_count_at_most(df: DataFrame, limit: int) -> int | None:

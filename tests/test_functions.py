@@ -79,3 +79,23 @@ def test_merge_tidsets(spark):
                                "itemset array<int>, word bigint, bits bigint")
     got = {(tuple(r["itemset"]), r["word"]): r["bits"] for r in merge_tidsets(df).collect()}
     assert got == {((1, 2), 0): 7, ((1, 2), 1): 1, ((3,), 0): 1}
+
+
+def test_finished_intermediate_tables_are_released(spark):
+    import os
+
+    from cofreq.session import checkpoint_root, materialize, release
+
+    rows = spark.createDataFrame([(t, i) for t in range(30) for i in range(t % 5 + 1)],
+                                 "tid bigint, item int")
+    res = apriori(rows, 3)
+    before = as_dict(res)
+    assert as_dict(res) == before          # the result still reads its level tables
+    t = materialize(rows, "scratch")
+    path = t._cofreq_path
+    root = checkpoint_root(spark)
+    local = path[len("file:"):] if path.startswith("file:") else path
+    if root.startswith("file:") or root.startswith("/"):
+        assert os.path.exists(local)
+        release(t)
+        assert not os.path.exists(local)
