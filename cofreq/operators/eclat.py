@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import bit_mask, bit_word, empty_array, popcount
 from ..session import broadcast_if_small, materialize, release
 from .apriori import _stop_level, level_result, select_report
-from .encode import dense_tids
+from .encode import dense_ids
 from .groupjoin import DEFAULT_MAX_GROUP, pairs_within
 from .support import distinct_rows, frequent, prepare
 
@@ -30,15 +30,24 @@ def tid_bitsets(rows: DataFrame, tid: str = "tid", item: str = "item",
     ``dense=True`` renumbers transactions ``0..n-1`` first; ``False`` uses an
     integral, non-negative ``tid`` as it is.
     """
+    return _bitsets(rows, tid, item, dense, already_distinct)[0]
+
+
+def _bitsets(rows: DataFrame, tid: str, item: str, dense: bool,
+             already_distinct: bool) -> tuple[DataFrame, DataFrame | None]:
+    """Bitsets and the dense-id table they read (to release once written)."""
     if not already_distinct:
         rows = distinct_rows(rows, tid, item)
+    ids = None
     if dense:
-        rows = dense_tids(rows, tid, "_dtid")
+        ids = dense_ids(rows.select(tid).distinct(), None, "_dtid", start=0)
+        rows = rows.join(ids, tid, "inner")
         t = F.col("_dtid")
     else:
         t = F.col(tid).cast("bigint")
-    return (rows.groupBy(F.col(item), bit_word(t).alias("word"))
+    bits = (rows.groupBy(F.col(item), bit_word(t).alias("word"))
             .agg(F.bit_or(bit_mask(t)).alias("bits")))
+    return bits, ids
 
 
 def merge_tidsets(bitsets: DataFrame, keys=("itemset",)) -> DataFrame:
@@ -64,8 +73,9 @@ def eclat(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "item",
     item_type = prep.rows.schema[item].dataType
     stop = _stop_level(max_len, report, k)
 
-    bits = materialize(tid_bitsets(prep.rows, tid, item, dense, already_distinct=True),
-                       "bitsets-1")
+    raw_bits, ids = _bitsets(prep.rows, tid, item, dense, already_distinct=True)
+    bits = materialize(raw_bits, "bitsets-1")
+    release(ids)
     l1 = materialize(frequent(bitset_support(bits, [item]), m)
                      .select(empty_array(item_type).alias("prefix"),
                              F.col(item).alias("last"), "support"), "eclat-level-1")

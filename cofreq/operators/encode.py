@@ -36,9 +36,11 @@ def dense_ids(df: DataFrame, order: Sequence[Column] | None, id_col: str = "id",
         (F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)))
         .alias("_off"))
     offsets = F.broadcast(offsets.fillna(0, ["_off"]))  # one row per partition
-    return (ranked.join(offsets, part == F.col("_part"))
-            .withColumn(id_col, (F.col("_off") + local + F.lit(start)).cast("bigint"))
-            .drop("_mid", "_part", "_off"))
+    out = (ranked.join(offsets, part == F.col("_part"))
+           .withColumn(id_col, (F.col("_off") + local + F.lit(start)).cast("bigint"))
+           .drop("_mid", "_part", "_off"))
+    out._cofreq_path = ranked._cofreq_path  # release(out) frees the written ranking
+    return out
 
 
 def build_dictionary(rows: DataFrame, tid: str = "tid", item: str = "item",
