@@ -20,6 +20,29 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+#: Rows of one Arrow batch sent to Python: whole texts can be long, and two
+#: workers share an executor's memory with the JVM.
+ARROW_ROWS = 512
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of the session's Python stages."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+
+
+#: Columns that name a row by its content.
+KEY = ("__k0", "__k1", "__k2")
+
+
+def with_key(docs: DataFrame, *content: str) -> DataFrame:
+    """Adds the columns of ``KEY``, never null: whether doc_id is null, doc_id,
+    and a hash of the ``content`` columns.  They carry a decision on narrow
+    rows back to whole ones; rows equal in all three are interchangeable."""
+    return (docs.withColumn(KEY[0], F.col("doc_id").isNull())
+            .withColumn(KEY[1], F.coalesce("doc_id", F.lit(0)))
+            .withColumn(KEY[2], F.xxhash64(*content)))
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """Components of an undirected graph as ``(node, component)`` rows, where
     ``component`` is the smallest node reachable.

@@ -31,11 +31,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from cofreq.llm.common import connected_components
+from cofreq.llm.common import KEY, connected_components, small_batches, with_key
 from cofreq.session import materialize
 
 #: Fingerprints of one task's batch, and variants that a shuffle part aims at.
-BATCH, PART = 2048, 1_000_000
+BATCH, PART = 512, 500_000
 #: Variants per fingerprint on average.
 EMITTED = 561
 
@@ -90,6 +90,7 @@ def with_fingerprint(docs: DataFrame, ngram: int = 3, text: str = "text",
     repeats count.  A null or empty text has fingerprint zero.  Existing
     columns are kept; one called ``name`` is replaced.
     """
+    small_batches(docs.sparkSession)
     docs = docs.drop(name) if name in docs.columns else docs
     out = StructType([*docs.schema.fields, StructField(name, LongType())])
     at = docs.columns.index(text)
@@ -98,8 +99,8 @@ def with_fingerprint(docs: DataFrame, ngram: int = 3, text: str = "text",
         target = None
         for batch in batches:
             fps = np.empty(batch.num_rows, dtype=np.int64)
-            for lo in range(0, batch.num_rows, 256):
-                texts = batch.column(at).slice(lo, 256).to_pylist()
+            for lo in range(0, batch.num_rows, 128):
+                texts = batch.column(at).slice(lo, 128).to_pylist()
                 hashes: list[int] = []
                 offsets = [0]
                 for t in texts:
@@ -256,18 +257,13 @@ def keep_one(docs: DataFrame, ngram: int = 3) -> DataFrame:
     doc_id (nulls last), then of the smallest hash of its text; of rows equal
     in both any one.  Columns stay as they are."""
     cols = docs.columns
-    hashed = with_fingerprint(docs.select("doc_id", "text"), ngram, name="__fp").withColumn(
-        "__row", F.struct(F.col("doc_id").isNull().alias("__k0"),
-                          F.coalesce("doc_id", F.lit(0)).alias("__k1"),
-                          F.xxhash64("text").alias("__k2")))
-    narrow = materialize(hashed.select(F.col("__fp").alias("fingerprint"), "__row"), "simhash")
+    hashed = with_key(with_fingerprint(docs.select("doc_id", "text"), ngram, name="__fp"), "text")
+    narrow = materialize(hashed.select(F.col("__fp").alias("fingerprint"),
+                                       F.struct(*KEY).alias("__row")), "simhash")
     groups = fingerprint_groups(narrow)
     best = (narrow.groupBy("fingerprint").agg(F.min("__row").alias("__row"))
-            .join(groups, "fingerprint").groupBy("root").agg(F.min("__row").alias("__row")))
-    names = ["__k0", "__k1", "__k2"]
-    best = best.select("__row.*").distinct()
-    once = Window.partitionBy(*names).orderBy(F.lit(0))
-    left = docs.withColumn("__k0", F.col("doc_id").isNull()).withColumn(
-        "__k1", F.coalesce("doc_id", F.lit(0))).withColumn("__k2", F.xxhash64("text"))
-    return (left.join(best, names, "left_semi")
-            .withColumn("__n", F.row_number().over(once)).where("__n = 1").select(*cols))
+            .join(groups, "fingerprint").groupBy("root").agg(F.min("__row").alias("__row"))
+            .select("__row.*").distinct())
+    nth = F.row_number().over(Window.partitionBy(*KEY).orderBy(F.lit(0)))
+    return (with_key(docs, "text").join(best, list(KEY), "left_semi")
+            .withColumn("__n", nth).where("__n = 1").select(*cols))
