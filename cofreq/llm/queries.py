@@ -8,16 +8,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cofreq.llm import simhash
+from cofreq.llm import mixing, secrets, simhash
 from cofreq.llm.common import table
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"), ngram=3)
 
 
 QUERIES = {
+    "op1_secrets": op1_secrets,
+    "op5_mixing": op5_mixing,
     "op10_simhash": op10_simhash,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_mixing": mixing.ORACLE,
+}
