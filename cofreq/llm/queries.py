@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cofreq.llm import mixing, secrets, simhash
+from cofreq.llm import mixing, secrets, simhash, toxicity
 from cofreq.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
@@ -26,6 +30,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secrets": op1_secrets,
+    "op2_toxicity": op2_toxicity,
     "op5_mixing": op5_mixing,
     "op10_simhash": op10_simhash,
 }

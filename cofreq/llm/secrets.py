@@ -100,7 +100,8 @@ def _with_kind(docs: DataFrame, name: str, pattern: str, kind: int) -> DataFrame
 
 def with_matches(docs: DataFrame) -> DataFrame:
     """Adds ``__base``, the base spans by start, and ``__tokens``, the spans
-    the models are to judge: long tokens that touch no base span."""
+    the models are to judge: long tokens that hold a letter and touch no base
+    span (plain numbers and rules of dashes are no secrets)."""
     for name, pattern, kind in (("__assign", ASSIGN, 0), ("__access", ACCESS, 1),
                                 ("__hex", HEX, 2), ("__tokens", TOKEN, 3)):
         docs = _with_kind(docs, name, pattern, kind)
@@ -109,7 +110,7 @@ def with_matches(docs: DataFrame) -> DataFrame:
         F.regexp_extract(s["value"], ASSIGN, 2).alias("value")))
     long_enough = F.filter(value, lambda s: F.char_length(s["value"]) >= MIN_ASSIGN)
     docs = docs.withColumn("__base", _by_place(F.concat(long_enough, F.col("__access"), F.col("__hex"))))
-    free = F.filter("__tokens", lambda t: ~F.exists(
+    free = F.filter("__tokens", lambda t: t["value"].rlike("[A-Za-z]") & ~F.exists(
         "__base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
     return docs.withColumn("__tokens", free).drop("__assign", "__access", "__hex")
 
