@@ -42,8 +42,8 @@ class Model:
         return float(sigmoid(self.bias + self.weights[slots].sum(dtype=np.float64)))
 
 
-def fit(positive: Rows, unlabelled: Rows, prior: float, steps: int = 300, rate: float = 0.05,
-        decay: float = 2e-5) -> Model:
+def fit(positive: Rows, unlabelled: Rows, prior: float, steps: int = 250, rate: float = 0.05,
+        decay: float = 1e-4) -> Model:
     """Linear classifier of the least non-negative PU risk with logistic loss
     (full-batch Adam; no randomness).  Without positive texts or a prior
     everything scores 0."""

@@ -37,7 +37,7 @@ def test_awkward_rows(spark):
     docs = spark.createDataFrame(
         [(i, f"you scum number {i % 7} of it", 1.0) for i in range(0, 60, 2)]
         + [(i, f"a kind word number {i % 7} of it", 0.0) for i in range(1, 300, 2)]
-        + [(1000, None, 0.0), (1001, "", 0.0), (None, "scum of it", 0.0), (1001, "", 0.0), (1002, "x" * 100_000, 0.0)],
+        + [(1000, None, 0.0), (1001, "", 0.0), (None, "you scum of it", 0.0), (1001, "", 0.0), (1002, "x" * 100_000, 0.0)],
         "doc_id bigint, text string, score double")
     labels = spark.createDataFrame([(i, 1, "a") for i in range(0, 30, 2)] + [(i, 0, "a") for i in range(1, 160, 2)]
                                    + [(None, 1, "a"), (5, None, "a"), (9, 0, "a")], "doc_id bigint, toxic int, text string")
