@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cofreq.llm import mixing, packing, secrets, simhash, toxicity
+from cofreq.llm import dac, mixing, packing, secrets, simhash, toxicity
 from cofreq.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_dac(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dac.encode_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_pieces(table(spark, sf_dir, "documents"))
 
@@ -36,6 +40,7 @@ QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_toxicity": op2_toxicity,
     "op5_mixing": op5_mixing,
+    "op6_dac": op6_dac,
     "op8_packing": op8_packing,
     "op10_simhash": op10_simhash,
 }
