@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cofreq.llm import dac, mixing, packing, secrets, simhash, toxicity
+from cofreq.llm import dac, mixing, packing, secrets, simhash, substring, toxicity
 from cofreq.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
@@ -39,6 +43,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_toxicity": op2_toxicity,
+    "op4_substring": op4_substring,
     "op5_mixing": op5_mixing,
     "op6_dac": op6_dac,
     "op8_packing": op8_packing,
