@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cofreq.llm import dac, mixing, packing, secrets, simhash, substring, toxicity
+from cofreq.llm import dac, embed_dedup, mixing, packing, secrets, simhash, substring, toxicity
 from cofreq.llm.common import table
 
 
@@ -32,6 +32,10 @@ def op6_dac(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.encode_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_pieces(table(spark, sf_dir, "documents"))
 
@@ -46,6 +50,7 @@ QUERIES = {
     "op4_substring": op4_substring,
     "op5_mixing": op5_mixing,
     "op6_dac": op6_dac,
+    "op7_embed_dedup": op7_embed_dedup,
     "op8_packing": op8_packing,
     "op10_simhash": op10_simhash,
 }
