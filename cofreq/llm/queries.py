@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cofreq.llm import dac, embed_dedup, mixing, packing, secrets, simhash, substring, toxicity
+from cofreq.llm import dac, embed_dedup, mixing, packing, secrets, simhash, substring, topk, toxicity
 from cofreq.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.embedding_top_k(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
 def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
 
@@ -47,6 +51,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_toxicity": op2_toxicity,
+    "op3_topk": op3_topk,
     "op4_substring": op4_substring,
     "op5_mixing": op5_mixing,
     "op6_dac": op6_dac,
@@ -56,5 +61,6 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op3_topk": topk.ORACLE,
     "op5_mixing": mixing.ORACLE,
 }
