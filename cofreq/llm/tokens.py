@@ -1,10 +1,18 @@
 """Encoding whole texts with a public tokenizer file.
 
-Both tokenizers used here split a text before merging, and no piece they merge
-spans a blank or line feed that stands alone between other characters.  So the
-ids of a text are those of its pieces one after the other, and a process can
-remember the ids of pieces it has met.  Texts where that can't be said plainly
-(white space in a row or at an end) are encoded as a whole.
+The tokenizers library defines the ids.  Most of its time goes into splitting
+and keeping offsets, so two ways to the same ids come first:
+
+* Texts of plain Latin characters are merged by tiktoken, from the vocabulary
+  and merges of the same file.  That needs a vocabulary numbered in the order of
+  its merges and one of the two splitting rules below; both are checked when the
+  file is read.
+* Of other texts, both rules split before merging, and no piece they merge spans
+  a blank or line feed that stands alone between other characters.  So the ids
+  of a text are those of its pieces one after the other, and a process can
+  remember the ids of pieces it has met.
+
+All else (white space in a row, other tokenizer files) is encoded as a whole.
 """
 
 from __future__ import annotations
@@ -27,6 +35,67 @@ _PIECE = re.compile(r"[ \n]?[^ \n]+")
 _OTHER_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
+#: Texts that tiktoken may merge: byte-level files, and files with word ends.
+_LATIN = re.compile("[\t\n\r -~¡-¬®-įı-ſ–—‘’“”…•€]*")
+_LATIN_WORDS = re.compile("[\t\n\r -&(-~À-ÖØ-öø-ÿ]*")
+#: Splitting rule of byte-level files, fixed by the tokenizers library, and
+#: that of the file with word ends, as it stands there.
+BYTE_RULE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+WORD_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Between two pieces of WORD_RULE, in lower-case _LATIN_WORDS without white
+#: space: after letters or a digit, or before them.
+_BETWEEN = re.compile("(?<=[a-zß-öø-ÿ])(?=[^a-zß-öø-ÿ\0])|(?<=[0-9])(?=[^\0])|(?<=[^a-zß-öø-ÿ0-9\0])(?=[a-zß-öø-ÿ0-9])")
+
+
+def _byte_of() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for:
+    visible Latin-1 characters for themselves, the rest from 256 on."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    hidden = [b for b in range(256) if b not in shown]
+    return {**{chr(b): b for b in shown}, **{chr(256 + i): b for i, b in enumerate(hidden)}}
+
+
+def _merger(path: str):
+    """A tiktoken encoding for a tokenizer file, and whether it marks word
+    ends; None if the file's rules are others than those known here."""
+    import json
+
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    model, pre, norm = file["model"], file["pre_tokenizer"] or {}, file["normalizer"]
+    if model.get("type") != "BPE" or any(model.get(k) for k in (
+            "dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges")):
+        return None
+    vocab, suffix = model["vocab"], model.get("end_of_word_suffix") or ""
+    merged = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+    merged = [a.replace(suffix, "") + suffix if suffix and a.endswith(suffix) else a for a in merged]
+    first = 512 if suffix else 256
+    if any(vocab.get(t) != first + i for i, t in enumerate(merged)):
+        return None
+    byte_level = {"type": "ByteLevel", "add_prefix_space": False}
+    of = _byte_of()
+    if not suffix:
+        if norm is not None or any(pre.get(k) != v for k, v in {**byte_level, "use_regex": True}.items()):
+            return None
+        ranks = {bytes(of[c] for c in t): i for t, i in vocab.items() if i < first + len(merged)}
+        return tiktoken.Encoding("file", pat_str=BYTE_RULE, mergeable_ranks=ranks, special_tokens={}), False
+    steps, rules = (norm or {}).get("normalizers", []), pre.get("pretokenizers", [])
+    if ([x["type"] for x in steps] != ["NFC", "Replace", "Lowercase"] or len(rules) != 2
+            or steps[1].get("pattern") != {"Regex": r"\s+"} or steps[1].get("content") != " "
+            or rules[0].get("pattern") != {"Regex": WORD_RULE} or not rules[0].get("invert")
+            or any(rules[1].get(k) != v for k, v in {**byte_level, "use_regex": False}.items())):
+        return None
+    # a zero byte stands for the end of a word
+    ranks = {}
+    for t, i in vocab.items():
+        if i < first + len(merged):
+            ends = t.endswith(suffix)
+            ranks[bytes(of[c] for c in (t[:-len(suffix)] if ends else t)) + (b"\0" if ends else b"")] = i
+    return tiktoken.Encoding("file", pat_str="[^\\x00]+\\x00", mergeable_ranks=ranks, special_tokens={}), True
+
+
 def _plain(text: str) -> bool:
     """Whether all white space is single blanks and line feeds inside the text."""
     return not (text[0] in " \n" or text[-1] in " \n" or "  " in text or "\n\n" in text
@@ -59,6 +128,7 @@ class Encoder:
         self.end = np.array([end_id], self.dtype).tobytes()
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.merger, self.ends_marked = _merger(path) or (None, False)
         # ids that end a word, or that begin with the blank or line feed before it
         self.cuts = np.zeros(size, dtype=bool)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
@@ -66,6 +136,21 @@ class Encoder:
         for t, i in vocabulary.items():
             self.cuts[i] = t.endswith("</w>") if self.word_ends else t[0] in "ĠĊ"
 
+    def _merged(self, text: str) -> bytes | None:
+        """Ids of a text that tiktoken can merge to the same ids."""
+        if self.merger is None or "<|" in text:
+            return None
+        if self.ends_marked:
+            if not _LATIN_WORDS.fullmatch(text):
+                return None
+            text = "\0".join(text.lower().split())
+            if not text:
+                return b""
+            text = _BETWEEN.sub("\0", text) + "\0"
+        elif not _LATIN.fullmatch(text):
+            return None
+        return self.merger.encode_to_numpy(text).astype(self.dtype).tobytes()
+
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in found]
@@ -104,6 +189,8 @@ class Encoder:
 
     def encode_many(self, texts: list[str | None]) -> list[bytes]:
         """Ids of whole texts (null: empty), each with the end id, packed."""
+        done = [self._merged(t) if t else b"" for t in texts]
+        texts = [t if d is None else None for t, d in zip(texts, done)]
         split = [_PIECE.findall(t) if t and _plain(t) else None for t in texts]
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known
@@ -116,8 +203,8 @@ class Encoder:
             known.update(self._pieces(list(missing)))
         whole = iter(self._whole([t for t, pieces in zip(texts, split) if t and pieces is None]))
         get = known.__getitem__
-        out = [(b"".join(map(get, pieces)) if pieces else next(whole) if t else b"") + self.end
-               for t, pieces in zip(texts, split)]
+        out = [(b"".join(map(get, pieces)) if pieces else next(whole) if t else d) + self.end
+               for t, pieces, d in zip(texts, split, done)]
         for p in [p for p in missing if len(p) > LONGEST]:
             del known[p]
         return out

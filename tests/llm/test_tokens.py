@@ -47,6 +47,33 @@ def test_any_texts(name, end, texts):
     same(name, end, texts)
 
 
+LATIN = [chr(c) for c in [9, 10, 13, *range(32, 127), *range(0xA1, 0x180), 0x2013, 0x2019, 0x2026, 0x20AC]]
+
+
+@pytest.mark.parametrize("name,end", FILES)
+@settings(max_examples=400, deadline=None)
+@given(texts=st.lists(st.lists(st.one_of(st.sampled_from(LATIN), st.sampled_from(
+    [" the", "ing", " ", ".", "ß", "Ä", "ció", "1", "''", "<|endoftext|>", "'s", "'RE", "!!", "\n\n", "  "])),
+    max_size=25).map("".join), max_size=4))
+def test_latin_texts(name, end, texts):
+    same(name, end, texts)
+
+
+@pytest.mark.parametrize("name,end", FILES)
+def test_both_files_are_merged_directly(name, end):
+    assert pair(name, end)[0].merger is not None
+
+
+@pytest.mark.parametrize("name,end", FILES)
+def test_without_the_merger(name, end):
+    import pyarrow.parquet as pq
+    own, plain = pair(name, end)
+    slow = tokens.Encoder(tokens.tokenizer_path(name), end)
+    slow.merger = None
+    texts = pq.read_table("/root/testdata/sf0.001/documents.parquet")["text"].to_pylist()
+    assert slow.encode_many(texts) == own.encode_many(texts)
+
+
 @pytest.mark.parametrize("name,end", FILES)
 def test_nulls_and_forgetting(name, end, monkeypatch):
     monkeypatch.setattr(tokens, "REMEMBERED", 20)
