@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cofreq.llm import dac, embed_dedup, mixing, packing, secrets, simhash, substring, topk, toxicity
+from cofreq.llm import dac, embed_dedup, mixing, packing, quality, secrets, simhash, substring, topk, toxicity
 from cofreq.llm.common import table
 
 
@@ -44,6 +44,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_pieces(table(spark, sf_dir, "documents"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"), ngram=3)
 
@@ -57,6 +61,7 @@ QUERIES = {
     "op6_dac": op6_dac,
     "op7_embed_dedup": op7_embed_dedup,
     "op8_packing": op8_packing,
+    "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
 }
 
