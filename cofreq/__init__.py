@@ -8,7 +8,7 @@ from .operators.apriori import apriori, r_apriori
 from .operators.candidates import candidates, count_containment, items_in_candidates
 from .operators.eclat import eclat, tid_bitsets
 from .operators.encode import build_dictionary, decode, dense_ids, encode, encoded_rows
-from .operators.fpgrowth import fpgrowth, fpgrowth_rules
+from .operators.fpgrowth import fpgrowth
 from .operators.groupjoin import group_join, pairs_within
 from .operators.ordered import ordered_patterns, prefixspan
 from .operators.prepare import clean_rows, ordered_baskets, profile, to_baskets
@@ -17,7 +17,7 @@ from .operators.support import item_support, min_count, pair_support
 from .session import build_session, checkpoint_root, materialize
 
 __all__ = [
-    "apriori", "r_apriori", "eclat", "fpgrowth", "fpgrowth_rules", "association_rules",
+    "apriori", "r_apriori", "eclat", "fpgrowth", "association_rules",
     "ordered_patterns", "prefixspan", "candidates", "count_containment",
     "items_in_candidates", "tid_bitsets", "build_dictionary", "encode", "decode",
     "dense_ids", "encoded_rows", "group_join", "pairs_within", "clean_rows",

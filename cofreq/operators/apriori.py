@@ -17,6 +17,8 @@ Result contract (all miners): ``itemset ARRAY<item>`` (sorted), ``k INT``,
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,7 +80,8 @@ def apriori(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "item
             max_len: int | None = None, report: str = "all", k: int | None = None,
             count_mode: str = "presence", strategy: str = "pairs",
             max_group: int = DEFAULT_MAX_GROUP, min_basket_size: int | None = None,
-            num_partitions: int | None = None) -> DataFrame:
+            num_partitions: int | None = None, n_baskets: int | None = None,
+            already_distinct: bool = False) -> DataFrame:
     """Frequent itemsets of long rows ``(tid, item)``.
 
     ``min_support``: absolute count (int) or share of baskets (float /
@@ -88,25 +91,32 @@ def apriori(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "item
     occurrences that share a prefix (JN-5); ``'extend'`` extends every
     frequent set found in a basket by each later frequent item of that basket
     (CG-5, the prefix-tree walk); both give the same itemsets.
-    ``min_basket_size`` / ``num_partitions`` see :func:`support.prepare`.
+    ``min_basket_size``, ``num_partitions``, ``n_baskets`` and
+    ``already_distinct`` see :func:`support.prepare`.
     """
     if strategy not in ("pairs", "extend"):
         raise ValueError("strategy must be 'pairs' or 'extend'")
-    raw = rows.select(tid, item).where(F.col(item).isNotNull())
-    prep = prepare(raw, min_support, tid, item, min_basket_size=min_basket_size,
-                   num_partitions=num_partitions)
+    prep = prepare(rows, min_support, tid, item, min_basket_size=min_basket_size,
+                   num_partitions=num_partitions, n_baskets=n_baskets,
+                   already_distinct=already_distinct)
+    raw = rows.select(tid, item)
+    if count_mode == "occurrence" and min_basket_size:
+        raw = raw.join(prep.rows.select(tid).distinct(), tid, "left_semi")
     m = prep.threshold
     item_type = prep.rows.schema[item].dataType
     stop = _stop_level(max_len, report, k)
 
     l1, items, widest = frequent_rows(prep, tid, item, count_mode, raw, max_group)
-    check = widest > max_group
     l1 = l1.select(empty_array(item_type).alias("prefix"), F.col(item).alias("last"), "support")
     levels = [l1]
     size = l1.count()
     occ = items.select(tid, empty_array(item_type).alias("prefix"), F.col(item).alias("last"))
     level = 1
     while size > 1 and (stop is None or level < stop):
+        # a basket of L items holds at most C(L, level) occurrences of a level;
+        # one prefix of a basket at most L
+        held = widest if strategy == "pairs" else max(widest, math.comb(widest, level))
+        check = held > max_group
         if strategy == "pairs":
             cand = pairs_within(occ, [tid, "prefix"], "last", max_group=max_group,
                                 check_hot=check)
@@ -135,21 +145,27 @@ def apriori(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "item
         cand.unpersist()
         if done is not occ:
             release(done)
-    release(occ, items, prep.rows)
+    release(occ, items)
+    if not already_distinct:
+        release(prep.rows)
     out = level_result(levels)
     return select_report(out, report, k, out[0])
 
 
 def r_apriori(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "item",
               discard: bool = True, max_len: int = 3, report: str = "all",
-              k: int | None = None, max_group: int = DEFAULT_MAX_GROUP) -> DataFrame:
-    """R-Apriori: three fixed passes L1, L2, L3 (MINE-8).
+              k: int | None = None, max_group: int = DEFAULT_MAX_GROUP,
+              n_baskets: int | None = None) -> DataFrame:
+    """R-Apriori: three fixed passes L1, L2, L3 (MINE-8); larger sets are
+    :func:`apriori`'s, and asking for them here raises.
 
     Pass 2 builds pairs straight from the baskets instead of joining
     candidates; with ``discard`` the baskets are cut to frequent items first.
     Pass 3 joins frequent-pair occurrences on their first item (CG-3).
     """
-    prep = prepare(rows, min_support, tid, item)
+    if max_len > 3 or (k or 0) > 3:
+        raise ValueError("r_apriori has three passes: max_len and k go up to 3; use apriori")
+    prep = prepare(rows, min_support, tid, item, n_baskets=n_baskets)
     m = prep.threshold
     item_type = prep.rows.schema[item].dataType
     l1, kept, widest = frequent_rows(prep, tid, item, max_group=max_group)

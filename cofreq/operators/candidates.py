@@ -10,6 +10,8 @@ item: a basket contains a k-candidate when k of its rows match.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +22,13 @@ from .support import basket_stats, distinct_rows
 
 def candidates(level: DataFrame, itemset: str = "itemset", prune: bool = True,
                max_group: int = DEFAULT_MAX_GROUP) -> DataFrame:
-    """``(itemset)`` of size k+1 from sorted k-itemsets in ``level``."""
+    """``(itemset)`` of size k+1 from sorted k-itemsets in ``level``, all of
+    one size of at least 2.  Pairs of single items have no prefix to join on
+    and would be all pairs: :func:`support.pair_occurrences` builds those that
+    occur."""
+    sizes = _sizes(level, itemset)
+    if len(sizes) > 1 or sizes == [1]:
+        raise ValueError(f"candidates needs itemsets of one size of at least 2, not {sizes}")
     split = level.select(F.slice(itemset, 1, F.size(itemset) - 1).alias("prefix"),
                          F.element_at(itemset, -1).alias("last"))
     pairs = pairs_within(split, ["prefix"], "last", max_group=max_group)
@@ -29,48 +37,66 @@ def candidates(level: DataFrame, itemset: str = "itemset", prune: bool = True,
         return cand
     # The two generators are frequent by construction; test the subsets that
     # drop one of the first k-1 items.
-    k = level.select(F.size(itemset).alias("k")).limit(1).collect()
-    if not k or k[0]["k"] < 2:
+    if not sizes:
         return cand
     known = broadcast_if_small(level.select(F.col(itemset).alias("_subset")))
-    for drop in range(k[0]["k"] - 1):
+    for drop in range(sizes[0] - 1):
         cand = (cand.withColumn("_subset", _without_position(itemset, drop))
                 .join(known, "_subset", "left_semi").drop("_subset"))
     return cand
 
 
+def _sizes(sets: DataFrame, itemset: str) -> list[int]:
+    """The different sizes of itemsets, ascending."""
+    return sorted(r[0] for r in sets.select(F.size(itemset)).distinct().collect())
+
+
 def _without_position(itemset: str, pos: int):
     return F.filter(itemset, lambda _x, j: j != F.lit(pos))
 
 
 def count_containment(rows: DataFrame, cands: DataFrame, tid: str = "tid", item: str = "item",
                       itemset: str = "itemset", keep_zero: bool = True,
-                      max_group: int = DEFAULT_MAX_GROUP) -> DataFrame:
+                      max_group: int = DEFAULT_MAX_GROUP,
+                      already_distinct: bool = False) -> DataFrame:
     """``(itemset, support)``: baskets holding every item of a candidate (JN-1).
 
     A prefix walk over the baskets restricted to candidate prefixes: start
     with basket rows whose item begins some candidate, extend each partial
     match by a later item of the same basket (skew-safe join on ``tid``) and
     keep it only while it is still a prefix of some candidate.  Work grows
-    with the matches that exist, not with candidates x baskets.
+    with the matches that exist, not with candidates x baskets.  Candidates of
+    several sizes are counted size by size.
     """
-    rows = distinct_rows(rows, tid, item)
+    if not already_distinct:
+        rows = distinct_rows(rows, tid, item)
     cset = materialize(cands.select(F.col(itemset).alias("_cand")), "candidates")
     n_cand = cset.count()
     if n_cand == 0:
         return cset.select(F.col("_cand").alias(itemset), F.lit(0).cast("bigint").alias("support"))
-    k = cset.select(F.size("_cand").alias("k")).first()["k"]
+    sizes = _sizes(cset, "_cand")
+    if len(sizes) > 1:
+        if not already_distinct:
+            rows = materialize(rows, "rows")
+        out = None
+        for size in sizes:
+            one = count_containment(rows, cset.where(F.size("_cand") == size), tid, item, "_cand",
+                                    keep_zero, max_group, already_distinct=True)
+            out = one if out is None else out.unionByName(one)
+        return out.withColumnRenamed("_cand", itemset)
+    k = sizes[0]
     # every helper table below has at most n_cand * k rows
     bound = n_cand * k
     firsts = broadcast_if_small(cset.select(F.col("_cand")[0].alias(item)).distinct(), bound=bound)
     used = broadcast_if_small(items_in_candidates(cset, "_cand", item), bound=bound)
     rows = materialize(rows.join(used, item, "left_semi"), "candidate-rows")
-    # a partial match never has more rows per basket than the basket itself
-    check = basket_stats(rows, tid).max_basket > max_group
+    longest = basket_stats(rows, tid).max_basket
     part = rows.join(firsts, item, "left_semi").select(tid, F.array(item).alias("_pre"),
                                                        F.col(item).alias("_last"))
     nxt = rows.select(tid, F.col(item).alias("_next"))
     for j in range(2, k + 1):
+        # a basket of L rows holds at most C(L, j - 1) partial matches
+        check = max(longest, math.comb(longest, j - 1)) > max_group
         ext = group_join(part, nxt, [tid], left_spread=["_pre"], right_spread=["_next"],
                          condition=F.col("_next") > F.col("_last"), max_group=max_group,
                          check_hot=check)
@@ -93,13 +119,3 @@ def items_in_candidates(cands: DataFrame, itemset: str = "itemset",
                         item: str = "item") -> DataFrame:
     """Distinct items still used by some candidate (AGG-12)."""
     return cands.select(F.explode(itemset).alias(item)).distinct()
-
-
-def trim_to_candidate_items(rows: DataFrame, cands: DataFrame, k: int, tid: str = "tid",
-                            item: str = "item") -> DataFrame:
-    """Cut baskets to items used by candidates and drop baskets with fewer
-    than ``k`` of them (PRJ-6)."""
-    used = broadcast_if_small(items_in_candidates(cands, item=item))
-    kept = rows.join(used, item, "left_semi")
-    big = kept.groupBy(tid).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= k)
-    return kept.join(big.select(tid), tid, "left_semi")

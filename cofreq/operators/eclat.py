@@ -20,7 +20,7 @@ from ..session import broadcast_if_small, materialize, release
 from .apriori import _stop_level, level_result, select_report
 from .encode import dense_ids
 from .groupjoin import DEFAULT_MAX_GROUP, pairs_within
-from .support import distinct_rows, frequent, prepare
+from .support import distinct_rows, frequent, keep_items, pair_occurrences, prepare
 
 
 def tid_bitsets(rows: DataFrame, tid: str = "tid", item: str = "item",
@@ -61,14 +61,31 @@ def bitset_support(bitsets: DataFrame, keys=("item",)) -> DataFrame:
     return bitsets.groupBy(*keys).agg(F.sum(popcount("bits")).cast("bigint").alias("support"))
 
 
+def _pair_tidsets(tids: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Tidset words of the given pairs from those of single items."""
+    keys = broadcast_if_small(pairs.select(F.col("prefix")[0].alias("_a"), F.col("last").alias("_b")))
+    a = tids.select(F.col("last").alias("_a"), "word", F.col("bits").alias("bits_a"))
+    b = tids.select(F.col("last").alias("_b"), "word", F.col("bits").alias("bits_b"))
+    return (a.join(keys, "_a").join(b, ["_b", "word"])
+            .select(F.array("_a").alias("prefix"), F.col("_b").alias("last"), "word",
+                    F.col("bits_a").bitwiseAND(F.col("bits_b")).alias("bits"))
+            .where(F.col("bits") != 0))
+
+
 def eclat(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "item",
           max_len: int | None = None, report: str = "all", k: int | None = None,
           dense: bool = True, max_group: int = DEFAULT_MAX_GROUP,
-          min_basket_size: int | None = None, num_partitions: int | None = None) -> DataFrame:
+          min_basket_size: int | None = None, num_partitions: int | None = None,
+          n_baskets: int | None = None) -> DataFrame:
     """Frequent itemsets by tidset intersection; same contract and result as
-    :func:`cofreq.operators.apriori.apriori`."""
+    :func:`cofreq.operators.apriori.apriori`.
+
+    Pairs are counted where they occur, in baskets: items of one 64-transaction
+    word that share no basket never meet.  From size 3 on words are
+    intersected, of pairs known to be frequent only.
+    """
     prep = prepare(rows, min_support, tid, item, min_basket_size=min_basket_size,
-                   num_partitions=num_partitions)
+                   num_partitions=num_partitions, n_baskets=n_baskets)
     m = prep.threshold
     item_type = prep.rows.schema[item].dataType
     stop = _stop_level(max_len, report, k)
@@ -90,7 +107,22 @@ def eclat(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "item",
     widest = tids.groupBy("word").count().agg(F.max("count")).first()[0] or 0
     check = widest > max_group
     level = 1
-    while size > 1 and (stop is None or level < stop):
+    if size > 1 and (stop is None or stop > 1):
+        kept = keep_items(prep.rows, l1.select(F.col("last").alias(item)), item, bound=size)
+        occ = pair_occurrences(kept, tid, item, max_group, check_hot=prep.max_basket > max_group)
+        l2 = materialize(frequent(occ.groupBy("item1", "item2")
+                                  .agg(F.count(F.lit(1)).alias("support")), m)
+                         .select(F.array("item1").alias("prefix"), F.col("item2").alias("last"),
+                                 "support"), "eclat-level-2")
+        size = l2.count()
+        if size:
+            levels.append(l2)
+            level = 2
+        if size > 1 and (stop is None or stop > 2):
+            done, tids = tids, _pair_tidsets(tids, l2)
+            tids = materialize(tids, "eclat-tids-2")
+            release(done)
+    while level > 1 and size > 1 and (stop is None or level < stop):
         pairs = pairs_within(tids, ["prefix", "word"], "last", payload=["bits"],
                              max_group=max_group, check_hot=check)
         cand = (pairs.select(F.concat("prefix", F.array("last_a")).alias("prefix"),

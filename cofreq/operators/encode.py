@@ -60,9 +60,12 @@ def build_dictionary(rows: DataFrame, tid: str = "tid", item: str = "item",
 def encode(rows: DataFrame, dictionary: DataFrame, item: str = "item",
            item_id: str = "item_id") -> DataFrame:
     """Replace ``item`` by its id (ENC-2); the dictionary is broadcast only
-    when its measured size allows."""
-    d = broadcast_if_small(dictionary.select(item, item_id))
-    return rows.join(d, item, "inner").drop(item)
+    when its measured size allows.  An item that the dictionary lacks stops
+    the job."""
+    d = broadcast_if_small(dictionary.select(item, F.col(item_id).alias("_id")))
+    known = F.coalesce("_id", F.raise_error(F.concat(
+        F.lit("item not in the dictionary: "), F.coalesce(F.col(item).cast("string"), F.lit("null")))))
+    return rows.join(d, item, "left").withColumn(item_id, known).drop(item, "_id")
 
 
 def decode(itemsets: DataFrame, dictionary: DataFrame, itemset: str = "itemset",
@@ -70,14 +73,17 @@ def decode(itemsets: DataFrame, dictionary: DataFrame, itemset: str = "itemset",
     """Map id arrays back to items (ENC-3), keeping every other column.
 
     ``sort=True`` returns the items in natural order (set semantics);
-    ``False`` keeps the order of the ids (ordered patterns).
+    ``False`` keeps the order of the ids (ordered patterns).  An id that the
+    dictionary lacks stops the job.
     """
     others = [c for c in itemsets.columns if c != itemset]
     d = broadcast_if_small(dictionary.select(F.col(item_id).alias("_id"),
                                              F.col(item).alias("_item")))
     exploded = itemsets.select(*others, F.col(itemset).alias("_key"),
                                F.posexplode(itemset).alias("_pos", "_id"))
-    joined = exploded.join(d, "_id", "inner")
+    known = F.coalesce("_item", F.raise_error(F.concat(
+        F.lit("id not in the dictionary: "), F.coalesce(F.col("_id").cast("string"), F.lit("null")))))
+    joined = exploded.join(d, "_id", "left").withColumn("_item", known)
     regrouped = joined.groupBy("_key", *others).agg(
         F.array_sort(F.collect_list(F.struct("_pos", "_item"))).alias("_pairs"))
     items = F.transform("_pairs", lambda p: p["_item"])
@@ -85,21 +91,6 @@ def decode(itemsets: DataFrame, dictionary: DataFrame, itemset: str = "itemset",
         .select(itemset, *others)
 
 
-def with_tid(df: DataFrame, tid: str = "tid") -> DataFrame:
-    """Unique (not dense) transaction ids (ENC-4)."""
-    return df.withColumn(tid, F.monotonically_increasing_id())
-
-
-def dense_tids(rows: DataFrame, tid: str = "tid", dense: str = "dtid",
-               ordered: bool = False) -> DataFrame:
-    """Add dense ids ``0..n-1`` for the transactions of long rows; tid
-    bitsets need dense ids to avoid empty words.  Ids follow tid order only
-    when ``ordered`` (that costs a global sort)."""
-    ids = dense_ids(rows.select(tid).distinct(), [F.asc(tid)] if ordered else None,
-                    dense, start=0)
-    return rows.join(ids, tid, "inner")
-
-
 def encoded_rows(rows: DataFrame, tid: str = "tid", item: str = "item",
                  order: str = "asc") -> tuple[DataFrame, DataFrame]:
     """Distinct rows with items replaced by dense ids; returns

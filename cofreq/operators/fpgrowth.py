@@ -12,8 +12,9 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize, release
 from .prepare import to_baskets
-from .support import prepare
+from .support import frequent_rows, prepare
 
 
 def fraction_for_count(m: int, n: int) -> float:
@@ -23,12 +24,22 @@ def fraction_for_count(m: int, n: int) -> float:
 
 
 def fpgrowth(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "item",
-             num_partitions: int | None = None, max_len: int | None = None) -> DataFrame:
-    """``(itemset, k, support)`` with sorted itemsets, like the other miners."""
-    prep = prepare(rows, min_support, tid, item)
+             num_partitions: int | None = None, max_len: int | None = None,
+             n_baskets: int | None = None) -> DataFrame:
+    """``(itemset, k, support)`` with sorted itemsets, like the other miners.
+
+    Baskets are cut to frequent items first, so an array holds at most as many
+    items as are frequent.  ``n_baskets`` see :func:`support.prepare`.
+    """
+    prep = prepare(rows, min_support, tid, item, n_baskets=n_baskets)
     m = prep.threshold
-    baskets = to_baskets(prep.rows, tid, item, "items")
-    fp = FPGrowth(itemsCol="items", minSupport=fraction_for_count(m, max(prep.n_baskets, 1)),
+    _, kept, _ = frequent_rows(prep, tid, item)
+    if kept.isEmpty():
+        return kept.select(F.array(item).alias("itemset"), F.lit(0).cast("int").alias("k"),
+                           F.lit(0).cast("bigint").alias("support")).limit(0)
+    baskets = materialize(to_baskets(kept, tid, item, "items"), "baskets")
+    release(kept, prep.rows)
+    fp = FPGrowth(itemsCol="items", minSupport=fraction_for_count(m, baskets.count()),
                   minConfidence=0.0)
     if num_partitions:
         fp = fp.setNumPartitions(int(num_partitions))
@@ -40,20 +51,3 @@ def fpgrowth(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "ite
     if max_len is not None:
         out = out.where(F.col("k") <= max_len)
     return out
-
-
-def fpgrowth_rules(rows: DataFrame, min_support, min_confidence: float, *,
-                   tid: str = "tid", item: str = "item",
-                   num_partitions: int | None = None) -> DataFrame:
-    """Spark's own rule generation on an FP-Growth model (MINE-6):
-    ``(antecedent, consequent, confidence, lift, support)``."""
-    prep = prepare(rows, min_support, tid, item)
-    m = prep.threshold
-    fp = FPGrowth(itemsCol="items", minSupport=fraction_for_count(m, max(prep.n_baskets, 1)),
-                  minConfidence=float(min_confidence))
-    if num_partitions:
-        fp = fp.setNumPartitions(int(num_partitions))
-    model = fp.fit(to_baskets(prep.rows, tid, item, "items"))
-    return model.associationRules.select(F.array_sort("antecedent").alias("antecedent"),
-                                         F.col("consequent")[0].alias("consequent"),
-                                         "confidence", "lift", "support")

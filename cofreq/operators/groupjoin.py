@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import BROADCAST_MAX_ROWS, materialize, row_count_at_most
+from ..session import broadcast_if_small, materialize
 
 # Largest number of rows of one group (per side) a single join cell holds.
 DEFAULT_MAX_GROUP = 4096
@@ -53,9 +53,7 @@ def _measure_hot(left: DataFrame, right: DataFrame | None, keys: list[str],
     if hot.limit(1).count() == 0:
         return None
     hot = materialize(hot.fillna(1, ["_nl", "_nr"]), "hot-groups")
-    if row_count_at_most(hot, BROADCAST_MAX_ROWS) is not None:
-        hot = F.broadcast(hot)
-    return hot
+    return broadcast_if_small(hot)
 
 
 def _blocked_join(left: DataFrame, right: DataFrame, keys: list[str], hot: DataFrame,

@@ -25,29 +25,30 @@ from .apriori import select_report
 from .fpgrowth import fraction_for_count
 from .groupjoin import DEFAULT_MAX_GROUP, group_join
 from .prepare import ordered_baskets
-from .support import basket_stats, frequent, min_count
+from .support import (basket_stats, distinct_rows, frequent, item_support, keep_items,
+                      min_count)
 
 
 def ordered_patterns(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "item",
                      order: Sequence[str] = ("ts",), max_len: int | None = None,
                      report: str = "all", k: int | None = None,
-                     max_group: int = DEFAULT_MAX_GROUP) -> DataFrame:
+                     max_group: int = DEFAULT_MAX_GROUP,
+                     n_baskets: int | None = None) -> DataFrame:
     """``(pattern ARRAY<item>, k INT, support BIGINT)``.
 
     ``order`` are the columns giving the order inside a basket; rows that
     tie on all of them are ordered arbitrarily but consistently (fixed once
-    the events are written).
+    the events are written).  Rows with a null transaction id or item are
+    dropped; ``n_baskets`` see :func:`support.prepare`.
     """
-    # After a distributed sort by (tid, order...), monotonically_increasing_id
-    # grows along the sort order, so it is a BIGINT position that compares
-    # correctly inside every basket; the range sort also spreads one huge
-    # basket over several partitions.  Written once, so positions are fixed.
-    sorted_ev = rows.where(F.col(item).isNotNull()).select(tid, item, *order) \
-        .orderBy(tid, *order)
-    ev = materialize(sorted_ev.select(tid, item, F.monotonically_increasing_id().alias("pos")),
+    # The order columns and a unique number make a position that compares as
+    # the order does, without any sort.  Written once, so positions are fixed.
+    pos = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)],
+                   F.monotonically_increasing_id().alias("nth"))
+    ev = materialize(_events(rows, tid, item).select(tid, item, pos.alias("pos")),
                      "ordered-events")
     stats = basket_stats(ev, tid)  # baskets and the longest sequence, one job
-    m = min_count(min_support, stats.n_baskets)
+    m = min_count(min_support, stats.n_baskets if n_baskets is None else n_baskets)
     stop = max_len
     if report == "exact_k" and k is not None:
         stop = k if stop is None else min(stop, k)
@@ -92,6 +93,10 @@ def ordered_patterns(rows: DataFrame, min_support, *, tid: str = "tid", item: st
     return _result(levels, report, k)
 
 
+def _events(rows: DataFrame, tid: str, item: str) -> DataFrame:
+    return rows.where(F.col(tid).isNotNull() & F.col(item).isNotNull())
+
+
 def _result(levels: list[DataFrame], report: str, k: int | None) -> DataFrame:
     out = [lv.select("pattern", F.size("pattern").cast("int").alias("k"),
                      F.col("support").cast("bigint").alias("support")) for lv in levels]
@@ -99,16 +104,27 @@ def _result(levels: list[DataFrame], report: str, k: int | None) -> DataFrame:
 
 
 def prefixspan(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "item",
-               order: Sequence[str] = ("ts",), max_len: int = 10) -> DataFrame:
+               order: Sequence[str] = ("ts",), max_len: int | None = None) -> DataFrame:
     """The same patterns through Spark's ``PrefixSpan`` (one item per
-    sequence element); needs one array per basket."""
-    seqs = ordered_baskets(rows.where(F.col(item).isNotNull()), tid, item, order, "items")
-    n = basket_stats(rows.select(tid).distinct(), tid).n_baskets
+    sequence element); needs one array per basket, of its frequent items
+    only."""
+    ev = materialize(_events(rows, tid, item).select(tid, item, *order), "sequences")
+    sets = distinct_rows(ev, tid, item)
+    n = basket_stats(sets.select(tid).distinct(), tid).n_baskets
     m = min_count(min_support, n)
+    l1 = frequent(item_support(sets, tid, item, already_distinct=True), m)
+    ev = keep_items(ev, l1, item)
+    if n < m or ev.isEmpty():
+        return ev.select(F.array(item).alias("pattern"), F.lit(0).cast("int").alias("k"),
+                         F.lit(0).cast("bigint").alias("support")).limit(0)
+    seqs = ordered_baskets(ev, tid, item, order, "items")
+    # baskets without a frequent item have no sequence and count no more
+    n = seqs.count()
     seqs = seqs.select(F.transform("items", lambda x: F.array(x)).alias("sequence"))
-    ps = PrefixSpan(minSupport=fraction_for_count(m, max(n, 1)), maxPatternLength=max_len,
+    longest = 2 ** 31 - 1 if max_len is None else max_len
+    ps = PrefixSpan(minSupport=fraction_for_count(m, n), maxPatternLength=longest,
                     sequenceCol="sequence", maxLocalProjDBSize=32_000_000)
-    res = ps.findFrequentSequentialPatterns(seqs)
+    res = ps.findFrequentSequentialPatterns(seqs).where(F.col("freq") >= m)
     return res.select(F.flatten("sequence").alias("pattern"),
                       F.size(F.flatten("sequence")).cast("int").alias("k"),
                       F.col("freq").cast("bigint").alias("support"))

@@ -18,16 +18,17 @@ from ..functions import retail_time
 
 def clean_rows(df: DataFrame, tid: str, item: str, ts: str | None = None, *,
                numeric_only: bool = False, parse_time: bool = True) -> DataFrame:
-    """Drop rows with a null or blank transaction id or item (PRJ-11).
+    """Drop rows with a null or blank transaction id or item (PRJ-11); kept
+    ids and items stay as they are, as text.
 
     ``ts``: keep only rows whose time matches ``MM/dd/yyyy HH:mm:ss`` and
     parse it (PRJ-12) unless ``parse_time=False`` (already a timestamp).
     ``numeric_only`` keeps items made of digits and ``:`` only (PRJ-13).
     """
-    out = df.withColumn(tid, F.trim(F.col(tid).cast("string"))) \
-        .withColumn(item, F.trim(F.col(item).cast("string")))
-    cond = (F.col(tid).isNotNull() & (F.col(tid) != "")
-            & F.col(item).isNotNull() & (F.col(item) != ""))
+    out = df.withColumn(tid, F.col(tid).cast("string")) \
+        .withColumn(item, F.col(item).cast("string"))
+    cond = (F.col(tid).isNotNull() & (F.trim(tid) != "")
+            & F.col(item).isNotNull() & (F.trim(item) != ""))
     if numeric_only:
         cond = cond & F.col(item).rlike("^[0-9:]+$")
     out = out.where(cond)
@@ -55,7 +56,8 @@ def ordered_baskets(rows: DataFrame, tid: str, item: str, order: Sequence[str],
 
 
 def profile(rows: DataFrame, tid: str = "tid", item: str = "item") -> DataFrame:
-    """Row, basket, item and basket-size counts in one job (AGG-13)."""
+    """Row, basket, item and basket-size counts as one row (AGG-13); the rows
+    are aggregated twice, by basket and by item."""
     per_basket = (rows.groupBy(tid).agg(F.count(F.lit(1)).alias("_rows"),
                                         F.count_distinct(item).alias("_items")))
     basket_side = per_basket.agg(

@@ -8,6 +8,8 @@ itemset array; no rule is built on the driver.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,12 +22,14 @@ def association_rules(itemsets: DataFrame, min_confidence=0.0, n_baskets: int |
     """``(antecedent, consequent, support, antecedent_support,
     consequent_support, confidence, lift)``.
 
-    ``itemsets`` is a miner result (all levels, so every antecedent is
-    present).  ``min_confidence`` is compared exactly:
-    ``support * den >= num * antecedent_support``.  ``lift`` needs
+    ``itemsets`` is a miner result with all levels: a rule whose antecedent
+    or consequent is not among them stops the job.  ``min_confidence`` is
+    compared exactly, in DECIMAL: ``support * den >= num *
+    antecedent_support``.  ``lift`` needs
     ``n_baskets``; it is null without it.
     """
-    conf = as_fraction(min_confidence)
+    # supports have up to 19 digits, so 18 are left for the fraction's terms
+    conf = as_fraction(min_confidence).limit_denominator(10 ** 17)
     sets = itemsets.select(F.col(itemset).alias("_set"), F.col("support"))
     big = sets.where(F.size("_set") >= 2)
     rules = big.select("_set", "support", F.explode("_set").alias("consequent")) \
@@ -35,9 +39,18 @@ def association_rules(itemsets: DataFrame, min_confidence=0.0, n_baskets: int |
     singles = broadcast_if_small(
         sets.where(F.size("_set") == 1)
         .select(F.col("_set")[0].alias("consequent"), F.col("support").alias("consequent_support")))
-    out = (rules.join(ante, "antecedent", "inner").join(singles, "consequent", "inner")
-           .where(F.col("support") * F.lit(conf.denominator)
-                  >= F.lit(conf.numerator) * F.col("antecedent_support")))
+    def present(c: str, of: str):
+        return F.coalesce(c, F.raise_error(F.concat(
+            F.lit(f"no support for the {of} of a rule (all levels are needed): "),
+            F.col(of).cast("string"))))
+
+    def times(c: str, n: int):
+        return F.col(c).cast("decimal(19,0)") * F.lit(Decimal(n)).cast("decimal(18,0)")
+
+    out = (rules.join(ante, "antecedent", "left").join(singles, "consequent", "left")
+           .withColumn("antecedent_support", present("antecedent_support", "antecedent"))
+           .withColumn("consequent_support", present("consequent_support", "consequent"))
+           .where(times("support", conf.denominator) >= times("antecedent_support", conf.numerator)))
     confidence = F.col("support") / F.col("antecedent_support")
     lift = (confidence * F.lit(n_baskets) / F.col("consequent_support")) if n_baskets \
         else F.lit(None).cast("double")

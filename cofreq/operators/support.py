@@ -83,7 +83,8 @@ class Prepared:
 
 def prepare(rows: DataFrame, min_support, tid: str = "tid", item: str = "item", *,
             min_basket_size: int | None = None,
-            num_partitions: int | None = None) -> Prepared:
+            num_partitions: int | None = None, n_baskets: int | None = None,
+            already_distinct: bool = False) -> Prepared:
     """Write the distinct ``(tid, item)`` rows once (tokenising, dimension
     joins and the dedup run a single time), measure them in one job and
     resolve the threshold.
@@ -91,19 +92,25 @@ def prepare(rows: DataFrame, min_support, tid: str = "tid", item: str = "item",
     ``min_basket_size`` drops baskets with fewer distinct items (PRJ-8, off
     by default; a relative threshold then counts the kept baskets).
     ``num_partitions`` hash-partitions the written rows by ``tid`` into that
-    many partitions (SRC-6).
+    many partitions (SRC-6).  ``n_baskets`` is the number of transactions that
+    a relative threshold is a share of, when some of them hold no item and so
+    have no row (SRC-1); by default the baskets found in the rows.
+    ``already_distinct`` says the rows are sets without nulls, so the dedup is
+    skipped, and the write too if they are written rows.
     """
     from ..session import materialize
 
-    rows = distinct_rows(rows, tid, item)
+    written = getattr(rows, "_cofreq_path", None) if already_distinct else None
+    rows = rows.select(tid, item) if already_distinct else distinct_rows(rows, tid, item)
     if min_basket_size and min_basket_size > 1:
         rows = keep_baskets(rows, min_basket_size, tid)
     if num_partitions:
         rows = rows.repartition(int(num_partitions), tid)
-    rows = materialize(rows, "rows")
+    if not written or min_basket_size or num_partitions:
+        rows = materialize(rows, "rows")
     st = basket_stats(rows, tid)
-    return Prepared(rows, st.n_baskets, st.max_basket, st.n_rows,
-                    min_count(min_support, st.n_baskets))
+    n = st.n_baskets if n_baskets is None else n_baskets
+    return Prepared(rows, n, st.max_basket, st.n_rows, min_count(min_support, n))
 
 
 def frequent_rows(prep: Prepared, tid: str = "tid", item: str = "item",
@@ -117,10 +124,13 @@ def frequent_rows(prep: Prepared, tid: str = "tid", item: str = "item",
         counts = item_support(raw, tid, item, mode="occurrence")
     else:
         counts = item_support(prep.rows, tid, item, mode=count_mode, already_distinct=True)
-    l1 = materialize(frequent(counts, prep.threshold), "items")
+    every = materialize(counts, "items")
+    l1 = frequent(every, prep.threshold)
+    widest = prep.max_basket
+    if every.where(F.col("support") < F.lit(prep.threshold)).isEmpty():
+        return l1, prep.rows, widest  # nothing to cut, nothing to write again
     bound = prep.frequent_item_bound if count_mode == "presence" else None
     kept = materialize(keep_items(prep.rows, l1, item, bound=bound), "frequent-rows")
-    widest = prep.max_basket
     if widest > max_group:
         # pruning may have made every basket small; measure only when it matters
         widest = basket_stats(kept, tid).max_basket
@@ -130,8 +140,10 @@ def frequent_rows(prep: Prepared, tid: str = "tid", item: str = "item",
 # ---------------------------------------------------------------- rows
 
 def distinct_rows(rows: DataFrame, tid: str = "tid", item: str = "item") -> DataFrame:
-    """Baskets as sets: one row per (tid, item) (PRJ-2)."""
-    return rows.select(tid, item).where(F.col(item).isNotNull()).dropDuplicates([tid, item])
+    """Baskets as sets: one row per (tid, item) (PRJ-2); rows with a null
+    transaction id or item belong to no basket and go."""
+    return (rows.select(tid, item).where(F.col(tid).isNotNull() & F.col(item).isNotNull())
+            .dropDuplicates([tid, item]))
 
 
 def item_support(rows: DataFrame, tid: str = "tid", item: str = "item",
@@ -146,7 +158,7 @@ def item_support(rows: DataFrame, tid: str = "tid", item: str = "item",
         raise ValueError("mode must be 'presence' or 'occurrence'")
     if mode == "presence" and not already_distinct:
         rows = distinct_rows(rows, tid, item)
-    return (rows.where(F.col(item).isNotNull())
+    return (rows.where(F.col(tid).isNotNull() & F.col(item).isNotNull())
             .groupBy(item).agg(F.count(F.lit(1)).alias("support")))
 
 
@@ -171,10 +183,12 @@ def keep_baskets(rows: DataFrame, min_items: int, tid: str = "tid") -> DataFrame
 
 
 def trim_baskets(rows: DataFrame, items: DataFrame, min_items: int,
-                 tid: str = "tid", item: str = "item") -> DataFrame:
+                 tid: str = "tid", item: str = "item", already_distinct: bool = False) -> DataFrame:
     """Keep only the listed items, then drop baskets with fewer than
     ``min_items`` of them (PRJ-6, PRJ-7)."""
-    return keep_baskets(keep_items(distinct_rows(rows, tid, item), items, item), min_items, tid)
+    if not already_distinct:
+        rows = distinct_rows(rows, tid, item)
+    return keep_baskets(keep_items(rows, items, item), min_items, tid)
 
 
 # ---------------------------------------------------------------- pairs, triples
@@ -189,14 +203,17 @@ def pair_occurrences(rows: DataFrame, tid: str = "tid", item: str = "item",
 
 
 def pair_support(rows: DataFrame, min_support, tid: str = "tid", item: str = "item",
-                 discard: bool = True, max_group: int = DEFAULT_MAX_GROUP) -> DataFrame:
+                 discard: bool = True, max_group: int = DEFAULT_MAX_GROUP,
+                 n_baskets: int | None = None, already_distinct: bool = False) -> DataFrame:
     """Frequent pairs ``(item1, item2, support)`` (CG-1 / CG-2, AGG-3).
 
     With ``discard`` the rows are first cut to frequent items (PRJ-5, the
     R-Apriori pass 2); without it every pair is generated and filtered
-    afterwards (CG-2).  Both give the same result.
+    afterwards (CG-2).  Both give the same result.  ``n_baskets`` and
+    ``already_distinct`` see :func:`prepare`.
     """
-    prep = prepare(rows, min_support, tid, item)
+    prep = prepare(rows, min_support, tid, item, n_baskets=n_baskets,
+                   already_distinct=already_distinct)
     if discard:
         _, rows, widest = frequent_rows(prep, tid, item, max_group=max_group)
     else:

@@ -51,8 +51,14 @@ def daily_event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(tid.alias("tid"), F.col("event_type").alias("item"), "ts", "event_id")
 
 
-def document_word_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(tid = doc_id, item = word)`` over the whole text of every document."""
+def document_word_rows(spark: SparkSession, sf_dir: str, distinct: bool = False) -> DataFrame:
+    """``(tid = doc_id, item = word)`` over the whole text of every document.
+
+    ``distinct`` drops a document's repeated words before they become rows: a
+    document is one row, so its words are a set without any shuffle.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").where(F.col("text").isNotNull())
-    return docs.select(F.col("doc_id").alias("tid"),
-                       F.explode(tokens("text", WORD_SEPARATORS)).alias("item"))
+    words = tokens("text", WORD_SEPARATORS)
+    return (docs.where(F.col("doc_id").isNotNull())
+            .select(F.col("doc_id").alias("tid"),
+                    F.explode(F.array_distinct(words) if distinct else words).alias("item")))

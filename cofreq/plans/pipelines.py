@@ -11,14 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.apriori import apriori
-from ..operators.encode import decode, encoded_rows
+from ..operators.encode import build_dictionary, decode, encode, encoded_rows
 from ..operators.ordered import ordered_patterns
 from ..operators.prepare import clean_rows, ordered_baskets, to_baskets
+from ..session import materialize
 from ..sources.delimited import read_delimited
 from ..sources.sinks import write_baskets_text
 
 # Point-of-sale export, '|'-separated with a header and 75
-# columns; the transaction number, the store and the article code are at
+# columns; the transaction number, the time and the article code are at
 # positions 0, 13 and 35.
 POS_SEP = "|"
 POS_N_COLUMNS = 75
@@ -38,7 +39,14 @@ def basket_analysis(rows: DataFrame, min_support, *, tid: str, item: str,
     clean = clean_rows(rows, tid, item, numeric_only=numeric_only) \
         .select(F.col(tid).alias("tid"), F.col(item).alias("item"))
     enc, dictionary = encoded_rows(clean, "tid", "item", order="asc")
-    res = apriori(enc, min_support, item="item_id", max_len=max_len, report=report, k=k)
+    return _mine_encoded(enc, dictionary, min_support, max_len, report, k)
+
+
+def _mine_encoded(enc: DataFrame, dictionary: DataFrame, min_support, max_len: int | None,
+                  report: str, k: int | None) -> DataFrame:
+    # encoding keeps rows distinct
+    res = apriori(enc, min_support, item="item_id", max_len=max_len, report=report, k=k,
+                  already_distinct=True)
     return decode(res, dictionary, item="item", item_id="item_id", sort=True)
 
 
@@ -46,11 +54,16 @@ def ordered_analysis(rows: DataFrame, min_support, *, tid: str, item: str, ts: s
                      max_len: int | None = None, report: str = "all", k: int | None = None,
                      parse_time: bool = True) -> DataFrame:
     """Time-ordered patterns (MINE-10) after cleaning rows with a valid time
-    (PRJ-11, PRJ-12); ties in time are broken by the item."""
-    clean = clean_rows(rows, tid, item, ts, parse_time=parse_time) \
-        .select(F.col(tid).alias("tid"), F.col(item).alias("item"), F.col(ts).alias("ts"))
-    return ordered_patterns(clean, min_support, order=("ts", "item"), max_len=max_len,
-                            report=report, k=k)
+    (PRJ-11, PRJ-12); ties in time are broken by the item.  Items are encoded,
+    mined and decoded (ENC-1..3)."""
+    clean = materialize(
+        clean_rows(rows, tid, item, ts, parse_time=parse_time)
+        .select(F.col(tid).alias("tid"), F.col(item).alias("item"), F.col(ts).alias("ts")), "clean")
+    dictionary = materialize(build_dictionary(clean, order="asc"), "dictionary")
+    enc = encode(clean.withColumn("name", F.col("item")), dictionary)
+    res = ordered_patterns(enc, min_support, item="item_id", order=("ts", "name"),
+                           max_len=max_len, report=report, k=k)
+    return decode(res, dictionary, itemset="pattern", sort=False)
 
 
 def pos_basket_analysis(spark: SparkSession, path: str, min_support, **kw) -> DataFrame:
@@ -75,12 +88,16 @@ def retail_basket_analysis(spark: SparkSession, path: str, min_support,
     """PIPE-3: invoices as baskets of stock codes; optionally writes the
     integer-coded baskets as ``', '``-joined lines (SNK-2)."""
     rows = retail_rows(spark, path)
-    if encoded_out:
-        clean = clean_rows(rows, "InvoiceNo", "StockCode") \
-            .select(F.col("InvoiceNo").alias("tid"), F.col("StockCode").alias("item"))
-        enc, _ = encoded_rows(clean, order="asc")
-        write_baskets_text(to_baskets(enc, item="item_id"), encoded_out, sep=", ")
-    return basket_analysis(rows, min_support, tid="InvoiceNo", item="StockCode", **kw)
+    if not encoded_out:
+        return basket_analysis(rows, min_support, tid="InvoiceNo", item="StockCode", **kw)
+    clean = clean_rows(rows, "InvoiceNo", "StockCode",
+                       numeric_only=kw.pop("numeric_only", False)) \
+        .select(F.col("InvoiceNo").alias("tid"), F.col("StockCode").alias("item"))
+    enc, dictionary = encoded_rows(clean, order="asc")
+    enc = materialize(enc, "encoded")
+    write_baskets_text(to_baskets(enc, item="item_id"), encoded_out, sep=", ")
+    return _mine_encoded(enc, dictionary, min_support, kw.get("max_len"),
+                         kw.get("report", "all"), kw.get("k"))
 
 
 def retail_ordered_analysis(spark: SparkSession, path: str, min_support, **kw) -> DataFrame:
@@ -98,8 +115,9 @@ def retail_prepare(spark: SparkSession, path: str, out: str | None = None,
     if time_ordered:
         clean = clean_rows(rows, "InvoiceNo", "StockCode", "InvoiceDate",
                            numeric_only=numeric_only)
-        baskets = ordered_baskets(clean.dropDuplicates(["InvoiceNo", "StockCode"]),
-                                  "InvoiceNo", "StockCode", ["InvoiceDate"])
+        first = clean.groupBy("InvoiceNo", "StockCode").agg(
+            F.min("InvoiceDate").alias("InvoiceDate"))
+        baskets = ordered_baskets(first, "InvoiceNo", "StockCode", ["InvoiceDate"])
     else:
         clean = clean_rows(rows, "InvoiceNo", "StockCode", numeric_only=numeric_only)
         baskets = to_baskets(clean, "InvoiceNo", "StockCode")

@@ -14,19 +14,20 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import itemset_text
+from ..functions import contains_all, intersect, itemset_text
 from ..operators.apriori import apriori, r_apriori
 from ..operators.candidates import candidates, count_containment, items_in_candidates
 from ..operators.eclat import bitset_support, eclat, tid_bitsets
-from ..operators.encode import build_dictionary, decode, encode, encoded_rows
+from ..operators.encode import build_dictionary, encode
 from ..operators.fpgrowth import fpgrowth
 from ..operators.ordered import ordered_patterns
-from ..operators.prepare import clean_rows, profile, to_baskets
+from ..operators.prepare import profile, to_baskets
 from ..operators.rules import association_rules
 from ..operators.support import (basket_stats, distinct_rows, frequent, item_support,
                                   min_count, pair_support, trim_baskets)
 from ..session import materialize
 from . import catalog as C
+from .pipelines import basket_analysis
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -133,17 +134,16 @@ SELECT tid, item FROM k SEMI JOIN big USING (tid)""")
 def basket_trim_q(spark, d):
     rows = materialize(distinct_rows(C.order_column_rows(spark, d, "l_suppkey")), "supp-rows")
     m = min_count(Fraction(4, 100), basket_stats(rows).n_baskets)
-    return trim_baskets(rows, frequent(item_support(rows, already_distinct=True), m), 2)
+    items = materialize(frequent(item_support(rows, already_distinct=True), m), "items")
+    return trim_baskets(rows, items, 2, already_distinct=True)
 
 
 @register("basket_contains", f"""
 WITH b AS ({TYPE})
 SELECT tid FROM b WHERE item IN ('PROMO', 'SMALL') GROUP BY tid HAVING count(*) = 2""")
 def basket_contains_q(spark, d):
-    wanted = ["PROMO", "SMALL"]
-    rows = distinct_rows(C.order_type_rows(spark, d)).where(F.col("item").isin(wanted))
-    return rows.groupBy("tid").agg(F.count(F.lit(1)).alias("_n")) \
-        .where(F.col("_n") == len(wanted)).select("tid")
+    wanted = F.array(F.lit("PROMO"), F.lit("SMALL"))
+    return to_baskets(C.order_type_rows(spark, d)).where(contains_all("items", wanted)).select("tid")
 
 
 @register("basket_intersect", f"""
@@ -152,13 +152,10 @@ SELECT tid, count(*) FILTER (WHERE item IN ('ECONOMY', 'LARGE', 'PROMO')) AS n_c
        coalesce(array_to_string(list_sort(list(item) FILTER (WHERE item IN ('ECONOMY', 'LARGE', 'PROMO'))), '|'), '') AS common
 FROM b GROUP BY tid""")
 def basket_intersect_q(spark, d):
-    wanted = ["ECONOMY", "LARGE", "PROMO"]
-    rows = distinct_rows(C.order_type_rows(spark, d))
-    hit = F.col("item").isin(wanted)
-    # only the (at most len(wanted)) common items are collected per basket
-    return rows.groupBy("tid").agg(
-        F.count(F.when(hit, 1)).alias("n_common"),
-        F.concat_ws("|", F.array_sort(F.collect_list(F.when(hit, F.col("item"))))).alias("common"))
+    wanted = F.array(F.lit("ECONOMY"), F.lit("LARGE"), F.lit("PROMO"))
+    common = to_baskets(C.order_type_rows(spark, d)).withColumn("common", intersect("items", wanted))
+    return common.select("tid", F.size("common").cast("bigint").alias("n_common"),
+                         F.concat_ws("|", F.array_sort("common")).alias("common"))
 
 
 # ------------------------------------------------------------------ dictionary
@@ -187,9 +184,8 @@ def encode_baskets_q(spark, d):
 def pipeline_encoded_q(spark, d):
     # line rows with string ids, cleaned, encoded, mined on ids, decoded
     raw = C.order_brand_rows(spark, d).select(F.col("tid").cast("string").alias("tid"), "item")
-    rows, dictionary = encoded_rows(clean_rows(raw, "tid", "item"), order="asc")
-    res = apriori(rows, Fraction(2, 100), item="item_id", max_len=2, report="exact_k", k=2)
-    res = decode(res, dictionary, item="item", item_id="item_id", sort=True)
+    res = basket_analysis(raw, Fraction(2, 100), tid="tid", item="item", max_len=2,
+                          report="exact_k", k=2)
     return _as_columns(res, 2)
 
 
@@ -235,9 +231,9 @@ t AS (SELECT x.item AS item1, y.item AS item2, z.item AS item3, count(*) AS supp
 SELECT c.item1, c.item2, c.item3, coalesce(t.support, 0) AS support FROM c LEFT JOIN t USING (item1, item2, item3)""")
 def candidate_containment_q(spark, d):
     rows = materialize(distinct_rows(C.order_brand_rows(spark, d)), "brand-rows")
-    l2 = apriori(rows, Fraction(2, 100), max_len=2, report="exact_k", k=2)
-    cand = candidates(l2)
-    return _as_columns(count_containment(rows, cand).withColumn("k", F.size("itemset")), 3)
+    l2 = apriori(rows, Fraction(2, 100), max_len=2, report="exact_k", k=2, already_distinct=True)
+    counted = count_containment(rows, candidates(l2), already_distinct=True)
+    return _as_columns(counted.withColumn("k", F.size("itemset")), 3)
 
 
 @register("items_in_candidates", CAND_SQL + """
@@ -318,10 +314,8 @@ SELECT array_to_string(list_filter(r.items, lambda x: x <> r.consequent), '|') A
 FROM r JOIN f a ON a.items = list_filter(r.items, lambda x: x <> r.consequent)
 WHERE r.support * 1000 >= 488 * a.support""")
 def association_rules_q(spark, d):
-    rows = C.order_type_rows(spark, d)
-    n = rows.select("tid").distinct().count()
-    sets = apriori(rows, Fraction(1, 100))
-    rules = association_rules(sets, Fraction(488, 1000), n_baskets=n)
+    sets = apriori(C.order_type_rows(spark, d), Fraction(1, 100))
+    rules = association_rules(sets, Fraction(488, 1000))
     ppm = F.call_function("div", F.col("support") * F.lit(1_000_000), F.col("antecedent_support"))
     return rules.select(itemset_text("antecedent").alias("antecedent"), "consequent", "support",
                         "antecedent_support", ppm.cast("bigint").alias("confidence_ppm"))
@@ -389,7 +383,8 @@ SELECT x.item AS item1, y.item AS item2, count(*) AS support
 FROM fb x JOIN fb y ON x.tid = y.tid AND x.item < y.item
 GROUP BY 1, 2 HAVING count(*) * 5 >= (SELECT n FROM n)""")
 def doc_terms_pairs_q(spark, d):
-    return pair_support(C.document_word_rows(spark, d), Fraction(1, 5))
+    return pair_support(C.document_word_rows(spark, d, distinct=True), Fraction(1, 5),
+                        already_distinct=True)
 
 
 # ------------------------------------------------------------------ more report modes and options
@@ -424,5 +419,6 @@ WITH b AS (SELECT DISTINCT tid, item FROM (
 n AS (SELECT count(DISTINCT tid) AS n FROM b)
 SELECT item, count(*) AS support FROM b GROUP BY item HAVING count(*) * 5 >= (SELECT n FROM n)""")
 def doc_word_support_q(spark, d):
-    res = apriori(C.document_word_rows(spark, d), Fraction(1, 5), max_len=1)
+    res = apriori(C.document_word_rows(spark, d, distinct=True), Fraction(1, 5), max_len=1,
+                  already_distinct=True)
     return res.select(F.col("itemset")[0].alias("item"), "support")

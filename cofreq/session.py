@@ -11,14 +11,18 @@ stays one level deep.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from urllib.parse import urlparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
-# Rows below which a helper table (item list, hot-group list, dictionary,
-# level table) may be broadcast.  The count is measured, never assumed.
-BROADCAST_MAX_ROWS = 1_000_000
+# Bytes below which a helper table (item list, hot-group list, dictionary,
+# level table) may be broadcast.  The size is measured or proven, never assumed.
+BROADCAST_MAX_BYTES = 32 << 20
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
@@ -48,7 +52,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     Uses the directory the session already has, else ``spark.checkpoint.dir``
     from the session's configuration.  Only when both are unset is one chosen
     here: a temporary folder for ``local`` masters (tests), and a folder under
-    the warehouse directory (shared storage) otherwise.
+    the warehouse directory otherwise, unless that is a local path, which the
+    executors of a cluster would not share.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,67 +62,93 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    elif sc.master.startswith("local"):
+    elif re.fullmatch(r"local(\[.*\])?", sc.master):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="cofreq-ckpt-"))
     else:
         warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        if urlparse(warehouse).scheme in ("", "file"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all "
+                             f"executors share; the warehouse {warehouse} is a local path")
         sc.setCheckpointDir(warehouse.rstrip("/") + "/_cofreq_checkpoints")
     return sc.getCheckpointDir()
 
 
+def run_folder(spark: SparkSession) -> str:
+    """This application's folder of written tables; :func:`cleanup` removes it."""
+    return f"{checkpoint_root(spark).rstrip('/')}/cofreq/{spark.sparkContext.applicationId}"
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` as parquet under the checkpoint folder and read it back.
+    """Write ``df`` as parquet under the run folder and read it back.
 
     One pass over the input; the returned DataFrame is a plain file scan, so
     its lineage is cut and its size is known to the optimizer.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark).rstrip('/')}/cofreq/{tag}-{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._cofreq_path = path  # lets release() remove the table later
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def release(*dfs: DataFrame | None) -> None:
     """Delete tables written by :func:`materialize` once nothing will read
-    them again (intermediate rows and occurrence tables of finished levels),
-    so repeated runs do not fill the shared checkpoint folder.  Results are
-    never discarded: they keep reading their level tables."""
+    them again (intermediate rows and occurrence tables of finished levels).
+    Results keep reading their level tables; :func:`cleanup` removes those."""
     for df in dfs:
         path = getattr(df, "_cofreq_path", None) if df is not None else None
-        if not path:
-            continue
-        spark = df.sparkSession
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
-        df._cofreq_path = None
-
-
-def row_count_at_most(df: DataFrame, limit: int) -> int | None:
-    """Return the row count of ``df`` if it is at most ``limit``, else None.
-
-    Reads at most ``limit + 1`` rows, so checking a huge table stays cheap.
-    """
-    n = df.limit(limit + 1).count()
-    return n if n <= limit else None
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_MAX_ROWS,
+        if path:
+            _delete(df.sparkSession, path)
+            df._cofreq_path = None
+
+
+def cleanup(spark: SparkSession) -> None:
+    """Delete every table this application has written.  Call it when no
+    result is read any more: results read their level tables lazily."""
+    _delete(spark, run_folder(spark))
+
+
+def _row_bytes(schema: StructType) -> tuple[int, list[Column]]:
+    """Bytes of a row's fixed part, and the sizes of its variable columns."""
+    fixed, variable = 0, []
+    for f in schema.fields:
+        c = F.col(f"`{f.name}`")
+        fixed += 16
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            variable.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        elif isinstance(f.dataType, ArrayType):
+            each = f.dataType.elementType
+            width = (F.aggregate(c, F.lit(0), lambda n, x: n + 16 + F.coalesce(F.octet_length(x), F.lit(0)))
+                     if isinstance(each, (StringType, BinaryType)) else F.size(c) * 16)
+            variable.append(F.coalesce(width, F.lit(0)))
+        elif isinstance(f.dataType, (StructType, MapType)):
+            variable.append(F.octet_length(F.to_json(c)) * 2 + 16)
+    return fixed, variable
+
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_MAX_BYTES,
                        bound: int | None = None) -> DataFrame:
-    """Broadcast-hint ``df`` only when its row count is within ``limit``;
+    """Broadcast-hint ``df`` only when its size is within ``limit`` bytes;
     otherwise leave the join strategy to Spark (shuffle join, AQE may still
     switch at run time).
 
     ``bound`` is a proven upper bound on the rows (e.g. a known count, or
-    rows / min_support for frequent items); when it is within the limit no
-    job is needed, otherwise the rows are counted (at most ``limit + 1``).
+    rows / min_support for frequent items); with columns of fixed width it
+    decides without a job.  Else the bytes are summed by a partial aggregate,
+    one row per task reaching the last one.
     """
-    from pyspark.sql import functions as F
-
-    if bound is not None and bound <= limit:
-        return F.broadcast(df)
-    if row_count_at_most(df, limit) is not None:
-        return F.broadcast(df)
-    return df
+    fixed, variable = _row_bytes(df.schema)
+    if bound is not None and not variable:
+        return F.broadcast(df) if bound * fixed <= limit else df
+    size = F.lit(fixed).cast("bigint")
+    for v in variable:
+        size = size + v
+    total = df.agg(F.sum(size)).first()[0] or 0
+    return F.broadcast(df) if total <= limit else df
