@@ -8,6 +8,7 @@ n``), so Spark and the oracle agree exactly.  Itemsets are reported as
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from fractions import Fraction
 
@@ -25,9 +26,12 @@ from ..operators.prepare import profile, to_baskets
 from ..operators.rules import association_rules
 from ..operators.support import (basket_stats, distinct_rows, frequent, item_support,
                                   min_count, pair_support, trim_baskets)
-from ..session import materialize
+from ..session import materialize, run_folder
+from ..sources import count_lines, read_baskets, read_rows, write_baskets_text
 from . import catalog as C
-from .pipelines import basket_analysis
+from .pipelines import (POS_COLUMNS, POS_N_COLUMNS, POS_SEP, basket_analysis,
+                        csv_basket_analysis, pos_basket_analysis, retail_basket_analysis,
+                        retail_ordered_analysis, retail_prepare)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -422,3 +426,113 @@ def doc_word_support_q(spark, d):
     res = apriori(C.document_word_rows(spark, d, distinct=True), Fraction(1, 5), max_len=1,
                   already_distinct=True)
     return res.select(F.col("itemset")[0].alias("item"), "support")
+
+
+# ------------------------------------------------------------------ files and pipelines
+#
+# Each writes the tables' rows as files of the source's format under the run
+# folder and runs the source or pipeline on them.
+
+def _file(spark, df: DataFrame, sep: str) -> str:
+    path = f"{run_folder(spark)}/file-{uuid.uuid4().hex}"
+    df.write.option("header", True).option("sep", sep).csv(path)
+    return path
+
+
+def _retail_file(spark, d) -> str:
+    li = C.order_type_rows(spark, d, ("l_linenumber", "l_shipdate"))
+    time = F.concat(F.date_format("l_shipdate", "MM/dd/yyyy"), F.lit(" 10:00:00"))
+    # every seventh line has a time that is none
+    time = F.when(F.col("l_linenumber") == 7, F.lit("unknown")).otherwise(time)
+    cols = {"InvoiceNo": F.col("tid"), "StockCode": F.col("item"), "Description": F.lit("a, b"),
+            "Quantity": F.lit(1), "InvoiceDate": time, "UnitPrice": F.lit("1.0"),
+            "CustomerID": F.lit(None).cast("string"), "Country": F.lit("x")}
+    return _file(spark, li.select(*[c.alias(n) for n, c in cols.items()]), ",")
+
+
+@register("basket_file", """
+WITH b AS (SELECT DISTINCT l_orderkey AS tid, l_suppkey AS item FROM lineitem), n AS (SELECT count(DISTINCT tid) AS n FROM b)
+SELECT item, count(*) AS support FROM b GROUP BY item HAVING count(*) * 100 >= 3 * (SELECT n FROM n)""")
+def basket_file_q(spark, d):
+    path = f"{run_folder(spark)}/file-{uuid.uuid4().hex}"
+    write_baskets_text(to_baskets(C.order_column_rows(spark, d, "l_suppkey")), path)
+    res = apriori(read_rows(spark, path, "bigint"), Fraction(3, 100), max_len=1,
+                  n_baskets=count_lines(spark, path))
+    return res.select(F.col("itemset")[0].alias("item"), "support")
+
+
+@register("csv_baskets", _pairs_sql(BRAND, 2, 100))
+def csv_baskets_q(spark, d):
+    path = _file(spark, C.order_brand_rows(spark, d), ",")
+    return _as_columns(csv_basket_analysis(spark, path, Fraction(2, 100), "tid", "item", max_len=2,
+                                           report="exact_k", k=2), 2)
+
+
+@register("pos_baskets", """
+WITH b AS (SELECT DISTINCT l_orderkey AS tid, l_suppkey::VARCHAR AS item FROM lineitem WHERE l_linenumber <> 1),
+n AS (SELECT count(DISTINCT tid) AS n FROM b)
+SELECT item, count(*) AS support FROM b GROUP BY item HAVING count(*) * 100 >= 3 * (SELECT n FROM n)""")
+def pos_baskets_q(spark, d):
+    li = C.table(spark, d, "lineitem").select("l_orderkey", "l_suppkey", "l_linenumber")
+    # first lines carry a code that is not numeric and is dropped (PRJ-13)
+    code = F.when(F.col("l_linenumber") == 1, F.concat(F.lit("X"), "l_suppkey")) \
+        .otherwise(F.col("l_suppkey").cast("string"))
+    at = {POS_COLUMNS["RPA_TNR"]: F.col("l_orderkey").cast("string"),
+          POS_COLUMNS["RPA_BTS"]: F.lit("10:00"), POS_COLUMNS["EANUPC"]: code}
+    wide = li.select(*[at.get(i, F.lit(None).cast("string")).alias(f"c{i}") for i in range(POS_N_COLUMNS)])
+    res = pos_basket_analysis(spark, _file(spark, wide, POS_SEP), Fraction(3, 100), max_len=1,
+                              numeric_only=True)
+    return res.select(F.col("itemset")[0].alias("item"), "support")
+
+
+@register("retail_sets", TYPE_117)
+def retail_sets_q(spark, d):
+    coded = f"{run_folder(spark)}/file-{uuid.uuid4().hex}"
+    return _as_text(retail_basket_analysis(spark, _retail_file(spark, d), Fraction(117, 1000),
+                                           encoded_out=coded))
+
+
+@register("coded_baskets", f"""
+WITH b AS ({TYPE}), s AS (SELECT item, count(*) AS support FROM b GROUP BY item),
+dct AS (SELECT item, row_number() OVER (ORDER BY support, item) AS id FROM s)
+SELECT array_to_string(list_sort(list(id)), '|') AS itemset, count(*) OVER () AS n
+FROM b JOIN dct USING (item) GROUP BY tid""")
+def coded_baskets_q(spark, d):
+    # the integer-coded baskets of the retail job (SNK-2), read back
+    coded = f"{run_folder(spark)}/file-{uuid.uuid4().hex}"
+    retail_basket_analysis(spark, _retail_file(spark, d), Fraction(117, 1000), encoded_out=coded, max_len=1)
+    baskets = read_baskets(spark, coded, sep=r"\s*,\s*")
+    return baskets.select(F.concat_ws("|", F.array_sort("items").cast("array<string>")).alias("itemset"),
+                          F.lit(count_lines(spark, coded)).cast("bigint").alias("n"))
+
+
+@register("retail_sequences", f"""
+WITH r AS (SELECT l_orderkey AS tid, p_type AS item, l_shipdate AS ts FROM lineitem JOIN part ON l_partkey = p_partkey
+           WHERE l_linenumber <> 7),
+s AS (SELECT *, row_number() OVER (PARTITION BY tid ORDER BY ts, item) AS r FROM r),
+n AS (SELECT count(DISTINCT tid) AS n FROM s)
+SELECT a.item AS item1, b.item AS item2, count(DISTINCT a.tid) AS support
+FROM s a JOIN s b ON a.tid = b.tid AND a.r < b.r GROUP BY 1, 2
+HAVING count(DISTINCT a.tid) * 10 >= (SELECT n FROM n)""")
+def retail_sequences_q(spark, d):
+    res = retail_ordered_analysis(spark, _retail_file(spark, d), Fraction(1, 10), report="exact_k", k=2)
+    return res.select(F.col("pattern")[0].alias("item1"), F.col("pattern")[1].alias("item2"), "support")
+
+
+@register("retail_prepared", f"""
+WITH r AS (SELECT l_orderkey AS tid, p_type AS item, min(l_shipdate) AS ts FROM lineitem JOIN part ON l_partkey = p_partkey
+           WHERE l_linenumber <> 7 GROUP BY 1, 2)
+SELECT tid::VARCHAR AS tid, string_agg(item, ' ' ORDER BY ts, item) AS basket FROM r GROUP BY tid""")
+def retail_prepared_q(spark, d):
+    baskets = retail_prepare(spark, _retail_file(spark, d), time_ordered=True)
+    return baskets.select("tid", F.concat_ws(" ", "items").alias("basket"))
+
+
+@register("eclat_from_2", f"SELECT * FROM ({TYPE_117}) WHERE k >= 2")
+def eclat_from_2_q(spark, d):
+    return _as_text(eclat(C.order_type_rows(spark, d), Fraction(117, 1000), report="from_k", k=2))
+
+
+@register("fpgrowth_deep", _all_itemsets_sql(TYPE, 1, 100))
+def fpgrowth_deep_q(spark, d):
+    return _as_text(fpgrowth(C.order_type_rows(spark, d), Fraction(1, 100)))
