@@ -4,8 +4,9 @@ For unit vectors a cosine of at least ``c`` is a squared distance of at most
 ``2 - 2c``.  A rotation keeps distances; split the rotated coordinates into
 blocks, and some block holds no more than its share of that budget.  So each
 block is range-joined under its share: vectors lie in grid cells of their
-block's first two coordinates, each visits the cells that its ball reaches,
-and distances within a cell are taken over the whole block.  Pairs that pass
+block's first two coordinates, each visits the lower neighbour cells that its
+ball reaches, and distances within a cell are taken over the whole block.  So
+two vectors near each other meet in the lower of their cells, once.  Pairs that pass
 any block are verified exactly, and counted in the first block they pass only,
 which each task can tell by itself.
 
@@ -31,10 +32,13 @@ BLOCK = 16
 #: Width of a grid cell, in radii.
 CELL = 1.5
 #: Vectors at home in a tile, and visitors of a tile.
-HOME, VISITORS = 8192, 32768
+HOME, VISITORS = 16384, 65536
 #: Room for rounding in the blocks' budgets and in coarse (32-bit) distances.
 SLACK, COARSE = 1e-9, 1e-4
 SEED = 20
+#: What a vector is to a tile: at home in its row, at home and met there, a
+#: visitor.
+HERE, ALSO_HERE, VISITOR = 0, 1, 2
 
 
 def rotation(dim: int) -> np.ndarray:
@@ -59,7 +63,7 @@ def unit(vectors: np.ndarray) -> np.ndarray:
 
 
 def _visits(cosine: float):
-    """For each vector and block: its home cell, and the cells it visits."""
+    """For each vector and block: its home cell, and the lower cells it visits."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             cid = b.column(0).to_numpy()
@@ -75,20 +79,19 @@ def _visits(cosine: float):
                     first = y[:, lo]
                     second = y[:, lo + 1] if hi - lo > 1 else np.zeros(len(y))
                     home = np.floor(first / width).astype(int), np.floor(second / width).astype(int)
-                    for dx in (-1, 0, 1):
-                        for dy in (-1, 0, 1):
-                            cx, cy = home[0] + dx, home[1] + dy
-                            # distance from the point to that cell
-                            gx = np.maximum(np.maximum(cx * width - first, first - (cx + 1) * width), 0)
-                            gy = np.maximum(np.maximum(cy * width - second, second - (cy + 1) * width), 0)
-                            near = np.flatnonzero(gx * gx + gy * gy <= radius * radius)
-                            if len(near):
-                                yield pa.RecordBatch.from_arrays(
-                                    [pa.array(cid[of][near]), pa.array(np.full(len(near), dim, np.int32)),
-                                     pa.array(np.full(len(near), block, np.int32)),
-                                     pa.array(cx[near].astype(np.int32)), pa.array(cy[near].astype(np.int32)),
-                                     pa.array(np.full(len(near), dx == 0 and dy == 0))],
-                                    names=["cid", "dim", "block", "cx", "cy", "home"])
+                    for dx, dy in ((0, 0), (0, -1), (-1, -1), (-1, 0), (-1, 1)):
+                        cx, cy = home[0] + dx, home[1] + dy
+                        # distance from the point to that cell
+                        gx = np.maximum(np.maximum(cx * width - first, first - (cx + 1) * width), 0)
+                        gy = np.maximum(np.maximum(cy * width - second, second - (cy + 1) * width), 0)
+                        near = np.flatnonzero(gx * gx + gy * gy <= radius * radius)
+                        if len(near):
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array(cid[of][near]), pa.array(np.full(len(near), dim, np.int32)),
+                                 pa.array(np.full(len(near), block, np.int32)),
+                                 pa.array(cx[near].astype(np.int32)), pa.array(cy[near].astype(np.int32)),
+                                 pa.array(np.full(len(near), dx == 0 and dy == 0))],
+                                names=["cid", "dim", "block", "cx", "cy", "home"])
     return run
 
 
@@ -111,36 +114,41 @@ def _first_block(a: np.ndarray, b: np.ndarray, q: np.ndarray, blocks: list) -> n
 
 
 def _join(cosine: float):
-    """One tile: links between vectors at home and later visitors."""
+    """One tile: links of its vectors at home, with later ones of the same
+    home and with visitors."""
     def run(table: pa.Table) -> pa.Table:
         dim, block = table.column("dim")[0].as_py(), table.column("block")[0].as_py()
         q, blocks = rotation(dim), budgets(dim, cosine)
         lo, hi, budget = blocks[block]
         cid = table.column("cid").to_numpy()
-        home = table.column("home").to_numpy(zero_copy_only=False).astype(bool)
+        role = table.column("role").to_numpy()
         weight = table.column("n").to_numpy()
         raw = np.frombuffer(b"".join(table.column("vector").to_pylist()), "<f8").reshape(-1, dim)
         ids, first, at = np.unique(cid, return_index=True, return_inverse=True)
         raw, weight = raw[first], weight[first]
         v = unit(raw)
         y = (v @ q[:, lo:hi]).astype(np.float32)
-        square = (y * y).sum(axis=1)
+        square = (y * y).sum(axis=1, keepdims=True)
+        # one product gives the squared distances
+        one, two = np.hstack([y, square, np.ones_like(square)]), np.hstack([-2 * y, np.ones_like(square), square])
         # ids ascend, so rows of the distinct classes do too
-        left = np.unique(at[home])
-        right = np.unique(at[~home]) if table.column("split")[0].as_py() else np.arange(len(ids))
+        left = np.unique(at[role == HERE])
+        others = np.unique(at[role == ALSO_HERE]) if table.column("split")[0].as_py() else left
+        visitor = np.zeros(len(ids), bool)
+        visitor[at[role == VISITOR]] = True
+        visitors = np.flatnonzero(visitor)
         links = np.zeros(len(ids), np.int64)
         label = np.arange(len(ids))
         edges = []
         for lo_row in range(0, len(left), 256):
             rows = left[lo_row:lo_row + 256]
-            cols = right[np.searchsorted(right, rows[0], "right"):]
+            cols = np.concatenate([others[np.searchsorted(others, rows[0], "right"):], visitors])
             if not len(cols):
                 continue
-            near = square[rows][:, None] + square[cols] - 2 * (y[rows] @ y[cols].T) <= budget + COARSE
-            i, j = np.nonzero(near)
-            i, j = rows[i], cols[j]
-            later = i < j
-            i, j = i[later], j[later]
+            near = np.flatnonzero(one[rows] @ two[cols].T <= np.float32(budget + COARSE))
+            i, j = rows[near // len(cols)], cols[near % len(cols)]
+            once = visitor[j] | (i < j)
+            i, j = i[once], j[once]
             for k in range(0, len(i), 1 << 16):
                 a, b = i[k:k + (1 << 16)], j[k:k + (1 << 16)]
                 good = np.einsum("ij,ij->i", v[a], v[b]) >= cosine
@@ -226,21 +234,23 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
         F.ceil(F.count("*") / VISITORS).cast("int").alias("n_right")).where("n_left > 0")
     placed = visits.join(tiles, cell)
     # A cell of one tile holds each vector once.  In a cut cell a vector at
-    # home goes to every tile of its row as home, and like every visitor to
-    # every tile of its column.
+    # home goes to every tile of its row, and once more, as one that the rows'
+    # vectors meet, to every tile of its column, as visitors do.
     salt = F.xxhash64("cid")
     left, right = F.pmod(salt, "n_left").cast("int"), F.pmod(salt, "n_right").cast("int")
     split = (F.col("n_left") > 1) | (F.col("n_right") > 1)
 
-    def tile(row, column, home):
-        return F.struct(row.cast("int").alias("row"), column.cast("int").alias("column"), home.alias("home"))
+    def tile(row, column, role):
+        return F.struct(row.cast("int").alias("row"), column.cast("int").alias("column"), role.alias("role"))
 
-    as_home = F.transform(F.sequence(F.lit(0), F.col("n_right") - 1), lambda c: tile(left, c, F.lit(True)))
-    as_visitor = F.transform(F.sequence(F.lit(0), F.col("n_left") - 1), lambda r: tile(r, right, F.lit(False)))
-    both = F.when(~split, F.array(tile(F.lit(0), F.lit(0), F.col("home")))).when(
-        F.col("home"), F.concat(as_home, as_visitor)).otherwise(as_visitor)
+    other = F.when(F.col("home"), F.lit(ALSO_HERE)).otherwise(F.lit(VISITOR))
+    rows_of = F.transform(F.sequence(F.lit(0), F.col("n_right") - 1), lambda c: tile(left, c, F.lit(HERE)))
+    columns_of = F.transform(F.sequence(F.lit(0), F.col("n_left") - 1), lambda r: tile(r, right, other))
+    whole = F.when(F.col("home"), F.lit(HERE)).otherwise(F.lit(VISITOR))
+    both = F.when(~split, F.array(tile(F.lit(0), F.lit(0), whole))).when(
+        F.col("home"), F.concat(rows_of, columns_of)).otherwise(columns_of)
     dealt = (placed.withColumn("split", split).withColumn("tile", F.explode(both))
-             .select("cid", *cell, "split", "tile.row", "tile.column", "tile.home")
+             .select("cid", *cell, "split", "tile.row", "tile.column", "tile.role")
              .join(packed.select("cid", "vector", "n"), "cid"))
     found = materialize(
         dealt.groupBy(*cell, "row", "column").applyInArrow(_join(cosine), "cid long, links long, low long"), "links")
