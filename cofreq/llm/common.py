@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,8 +29,14 @@ ARROW_ROWS = 512
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches of the session's Python stages."""
+    """Bound the Arrow batches of the session's Python stages, and let workers
+    on this machine find the package wherever the driver was started (on a
+    cluster it is shipped with ``--py-files`` or installed)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
 #: Columns that name a row by its content.
