@@ -120,6 +120,10 @@ def apriori(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "item
         if strategy == "pairs":
             cand = pairs_within(occ, [tid, "prefix"], "last", max_group=max_group,
                                 check_hot=check)
+            if level >= 2:
+                # the two last items must be a frequent pair themselves (CG-6),
+                # so most candidates that fail are never counted
+                cand = cand.join(pair_keys, ["last_a", "last_b"], "left_semi")
             cand = cand.select(tid, F.concat("prefix", F.array("last_a")).alias("prefix"),
                                F.col("last_b").alias("last"))
         else:
@@ -141,6 +145,10 @@ def apriori(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "item
         done = occ
         if size > 1 and (stop is None or level < stop):
             keys = broadcast_if_small(nxt.select("prefix", "last"), bound=size)
+            if level == 2 and strategy == "pairs":
+                pair_keys = broadcast_if_small(
+                    nxt.select(F.col("prefix")[0].alias("last_a"), F.col("last").alias("last_b")),
+                    bound=size)
             occ = materialize(cand.join(keys, ["prefix", "last"], "left_semi"), f"occ-{level}")
         cand.unpersist()
         if done is not occ:
