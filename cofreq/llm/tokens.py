@@ -42,9 +42,8 @@ _LATIN_WORDS = re.compile("[\t\n\r -&(-~À-ÖØ-öø-ÿ]*")
 #: that of the file with word ends, as it stands there.
 BYTE_RULE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORD_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: Between two pieces of WORD_RULE, in lower-case _LATIN_WORDS without white
-#: space: after letters or a digit, or before them.
-_BETWEEN = re.compile("(?<=[a-zß-öø-ÿ])(?=[^a-zß-öø-ÿ\0])|(?<=[0-9])(?=[^\0])|(?<=[^a-zß-öø-ÿ0-9\0])(?=[a-zß-öø-ÿ0-9])")
+#: The pieces of WORD_RULE in lower-case _LATIN_WORDS: letters, one digit, marks.
+_PIECES = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9\t\n\r ]+")
 
 
 def _byte_of() -> dict[str, int]:
@@ -143,10 +142,9 @@ class Encoder:
         if self.ends_marked:
             if not _LATIN_WORDS.fullmatch(text):
                 return None
-            text = "\0".join(text.lower().split())
+            text = "".join([p + "\0" for p in _PIECES.findall(text.lower())])
             if not text:
                 return b""
-            text = _BETWEEN.sub("\0", text) + "\0"
         elif not _LATIN.fullmatch(text):
             return None
         return self.merger.encode_to_numpy(text).astype(self.dtype).tobytes()
