@@ -1,10 +1,11 @@
-"""Plan guards: no registered query uses a cartesian product, a nested-loop
+"""Plan guards: no mining query uses a cartesian product, a nested-loop
 join or a Python UDF anywhere in the tables it writes or returns."""
 
 import pytest
 
 import __spark_entry__ as E
 import cofreq.session as S
+from cofreq.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
@@ -28,15 +29,17 @@ def captured(monkeypatch):
     import cofreq.operators.candidates as CA
     import cofreq.operators.eclat as EC
     import cofreq.operators.encode as EN
+    import cofreq.operators.fpgrowth as FP
     import cofreq.operators.groupjoin as G
     import cofreq.operators.ordered as O
+    import cofreq.plans.pipelines as P
     import cofreq.plans.queries as Q
-    for mod in (S, A, CA, EC, EN, G, O, Q):
+    for mod in (S, A, CA, EC, EN, FP, G, O, P, Q):
         monkeypatch.setattr(mod, "materialize", spy, raising=False)
     return plans
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_join_or_python_udf(spark, captured, name):
     df = E.queries()[name](spark, SF)
     captured.append(("result", _plan(df)))
