@@ -139,7 +139,8 @@ def pack(docs: DataFrame, path: str | None = None, end_id: int = END_ID, sequenc
             types = [pa.int64()] * 7 + [pa.string(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
 
-    return (tokens.join(places, "rid").select("doc_id", "source", "width", "ids", "place")
+    # places grow with the documents: always by sorted shuffle, never broadcast
+    return (tokens.join(places.hint("merge"), "rid").select("doc_id", "source", "width", "ids", "place")
             .mapInArrow(cut, schema))
 
 
