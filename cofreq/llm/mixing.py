@@ -26,6 +26,8 @@ from cofreq.session import materialize
 MAX_REPEAT = 3
 #: Rows that a bucket or a time range aims at.
 RANGE_ROWS = 10_000
+#: Time ranges at least, so that a small mix also spreads over many tasks.
+MIN_RANGES = 256
 
 
 def source_targets(sizes: DataFrame, max_repeat: int = MAX_REPEAT) -> DataFrame:
@@ -77,7 +79,7 @@ def mix(rows: DataFrame, max_repeat: int = MAX_REPEAT) -> DataFrame:
     """
     n = rows.count()
     digits = max(1, math.ceil(math.log(max(n, 1) / RANGE_ROWS + 1, 16)))
-    ranges = max(16, n // RANGE_ROWS)
+    ranges = max(MIN_RANGES, n // RANGE_ROWS)
     rows = rows.withColumn("h", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     rows = rows.withColumn("bucket", F.substring("h", 1, digits))
     buckets = rows.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
