@@ -78,7 +78,7 @@ def mix(rows: DataFrame, max_repeat: int = MAX_REPEAT) -> DataFrame:
     ``max_repeat`` times.  Documents of size 0 are never taken.
     """
     n = rows.count()
-    digits = max(1, math.ceil(math.log(max(n, 1) / RANGE_ROWS + 1, 16)))
+    digits = max(2, math.ceil(math.log(max(n, 1) / RANGE_ROWS + 1, 16)))
     ranges = max(MIN_RANGES, n // RANGE_ROWS)
     rows = rows.withColumn("h", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     rows = rows.withColumn("bucket", F.substring("h", 1, digits))
