@@ -15,7 +15,7 @@ def read_delimited(spark: SparkSession, path: str, columns: Sequence[str] | Mapp
     """Read a delimited text file with every column as STRING.
 
     ``columns`` is a list of header names, or a mapping ``name -> 0-based
-    position`` (the reference's include mask); positions need ``n_columns``
+    position`` (an include mask); positions need ``n_columns``
     so an explicit schema can be given and nothing is inferred.  Only the
     chosen columns are kept, so the scan is pruned to them.
     """
