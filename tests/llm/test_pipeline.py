@@ -106,3 +106,30 @@ def test_run_on_an_empty_table(spark, tmp_path):
     for t in ("documents", "labels"):
         spark.read.parquet(f"{SF}/{t}.parquet").where("false").write.parquet(str(tmp_path / f"{t}.parquet"))
     assert P.run(spark, str(tmp_path)).count() == 0
+
+
+def test_stages_on_awkward_rows(spark):
+    """Nulls in any column, empty and long texts, repeated rows, other columns
+    with names that the operators use themselves."""
+    long = "word " * 60_000
+    rows = [(1, "some plain words of text", "en", "a", 24, 0.5), (1, "some plain words of text", "en", "a", 24, 0.5),
+            (2, None, None, None, None, None), (None, "no id at all here", "en", None, 17, None),
+            (None, None, None, None, None, None), (3, "", "de", "b", 0, 1.0), (4, long, "en", "b", len(long), 1.0),
+            (5, "token = \"0123456789abcdef0123456789abcdef\" é", "fr", "c", 45, 2.0)]
+    names = "doc_id bigint, text string, lang string, source string, n_chars bigint, score double"
+    docs = spark.createDataFrame(rows, names)
+    for extra in ("fingerprint", "rid", "size", "copies", "spans", "range", "rank", "group", "place", "h", "bucket", "root"):
+        docs = docs.withColumn(extra, docs.score)
+    columns, n = docs.columns, {}
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == columns and out.dtypes == docs.dtypes, name
+        n[name] = out.count()
+        assert stage(spark, docs.where("false"), SF).count() == 0, name
+    # all share a score column of their own, but no text is toxic
+    assert n["toxicity"] == len(rows) and n["secret_scan"] == len(rows)
+    # the two equal rows are one group, and so are the texts without words
+    assert n["simhash_near_dedup"] == 5
+    pieces = P.STAGES[-1][1](spark, docs, SF).collect()
+    from tests.llm.test_packing import _ids
+    assert sum(p.length for p in pieces) == sum(map(len, _ids([r[1] for r in rows])))
