@@ -1,9 +1,11 @@
 """Secret scan: pattern matches plus strings that look random to two Markov models.
 
-Base kinds are found by patterns.  Beyond them, every long token is scored by
-the log-likelihood ratio of two character models, one of random strings and
-one of ordinary identifiers, trained from labelled samples; tokens above a
-threshold are added as spans of kind ``markov``.
+Base kinds are found by patterns.  Beyond them, every token of any length is
+scored by the log-likelihood ratio of two character models, one of random
+strings and one of ordinary tokens, trained from labelled samples; tokens that
+reach a threshold are added as spans of kind ``markov``, and of other tokens
+the stretches of whole pieces (between ``/ = + _ -``) that reach it, so that an
+ordinary path or name around a random string does not hide it.
 
 Everything is DataFrame work on built-in functions.  The regex functions give
 matches without positions, so a text is also split at its matches: lengths of
@@ -30,10 +32,11 @@ HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "markov")
 MIN_ASSIGN = 6
 
-#: Tokens that the models score.
-TOKEN = r"[A-Za-z0-9+/_=-]{16,}"
-#: Ordinary identifiers that serve as label 0 when no samples are given.
-IDENTIFIER = r"[A-Za-z][A-Za-z_]{5,}"
+#: Tokens that the models score, and the parts of one: a piece and what parts
+#: it from the next.
+TOKEN = r"[A-Za-z0-9+/_=-]+"
+PART = r"[A-Za-z0-9]+[+/_=-]*|[+/_=-]+"
+PIECE = r"^[A-Za-z0-9]*"
 #: Characters that the models tell apart; all others are one more.
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
 #: Bounds of the samples that the models are trained on.
@@ -80,10 +83,11 @@ def _located(parts: Column) -> Column:
     return F.flatten(F.transform(chunks, lambda c: _fold(chunk(c), F.get(starts, c))))
 
 
-def _with_kind(docs: DataFrame, name: str, pattern: str, kind: int) -> DataFrame:
-    """Adds ``name``: the pattern's matches with their places; texts without a
-    match cost one pass of the pattern."""
-    text = F.coalesce("text", F.lit(""))
+def _with_kind(docs: DataFrame, name: str, pattern: str, kind: int,
+               where: Column | None = None) -> DataFrame:
+    """Adds ``name``: the pattern's matches with their places, in the texts
+    ``where`` names; texts without a match cost one pass of the pattern."""
+    text = F.coalesce("text" if where is None else F.when(where, F.col("text")), F.lit(""))
     found = f"{name}_found"
     docs = docs.withColumn(found, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
     gaps = F.transform(F.split(text, pattern, -1), F.char_length)
@@ -99,20 +103,15 @@ def _with_kind(docs: DataFrame, name: str, pattern: str, kind: int) -> DataFrame
 
 
 def with_matches(docs: DataFrame) -> DataFrame:
-    """Adds ``__base``, the base spans by start, and ``__tokens``, the spans
-    the models are to judge: long tokens that hold a letter and touch no base
-    span (plain numbers and rules of dashes are no secrets)."""
-    for name, pattern, kind in (("__assign", ASSIGN, 0), ("__access", ACCESS, 1),
-                                ("__hex", HEX, 2), ("__tokens", TOKEN, 3)):
+    """Adds ``__base``, the base spans by start."""
+    for name, pattern, kind in (("__assign", ASSIGN, 0), ("__access", ACCESS, 1), ("__hex", HEX, 2)):
         docs = _with_kind(docs, name, pattern, kind)
     value = F.transform("__assign", lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"),
         F.regexp_extract(s["value"], ASSIGN, 2).alias("value")))
     long_enough = F.filter(value, lambda s: F.char_length(s["value"]) >= MIN_ASSIGN)
     docs = docs.withColumn("__base", _by_place(F.concat(long_enough, F.col("__access"), F.col("__hex"))))
-    free = F.filter("__tokens", lambda t: t["value"].rlike("[A-Za-z]") & ~F.exists(
-        "__base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-    return docs.withColumn("__tokens", free).drop("__assign", "__access", "__hex")
+    return docs.drop("__assign", "__access", "__hex")
 
 
 def _by_place(spans: Column) -> Column:
@@ -162,34 +161,122 @@ def _code(char: Column) -> Column:
     return F.instr(F.lit(ALPHABET), char)
 
 
+def _summed(value: Column, ratio: list[float], **sums) -> Column:
+    """One pass over a string's transitions; each of ``sums`` gives its next
+    value from all values so far and a transition's ratio."""
+    model = F.split(F.lit(",".join(map(repr, ratio))), ",").cast("array<double>")
+    places = F.split(F.lit(",".join(str(ALPHABET.find(chr(i)) + 1) for i in range(128))), ",").cast("array<int>")
+    # of what stands before the first character there is no transition
+    first = F.struct(F.lit(-1).alias("before"), *[F.lit(0.0).alias(name) for name in sums])
+
+    def step(acc: Column, char: Column) -> Column:
+        code = F.coalesce(F.get(places, F.ascii(char)), F.lit(0))
+        x = F.coalesce(F.get(model, acc["before"] * _SIDE + code), F.lit(0.0))
+        return F.struct(code.alias("before"), *[f(acc, x).alias(name) for name, f in sums.items()])
+
+    return F.aggregate(F.split(value, ""), first, step)
+
+
 def log_ratio(value: Column, ratio: list[float]) -> Column:
     """Total log-likelihood ratio of a string: random against ordinary."""
-    model = F.split(F.lit(",".join(map(repr, ratio))), ",").cast("array<double>")
-    codes = F.transform(F.split(value, ""), _code)
-    firsts = F.slice(codes, F.lit(1), F.greatest(F.size(codes) - 1, F.lit(0)))
-    pairs = F.zip_with(firsts, F.slice(codes, F.lit(2), F.greatest(F.size(codes) - 1, F.lit(0))),
-                       lambda a, b: F.get(model, a * _SIDE + b))
-    return F.aggregate(pairs, F.lit(0.0), lambda acc, x: acc + x)
+    return _summed(value, ratio, total=lambda acc, x: acc["total"] + x)["total"]
+
+
+def _best_stretch(value: Column, ratio: list[float]) -> Column:
+    """The most that any stretch of a string's transitions adds up to."""
+    def upto(acc: Column, x: Column) -> Column:
+        return F.greatest(acc["open"], F.lit(0.0)) + x
+
+    return _summed(value, ratio, open=upto, best=lambda acc, x: F.greatest(acc["best"], upto(acc, x)))["best"]
 
 
 def own_samples(matches: DataFrame, docs: DataFrame) -> DataFrame:
     """Labelled samples from a corpus itself: values of base spans are random
-    strings (at most ``SAMPLE_VALUES``), identifiers of at most ``SAMPLE_DOCS``
-    texts are ordinary; both are those of the smallest hashes, so reruns
-    agree."""
+    strings (at most ``SAMPLE_VALUES``), the other tokens of at most
+    ``SAMPLE_DOCS`` texts are ordinary; both are those of the smallest hashes,
+    so reruns agree."""
     value = (matches.select(F.explode("__base").alias("s")).select("s.value").distinct()
              .orderBy(F.xxhash64("value"), "value").limit(SAMPLE_VALUES).withColumn("label", F.lit(1)))
     some = docs.select("text").where("text is not null").orderBy(F.xxhash64("text")).limit(SAMPLE_DOCS)
-    plain = some.select(F.explode(F.regexp_extract_all("text", F.lit(rf"\b{IDENTIFIER}\b"), F.lit(0)))
-                        .alias("value"))
-    return value.unionAll(plain.where(~F.col("value").rlike(HEX)).withColumn("label", F.lit(0)))
+    return value.unionAll(_plain(some).withColumn("label", F.lit(0)))
+
+
+def _plain(texts: DataFrame) -> DataFrame:
+    """Tokens of texts, ``(value)``, without those that a base kind takes."""
+    rest = F.regexp_replace("text", ASSIGN, " ")
+    return (texts.select(F.explode(F.regexp_extract_all(rest, F.lit(TOKEN), F.lit(0))).alias("value"))
+            .where(~F.col("value").rlike(f"{HEX}|{ACCESS}")))
+
+
+def _random_spans(run: Column, ratio: list[float], threshold: float) -> Column:
+    """Spans of a token: itself if it reaches ``threshold`` and touches no base
+    span, else its stretches of whole pieces that do.
+
+    A stretch starts anew where its sum falls below zero, and ends at its
+    highest sum once that is reached and lost again by as much as
+    ``threshold``, so a second random string gets a span of its own."""
+    def touches(start: Column, end: Column) -> Column:
+        return F.exists("__base", lambda b: (b["start"] < end) & (start < b["end"]))
+
+    def span(start: Column, end: Column) -> Column:
+        return F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"), F.lit(3).alias("kind"),
+                        F.substring(run["value"], start - run["start"] + 1, end - start).alias("value"))
+
+    texts = F.regexp_extract_all(run["value"], F.lit(PART), F.lit(0))
+    after = F.concat(F.transform(F.slice(texts, F.lit(2), F.size(texts)), lambda x: F.substring(x, 1, 1)),
+                     F.array(F.lit("")))
+    parts = F.zip_with(texts, after, lambda x, y: F.struct(
+        F.char_length(F.regexp_extract(x, PIECE, 0)).alias("piece"), F.char_length(x).alias("length"),
+        log_ratio(F.regexp_extract(x, PIECE, 0), ratio).alias("inner"),
+        log_ratio(F.concat(x, y), ratio).alias("upto_next")))
+    none = F.array().cast("array<struct<start int, end int, kind int, value string>>")
+    first = F.struct(run["start"].cast("int").alias("at"), F.lit(False).alias("open"), F.lit(0).alias("start"),
+                     F.lit(0).alias("end"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("high"), none.alias("spans"))
+
+    def closed(acc: Column) -> Column:
+        found = acc["open"] & (acc["high"] >= threshold)
+        return F.when(found, F.concat(acc["spans"], F.array(span(acc["start"], acc["end"])))).otherwise(acc["spans"])
+
+    def step(acc: Column, x: Column) -> Column:
+        end = acc["at"] + x["piece"]
+        barred = (x["piece"] == 0) | touches(acc["at"], end)
+        upto = acc["sum"] + x["inner"]
+        anew = barred | ~acc["open"] | (acc["sum"] < 0) | (
+            (acc["high"] >= threshold) & (acc["high"] - upto >= threshold))
+        higher = anew | (upto > acc["high"])
+        total = F.when(anew, x["inner"]).otherwise(upto)
+        return F.struct(
+            (acc["at"] + x["length"]).alias("at"), (~barred).alias("open"),
+            F.when(anew, acc["at"]).otherwise(acc["start"]).alias("start"),
+            F.when(higher, end).otherwise(acc["end"]).alias("end"),
+            (total + x["upto_next"] - x["inner"]).alias("sum"),
+            F.when(higher, total).otherwise(acc["high"]).alias("high"),
+            F.when(anew, closed(acc)).otherwise(acc["spans"]).alias("spans"))
+
+    whole = ~touches(run["start"], run["end"]) & (log_ratio(run["value"], ratio) >= threshold)
+    return F.when(whole, F.array(span(run["start"], run["end"]))).otherwise(F.filter(
+        F.aggregate(parts, first, step, closed), lambda s: s["value"].rlike("[A-Za-z]")))
 
 
 def with_spans(matches: DataFrame, ratio: list[float], threshold: float = THRESHOLD) -> DataFrame:
-    """Adds ``__spans``: base spans and the tokens whose log-likelihood ratio
-    reaches ``threshold``, by place."""
-    random = F.filter("__tokens", lambda t: log_ratio(t["value"], ratio) >= threshold)
-    return matches.withColumn("__spans", _by_place(F.concat("__base", random)))
+    """Adds ``__spans``: base spans and those that the models find, by place.
+
+    Each distinct token of a text that holds a letter is scored once (plain
+    numbers and rules of dashes are no secrets); places are worked out only in
+    texts with a token that may hold a span."""
+    # no shorter token can reach the threshold
+    most = max(ratio)
+    least = 2 + max(0, math.ceil(threshold / most) - 1) if most > 0 else 2
+    tokens = F.filter(F.array_distinct(F.regexp_extract_all(
+        F.coalesce("text", F.lit("")), F.lit(TOKEN), F.lit(0))),
+        lambda v: (F.char_length(v) >= least) & v.rlike("[A-Za-z]"))
+    found = matches.withColumn("__hot", F.filter(tokens, lambda v: F.when(
+        v.rlike("[+/_=-]"), _best_stretch(v, ratio)).otherwise(log_ratio(v, ratio)) >= threshold))
+    found = _with_kind(found, "__runs", TOKEN, 3, F.size("__hot") > 0)
+    random = F.flatten(F.transform(
+        F.filter("__runs", lambda r: F.array_contains("__hot", r["value"])),
+        lambda r: _random_spans(r, ratio, threshold)))
+    return found.withColumn("__spans", _by_place(F.concat("__base", random))).drop("__hot", "__runs")
 
 
 def _text_of(spans: Column) -> Column:
@@ -198,6 +285,12 @@ def _text_of(spans: Column) -> Column:
         ":", F.get(name, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _learnt(docs: DataFrame) -> DataFrame:
+    """:func:`own_samples` of documents whose base spans are yet to be found."""
+    return own_samples(materialize(
+        with_matches(docs).select("__base").where(F.size("__base") > 0), "secrets"), docs)
+
+
 def find_secrets(docs: DataFrame, samples: DataFrame | None = None,
                  threshold: float = THRESHOLD) -> DataFrame:
     """``(doc_id, n_assign, n_access, n_hex, n_markov, base_sha256, spans)``, a
@@ -209,8 +302,8 @@ def find_secrets(docs: DataFrame, samples: DataFrame | None = None,
     default those of :func:`own_samples`.
     """
     own = docs.select("doc_id", "text")
-    matches = materialize(with_matches(own).drop("text"), "secrets")
-    ratio = train(own_samples(matches, own) if samples is None else samples)
+    matches = with_matches(own)
+    ratio = train(_learnt(own) if samples is None else samples)
 
     def count(kind: int) -> Column:
         return F.size(F.filter("__spans", lambda s: s["kind"] == kind)).cast("long")
@@ -230,8 +323,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", samples: DataFrame | None =
     cols = docs.columns
     own = docs.select("doc_id", "text")
     if samples is None:
-        samples = own_samples(materialize(
-            with_matches(own).select("__base").where(F.size("__base") > 0), "secrets"), own)
+        samples = _learnt(own)
     found = with_spans(with_matches(docs), train(samples), threshold)
     first = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 

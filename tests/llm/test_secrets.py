@@ -110,3 +110,35 @@ def test_redact(spark):
     assert out[1].text == "[SECRET]\" tail" and out[1].n_chars == len(out[1].text)
     assert out[2].text == "clean text" and out[3].text is None
     assert out[4].text == "[SECRET] [SECRET]" and out[5].text == "é[SECRET]"
+
+
+def test_pieces_and_short_tokens(spark):
+    rng = random.Random(5)
+    alnum = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    words = ("get the user profile name of international configuration manager factory customer reports annual "
+             "download archive transformation pipeline synchronization context year 2024 2025 page12 mail3").split()
+    key = lambda n: "".join(rng.choice(alnum) for _ in range(n))
+    samples = [(key(32), 1) for _ in range(400)]
+    samples += [(a + sep + b, 0) for a in words for b in words for sep in "/_-="]
+    path, hexes = "/customer/reports/annual/download/archive/", "0123456789abcdef" * 2
+    texts, want = [], []
+    for i in range(30):
+        k, l, short = key(24), key(24), key(15)
+        texts.append(f"see {path}{k} and {path}{k}{path}{l}/page12 or {short}, {path}{hexes}/{l}")
+        want.append([k, k, l, short, l])
+    texts.append(f"see {path} mail3 page12 of get_user_profile-2024-2025 " * 20)
+    want.append([])
+    rows = list(enumerate(texts))
+    out = secrets.find_secrets(_docs(spark, rows), spark.createDataFrame(samples, "value string, label int")).collect()
+    check(rows, out)
+    missed = 0
+    for r in out:
+        text = texts[r.doc_id]
+        spans = [p.split(":") for p in r.spans.split(",") if p.startswith("markov")]
+        got = [text[int(a):int(b)] for _, a, b in spans]
+        if not want[r.doc_id]:
+            assert not got
+        # every random string is found; an ordinary path is never part of a span from end to end
+        missed += sum(not any(w in g for g in got) for w in want[r.doc_id])
+        assert len(got) <= 5 and not any(path in g for g in got)
+    assert missed == 0
