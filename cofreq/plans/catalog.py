@@ -54,8 +54,9 @@ def daily_event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_word_rows(spark: SparkSession, sf_dir: str, distinct: bool = False) -> DataFrame:
     """``(tid = doc_id, item = word)`` over the whole text of every document.
 
-    ``distinct`` drops a document's repeated words before they become rows: a
-    document is one row, so its words are a set without any shuffle.
+    ``distinct`` drops the repeated words of a table row before they become
+    rows.  An id may stand on several table rows, so the result is not yet a
+    set.
     """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").where(F.col("text").isNotNull())
     words = tokens("text", WORD_SEPARATORS)

@@ -387,8 +387,7 @@ SELECT x.item AS item1, y.item AS item2, count(*) AS support
 FROM fb x JOIN fb y ON x.tid = y.tid AND x.item < y.item
 GROUP BY 1, 2 HAVING count(*) * 5 >= (SELECT n FROM n)""")
 def doc_terms_pairs_q(spark, d):
-    return pair_support(C.document_word_rows(spark, d, distinct=True), Fraction(1, 5),
-                        already_distinct=True)
+    return pair_support(C.document_word_rows(spark, d, distinct=True), Fraction(1, 5))
 
 
 # ------------------------------------------------------------------ more report modes and options
@@ -423,8 +422,7 @@ WITH b AS (SELECT DISTINCT tid, item FROM (
 n AS (SELECT count(DISTINCT tid) AS n FROM b)
 SELECT item, count(*) AS support FROM b GROUP BY item HAVING count(*) * 5 >= (SELECT n FROM n)""")
 def doc_word_support_q(spark, d):
-    res = apriori(C.document_word_rows(spark, d, distinct=True), Fraction(1, 5), max_len=1,
-                  already_distinct=True)
+    res = apriori(C.document_word_rows(spark, d, distinct=True), Fraction(1, 5), max_len=1)
     return res.select(F.col("itemset")[0].alias("item"), "support")
 
 

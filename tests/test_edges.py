@@ -73,3 +73,21 @@ def test_bad_dates_and_time_ties(spark):
     # basket 3 keeps only b; basket 4 has no valid date; the tie in basket 2 is
     # broken by the item, so a comes before b there
     assert res == {("a",): 2, ("b",): 3, ("a", "b"): 2}
+
+
+def test_document_on_several_rows_counts_once(spark, tmp_path):
+    from cofreq.plans.queries import QUERIES
+
+    docs = [(1, "a b b"), (1, "b a c"), (1, "a b"), (2, "a d"), (3, "e"), (4, "f"), (5, "b a"), (6, None)]
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    baskets = {}
+    for tid, text in docs:
+        if text:
+            baskets.setdefault(tid, set()).update(text.split())
+    items = sorted(set().union(*baskets.values()))
+    ones = {i: sum(i in b for b in baskets.values()) for i in items}
+    twos = {(i, j): sum({i, j} <= b for b in baskets.values()) for i in items for j in items if i < j}
+    got = {r["item"]: r["support"] for r in QUERIES["doc_word_support"](spark, str(tmp_path)).collect()}
+    assert got == {i: n for i, n in ones.items() if n * 5 >= len(baskets)}
+    got = {(r["item1"], r["item2"]): r["support"] for r in QUERIES["doc_terms_pairs"](spark, str(tmp_path)).collect()}
+    assert got == {p: n for p, n in twos.items() if n and n * 5 >= len(baskets)}
