@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cofreq.llm import dac, embed_dedup, mixing, packing, quality, secrets, simhash, substring, topk, toxicity
+from cofreq.llm import (dac, divergence, embed_dedup, lexical, mixing, ngram_lm, packing, quality, secrets, simhash,
+                        substring, topk, toxicity)
 from cofreq.llm.common import table
 
 
@@ -52,6 +53,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"), ngram=3)
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_toxicity": op2_toxicity,
@@ -63,9 +76,14 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
+    "op11_lexical": op11_lexical,
+    "op12_divergence": op12_divergence,
+    "op13_lm": op13_lm,
 }
 
 ORACLE: dict[str, str] = {
     "op3_topk": topk.ORACLE,
     "op5_mixing": mixing.ORACLE,
+    "op11_lexical": lexical.ORACLE,
+    "op12_divergence": divergence.ORACLE,
 }
