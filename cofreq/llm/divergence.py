@@ -1,11 +1,11 @@
 """Source divergence audit: which sources of a language use words differently.
 
 Term counts come from single-pass in-memory indexing.  A task reads texts into
-a dictionary of postings (language, term: documents, count per source) until it
-holds ``MEMORY`` postings, then spills them as a run: for every hash shard one
-row with the shard's terms in sorted order.  A shard's runs are merged by a
-heap into frequencies, one pass in term order, so a term is complete as soon as
-the next one comes up.
+postings (term, document: language, source, count) until it holds ``MEMORY`` of
+them, then adds them up and spills a run: for every slice of the hash space one
+row with its terms in sorted order, their documents by language and their
+counts by source.  The runs of a shard, one or more slices, are merged by a
+heap, and the places that a term has in the runs add up to its frequencies.
 
 Distances between sources are sums over all kept terms of the language.  A term
 that neither source has adds the same to a pair every time, so a pair starts
@@ -17,24 +17,26 @@ tiles, and a task holds the pairs of two tiles.
 from __future__ import annotations
 
 import heapq
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import count, repeat
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cofreq.llm.common import small_batches
+from cofreq.llm.common import pack, small_batches, unpack
 from cofreq.operators.encode import dense_ids
 from cofreq.session import materialize, release
 
 MIN_DOCS, TOP = 10, 10
 #: Postings of a run; postings of a merge shard; terms of a correction task; sources of a tile.
-MEMORY, SHARD, PART, TILE = 400_000, 200_000, 100_000, 128
+MEMORY, SHARD, PART, TILE = 1_500_000, 500_000, 100_000, 128
 #: Text bytes for each slice of the hash space; a merge shard is one or more slices.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 8 << 20
 SCALE = 1_000_000_000
 
 _KEEP = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
@@ -46,49 +48,80 @@ def terms(text: bytes) -> list[bytes]:
     return text.translate(_KEEP).split()
 
 
-_RUN = "slice int, postings bigint, langs array<binary>, terms array<binary>, dfs array<bigint>, sources array<array<binary>>, counts array<array<bigint>>"
-_RUN_TYPES = [pa.int32(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.binary()), pa.list_(pa.int64()),
-              pa.list_(pa.list_(pa.binary())), pa.list_(pa.list_(pa.int64()))]
-
-
-def _row(values, types, names) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], names=names)
-
-
-def _spill(block: dict, slices: int) -> Iterator[pa.RecordBatch]:
-    """A run: the block's terms by slice of the hash space, each in order."""
-    dealt: dict[int, list] = {}
-    for lang in sorted(block):
-        dfs, by_source = block[lang]
-        last = None
-        for term, source, n in sorted((t, s, n) for s, counts in by_source.items() for t, n in counts.items()):
-            if term != last:
-                last, held = term, [lang, term, dfs[term], [], []]
-                dealt.setdefault(xxhash.xxh32_intdigest(term, 7) % slices, []).append(held)
-            held[3].append(source)
-            held[4].append(n)
-    for number, held in dealt.items():
-        yield _row((number, sum(len(h[3]) for h in held), *zip(*held)), _RUN_TYPES,
-                   ["slice", "postings", "langs", "terms", "dfs", "sources", "counts"])
+_RUN = ("slice int, postings bigint, terms binary, langs array<binary>, sources array<binary>, "
+        "term binary, of binary, count binary, df_term binary, df_lang array<binary>, df_of binary, df binary")
+_RUN_TYPES = [pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.binary()), *[pa.binary()] * 4,
+              pa.list_(pa.binary()), pa.binary(), pa.binary()]
+
+
+def _summed(key: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, with the sums of their weights."""
+    keys, inverse = np.unique(key, return_inverse=True)
+    return keys, np.bincount(inverse, weights, len(keys)).astype(np.int64)
+
+
+class _Block:
+    """Postings in memory: terms and (language, source) groups by number, and
+    a document's terms, counts and group."""
+
+    def __init__(self):
+        self.words, self.groups = defaultdict(), defaultdict()
+        # the next free number
+        self.words.default_factory, self.groups.default_factory = self.words.__len__, self.groups.__len__
+        self.ids, self.counts, self.docs, self.held = [], [], [], 0
+
+    def add(self, lang: bytes, source: bytes, text: bytes) -> None:
+        counted = Counter(terms(text))
+        self.ids.append(np.fromiter(map(self.words.__getitem__, counted), np.int64, len(counted)))
+        self.counts.append(np.fromiter(counted.values(), np.int64, len(counted)))
+        self.docs.append((self.groups[lang, source], len(counted)))
+        self.held += len(counted)
+
+    def spill(self, slices: int) -> Iterator[pa.RecordBatch]:
+        """The block as a run: the terms by slice of the hash space, each in order."""
+        if not self.held:
+            return
+        words, groups = list(self.words), list(self.groups)
+        order = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
+        words = [words[i] for i in order]
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        of, size = np.array(self.docs, np.int64).T
+        term, of = rank[np.concatenate(self.ids)], np.repeat(of, size)
+        langs = sorted({g[0] for g in groups})
+        number = {g: i for i, g in enumerate(langs)}
+        lang = np.array([number[g[0]] for g in groups], np.int64)
+        key, times = _summed(term * len(groups) + of, np.concatenate(self.counts))
+        p_term, p_of = np.divmod(key, len(groups))
+        key, df = _summed(term * len(langs) + lang[of])
+        d_term, d_lang = np.divmod(key, len(langs))
+        part = np.array([xxhash.xxh32_intdigest(w, 7) % slices for w in words], np.int64)
+        of_part = [part, part[p_term], part[d_term]]
+        by = [np.argsort(p, kind="stable") for p in of_part]
+        ends = [np.searchsorted(p[b], np.arange(slices + 1)) for p, b in zip(of_part, by)]
+        local = np.empty(len(words), np.int64)
+        local[by[0]] = np.arange(len(words)) - ends[0][part[by[0]]]
+        for s in np.unique(part):
+            mine, p, d = (b[e[s]:e[s + 1]] for b, e in zip(by, ends))
+            used, of_used = np.unique(p_of[p], return_inverse=True)
+            raw = zstandard.ZstdCompressor(level=1).compress(b"\n".join(words[i] for i in mine))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([v], t) for v, t in zip((
+                    int(s), len(p), raw, [groups[i][0] for i in used], [groups[i][1] for i in used], pack(local[p_term[p]]),
+                    pack(of_used), pack(times[p]), pack(local[d_term[d]]), langs, pack(d_lang[d]), pack(df[d])), _RUN_TYPES)],
+                names=[c.split()[0] for c in _RUN.split(", ")])
 
 
 def _runs(memory: int, slices: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block: dict = {}
-        held = 0
+        block = _Block()
         for batch in batches:
-            for lang, source, text in zip(*batch.columns):
-                lang, source, words = lang.as_py(), source.as_py(), terms(text.as_py())
-                dfs, by_source = block.setdefault(lang, (Counter(), {}))
-                counts = by_source.setdefault(source, Counter())
-                held -= len(counts)
-                counts.update(words)
-                held += len(counts)
-                dfs.update(set(words))
-                if held >= memory:
-                    yield from _spill(block, slices)
-                    block, held = {}, 0
-        yield from _spill(block, slices)
+            for row in zip(*batch.columns):
+                block.add(*(v.as_py() for v in row))
+                if block.held >= memory:
+                    yield from block.spill(slices)
+                    block = _Block()
+        yield from block.spill(slices)
     return run
 
 
@@ -96,34 +129,46 @@ _FREQ = "lang string, term string, sources array<string>, counts array<bigint>"
 
 
 def _merge(min_docs: int):
-    def read(table: pa.Table, i: int):
-        row = {n: table.column(n)[i].as_py() for n in ("langs", "terms", "dfs", "sources", "counts")}
-        return zip(row["langs"], row["terms"], row["dfs"], row["sources"], row["counts"])
-
     def run(table: pa.Table) -> pa.Table:
-        out: list[list] = [[], [], [], []]
-
-        def close(key, df, counts):
-            if df >= min_docs:
-                for column, value in zip(out, (*key, list(counts), list(counts.values()))):
-                    column.append(value)
-
-        last, df, counts = None, 0, {}
-        for lang, term, n, sources, numbers in heapq.merge(
-                *(read(table, i) for i in range(table.num_rows)), key=lambda e: (e[0], e[1])):
-            if (lang, term) != last:
-                if last is not None:
-                    close(last, df, counts)
-                last, df, counts = (lang, term), 0, {}
-            df += n
-            for source, number in zip(sources, numbers):
-                counts[source] = counts.get(source, 0) + number
-        if last is not None:
-            close(last, df, counts)
-        types = [pa.binary(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64())]
-        want = [pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int64())]
-        return pa.table([pa.array(c, t).cast(w) for c, t, w in zip(out, types, want)],
-                        names=["lang", "term", "sources", "counts"])
+        rows = range(table.num_rows)
+        lists = [zstandard.ZstdDecompressor().decompress(table.column("terms")[i].as_py()).split(b"\n") for i in rows]
+        # the runs' terms in one order; a term's number goes to its place in every run that has it
+        numbers = [np.empty(len(words), np.int64) for words in lists]
+        merged: list[bytes] = []
+        last = None
+        for word, i, at in heapq.merge(*(zip(words, repeat(i), count()) for i, words in enumerate(lists))):
+            if word != last:
+                merged.append(word)
+                last = word
+            numbers[i][at] = len(merged) - 1
+        groups, langs = defaultdict(), defaultdict()
+        groups.default_factory, langs.default_factory = groups.__len__, langs.__len__
+        parts: list[list] = [[], [], [], [], [], []]
+        for i in rows:
+            row = {n: table.column(n)[i].as_py() for n in table.column_names if n != "terms"}
+            own = np.array([groups[g] for g in zip(row["langs"], row["sources"])], np.int64)
+            lang = np.array([langs[g] for g in row["df_lang"]], np.int64)
+            for held, a in zip(parts, (numbers[i][unpack(row["term"])], own[unpack(row["of"])], unpack(row["count"]),
+                                       numbers[i][unpack(row["df_term"])], lang[unpack(row["df_of"])], unpack(row["df"]))):
+                held.append(a)
+        term, of, n, d_term, d_lang, df = (np.concatenate(p) for p in parts)
+        keys, df = _summed(d_term * len(langs) + d_lang, df)
+        names = list(groups)
+        lang_of = np.array([langs[g[0]] for g in names], np.int64)
+        keep = np.isin(term * len(langs) + lang_of[of], keys[df >= min_docs])
+        # postings in the order of (term, language, source)
+        order = np.array(sorted(range(len(names)), key=names.__getitem__), np.int64)
+        place = np.empty(len(names), np.int64)
+        place[order] = np.arange(len(names))
+        keys, n = _summed(term[keep] * len(names) + place[of[keep]], n[keep])
+        term, of = np.divmod(keys, len(names))
+        of = order[of]
+        starts = np.flatnonzero(np.diff(term * len(langs) + lang_of[of], prepend=-1))
+        offsets = pa.array(np.append(starts, len(of)).astype(np.int32))
+        text = lambda a: pa.array(a, pa.binary()).cast(pa.string())
+        return pa.table([text([names[i][0] for i in of[starts]]), text([merged[i] for i in term[starts]]),
+                         pa.ListArray.from_arrays(offsets, text([names[i][1] for i in of])),
+                         pa.ListArray.from_arrays(offsets, pa.array(n))], names=["lang", "term", "sources", "counts"])
     return run
 
 

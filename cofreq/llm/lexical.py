@@ -24,10 +24,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cofreq.llm.common import small_batches
+from cofreq.llm.common import pack, small_batches, unpack
 from cofreq.session import broadcast_if_small, materialize, release, run_folder
 
 K = 50
@@ -62,7 +63,7 @@ def _cells(hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 _BLOCK = ("seed boolean, doc_ids array<bigint>, lengths array<bigint>, width int, sketch binary, "
-          "vocab array<binary>, dfs array<bigint>, docs binary, ids binary, counts binary")
+          "vocab array<binary>, dfs array<bigint>, sizes binary, ids binary, counts binary")
 
 
 def _block(docs: list[tuple], width: int) -> tuple:
@@ -81,8 +82,10 @@ def _block(docs: list[tuple], width: int) -> tuple:
     for table, cell in zip(sketch, _cells(_hashes(vocab), width)):
         np.maximum.at(table, (cell[ids], at), np.minimum(counts, _FULL).astype(np.uint16))
     first = xxhash.xxh3_64_intdigest(repr(docs[0][:2]).encode() + vocab[0])
-    return (first % SEED == 0, [d[0] for d in docs], [d[1] for d in docs], width, sketch.tobytes(), vocab,
-            np.bincount(ids, minlength=len(vocab)).tolist(), at.tobytes(), ids.tobytes(), counts.tobytes())
+    # a row is read whole: most counters are 0, so packed they take little
+    packed = zstandard.ZstdCompressor(level=1).compress(sketch.tobytes())
+    return (first % SEED == 0, [d[0] for d in docs], [d[1] for d in docs], width, packed, vocab,
+            np.bincount(ids, minlength=len(vocab)).tolist(), pack(np.array(sizes)), pack(ids), pack(counts))
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,7 +121,8 @@ def build_index(docs: DataFrame) -> DataFrame:
     small_batches(spark)
     path = f"{run_folder(spark)}/lexical-{uuid.uuid4().hex}"
     (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").cast("binary").alias("text"))
-     .mapInArrow(_blocks, _BLOCK).write.partitionBy("seed").parquet(path))
+     .mapInArrow(_blocks, _BLOCK).write.partitionBy("seed")
+     .option("parquet.block.size", str(32 << 20)).parquet(path))
     out = spark.read.schema(_BLOCK).parquet(path)
     out._cofreq_path = path
     return out
@@ -171,7 +175,7 @@ class _Batch:
         if not len(found):
             return
         m = np.array([50 + (50 * x * self.n_docs) // self.n_terms for x in row["lengths"]], np.int64)
-        sketch = np.frombuffer(row["sketch"], np.uint16).reshape(2, width, n)
+        sketch = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["sketch"]), np.uint16).reshape(2, width, n)
         a, b = _cells(self.hashes[found], width)
         count = np.minimum(sketch[0][a], sketch[1][b])
         most = count.astype(np.float64)
@@ -179,9 +183,8 @@ class _Batch:
         most[count == _FULL] = 1e6
         place = np.full(len(self.words), -1, np.int64)
         place[found] = np.arange(len(found))
-        at, tid = np.frombuffer(row["docs"], np.int32), np.frombuffer(row["ids"], np.int32)
-        counts = np.frombuffer(row["counts"], np.int64)
-        keys = at.astype(np.int64) * len(vocab) + tid
+        counts = unpack(row["counts"])
+        keys = np.repeat(np.arange(n), unpack(row["sizes"])) * len(vocab) + unpack(row["ids"])
         for (_, words, weights), best in zip(self.queries, self.best):
             known = here[words] >= 0
             if not known.any():

@@ -72,7 +72,7 @@ def test_sketch_is_an_upper_bound():
     rng = random.Random(1)
     docs = [(i, 1, Counter(f"w{min(int(rng.paretovariate(0.5)), 500)}".encode() for _ in range(60))) for i in range(50)]
     row = dict(zip([c.split()[0] for c in lexical._BLOCK.split(", ")], lexical._block(docs, 64)))
-    sketch = lexical.np.frombuffer(row["sketch"], lexical.np.uint16).reshape(2, 64, 50)
+    sketch = lexical.np.frombuffer(lexical.zstandard.ZstdDecompressor().decompress(row["sketch"]), lexical.np.uint16).reshape(2, 64, 50)
     a, b = lexical._cells(lexical._hashes(row["vocab"]), 64)
     for t, w in enumerate(row["vocab"]):
         for d, (_, _, c) in enumerate(docs):
