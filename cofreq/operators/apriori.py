@@ -1,15 +1,21 @@
 """Level-wise Apriori (MINE-1, MINE-2, MINE-7) and R-Apriori (MINE-8).
 
-State between levels is an *occurrence table* ``(tid, prefix, last)``: the
-frequent k-itemset ``prefix + [last]`` occurs in basket ``tid``.  Two
-occurrences of one basket that share a prefix make a (k+1)-candidate
-occurrence (JN-5): a skew-safe self-join on ``(tid, prefix)`` with
-``a.last < b.last``.  Counting is a hash aggregate on ``(prefix, last)``;
-the frequent ones are written as the next level, and the next occurrence
-table is the candidate occurrences semi-joined with that level, so baskets
-shrink to what can still grow (PRJ-6).  Both tables are written under the
-checkpoint folder each level: lineage stays one level deep and a lost
-executor only re-runs the current level.
+The frequent itemsets form a prefix tree kept as tables: a node is one itemset,
+numbered when its level is written, and its table row names the node of its
+prefix and the code of its last item.  Items get codes in their natural order.
+
+State between levels is an *occurrence table* ``(tid, parent, last)``: the
+itemset that adds item ``last`` to node ``parent`` occurs in basket ``tid``,
+three numbers a row whatever the itemset's size.  Two occurrences of one basket
+that share a parent make a (k+1)-candidate occurrence (JN-5): a skew-safe
+self-join on ``(tid, parent)`` with ``last_a < last_b``.  Counting is a hash
+aggregate on ``(parent, last_a, last_b)``; the frequent ones are written as the
+next level's nodes with their items, and the next occurrence table is the
+candidate occurrences joined with that level, so baskets shrink to what can
+still grow (PRJ-6).  Candidates and levels are written under the checkpoint
+folder, and counted while they are written: lineage stays one level deep, a lost
+executor only re-runs the current level, and with a ``resume`` folder a lost
+driver does too.
 
 Result contract (all miners): ``itemset ARRAY<item>`` (sorted), ``k INT``,
 ``support BIGINT``.
@@ -23,9 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import empty_array
-from ..session import broadcast_if_small, materialize, release
+from ..session import Store, broadcast_if_small, materialize, release
 from .groupjoin import DEFAULT_MAX_GROUP, group_join, pairs_within
-from .support import frequent, frequent_rows, pair_occurrences, prepare, triple_support
+from .support import (basket_stats, frequent, frequent_rows, item_support, pair_occurrences, prepare,
+                      triple_support)
 
 REPORTS = ("all", "exact_k", "last_level", "from_k")
 
@@ -81,7 +88,7 @@ def apriori(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "item
             count_mode: str = "presence", strategy: str = "pairs",
             max_group: int = DEFAULT_MAX_GROUP, min_basket_size: int | None = None,
             num_partitions: int | None = None, n_baskets: int | None = None,
-            already_distinct: bool = False) -> DataFrame:
+            already_distinct: bool = False, resume: str | None = None) -> DataFrame:
     """Frequent itemsets of long rows ``(tid, item)``.
 
     ``min_support``: absolute count (int) or share of baskets (float /
@@ -93,70 +100,93 @@ def apriori(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "item
     (CG-5, the prefix-tree walk); both give the same itemsets.
     ``min_basket_size``, ``num_partitions``, ``n_baskets`` and
     ``already_distinct`` see :func:`support.prepare`.
+
+    ``resume`` is a folder that driver and executors share.  A run keeps its
+    tables there, and a later run of the same rows and parameters starts after
+    the last table that was finished (``max_len``, ``report`` and ``k`` may
+    differ); other parameters are refused.
     """
     if strategy not in ("pairs", "extend"):
         raise ValueError("strategy must be 'pairs' or 'extend'")
+    store = Store(rows.sparkSession, resume, dict(
+        min_support=min_support, tid=tid, item=item, count_mode=count_mode, strategy=strategy,
+        min_basket_size=min_basket_size, n_baskets=n_baskets))
     prep = prepare(rows, min_support, tid, item, min_basket_size=min_basket_size,
                    num_partitions=num_partitions, n_baskets=n_baskets,
-                   already_distinct=already_distinct)
+                   already_distinct=already_distinct, store=store)
     raw = rows.select(tid, item)
     if count_mode == "occurrence" and min_basket_size:
         raw = raw.join(prep.rows.select(tid).distinct(), tid, "left_semi")
     m = prep.threshold
-    item_type = prep.rows.schema[item].dataType
     stop = _stop_level(max_len, report, k)
 
-    l1, items, widest = frequent_rows(prep, tid, item, count_mode, raw, max_group)
-    l1 = l1.select(empty_array(item_type).alias("prefix"), F.col(item).alias("last"), "support")
-    levels = [l1]
-    size = l1.count()
-    occ = items.select(tid, empty_array(item_type).alias("prefix"), F.col(item).alias("last"))
-    level = 1
+    counts = (item_support(raw, tid, item, mode="occurrence") if count_mode == "occurrence"
+              else item_support(prep.rows, tid, item, mode=count_mode, already_distinct=True))
+    # ids of a sorted table rise with the order, so codes compare as items do
+    coded = frequent(counts, m).orderBy(item).withColumn("code", F.monotonically_increasing_id())
+    dictionary, size = store.write(coded, "items")
+    items, _ = store.write(
+        prep.rows.join(broadcast_if_small(dictionary.select(item, "code")), item)
+        .select(tid, F.col("code").alias("last")), "coded-rows", num_partitions, tid)
+    widest = prep.max_basket
+    if widest > max_group:
+        # pruning may have made every basket small; measure only when it matters
+        widest = store.value("widest", lambda: basket_stats(items, tid).max_basket)
+
+    root = F.lit(0).cast("bigint")
+    levels = [dictionary.select(F.array(item).alias("itemset"), "support")]
+    nodes = dictionary.select(root.alias("parent"), F.col("code").alias("last"),
+                              F.col("code").alias("node"), F.array(item).alias("itemset"))
+    names = dictionary.select(F.col("code").alias("last_b"), F.col(item).alias("_name"))
+    occ = items.select(tid, root.alias("parent"), "last")
+    made, level = None, 1
     while size > 1 and (stop is None or level < stop):
         # a basket of L items holds at most C(L, level) occurrences of a level;
-        # one prefix of a basket at most L
+        # one parent of a basket at most L
         held = widest if strategy == "pairs" else max(widest, math.comb(widest, level))
         check = held > max_group
         if strategy == "pairs":
-            cand = pairs_within(occ, [tid, "prefix"], "last", max_group=max_group,
+            cand = pairs_within(occ, [tid, "parent"], "last", max_group=max_group,
                                 check_hot=check)
             if level >= 2:
                 # the two last items must be a frequent pair themselves (CG-6),
                 # so most candidates that fail are never counted
                 cand = cand.join(pair_keys, ["last_a", "last_b"], "left_semi")
-            cand = cand.select(tid, F.concat("prefix", F.array("last_a")).alias("prefix"),
-                               F.col("last_b").alias("last"))
         else:
-            cand = group_join(occ, items.select(tid, F.col(item).alias("next")), [tid],
-                              left_spread=["prefix", "last"], right_spread=["next"],
+            cand = group_join(occ, items.select(tid, F.col("last").alias("next")), [tid],
+                              left_spread=["parent", "last"], right_spread=["next"],
                               condition=F.col("next") > F.col("last"), max_group=max_group,
                               check_hot=check)
-            cand = cand.select(tid, F.concat("prefix", F.array("last")).alias("prefix"),
-                               F.col("next").alias("last"))
-        cand = cand.persist()
-        counts = cand.groupBy("prefix", "last").agg(F.count(F.lit(1)).alias("support"))
-        nxt = materialize(frequent(counts, m), f"level-{level + 1}")
-        size = nxt.count()
+            cand = cand.select(tid, "parent", F.col("last").alias("last_a"),
+                               F.col("next").alias("last_b"))
+        key = ["parent", "last_a", "last_b"]
+        # joined once: the level is counted from the file, without the baskets,
+        # and the next occurrences are the file's rows that match the level
+        cand, _ = store.write(cand, f"candidates-{level + 1}")
+        release(made)
+        made = cand
+        found = frequent(cand.groupBy(*key).agg(F.count(F.lit(1)).alias("support")), m)
+        grown = (found.join(nodes.withColumnRenamed("last", "last_a")
+                            .withColumnRenamed("node", "prefix"), ["parent", "last_a"])
+                 .join(names, "last_b")
+                 .select(*key, "prefix", F.monotonically_increasing_id().alias("node"),
+                         F.concat("itemset", F.array("_name")).alias("itemset"), "support"))
+        grown, size = store.write(grown, f"level-{level + 1}")
         if size == 0:
-            cand.unpersist()
             break
-        levels.append(nxt)
+        levels.append(grown.select("itemset", "support"))
         level += 1
-        done = occ
-        if size > 1 and (stop is None or level < stop):
-            keys = broadcast_if_small(nxt.select("prefix", "last"), bound=size)
-            if level == 2 and strategy == "pairs":
-                pair_keys = broadcast_if_small(
-                    nxt.select(F.col("prefix")[0].alias("last_a"), F.col("last").alias("last_b")),
-                    bound=size)
-            occ = materialize(cand.join(keys, ["prefix", "last"], "left_semi"), f"occ-{level}")
-        cand.unpersist()
-        if done is not occ:
-            release(done)
-    release(occ, items)
+        nodes = grown.select(F.col("prefix").alias("parent"), F.col("last_b").alias("last"),
+                             "node", "itemset")
+        if level == 2 and strategy == "pairs":
+            pair_keys = broadcast_if_small(grown.select("last_a", "last_b"), bound=size)
+        occ = cand.join(broadcast_if_small(grown.select(*key, "prefix"), bound=size), key).select(
+            tid, F.col("prefix").alias("parent"), F.col("last_b").alias("last"))
+    release(made, items)
     if not already_distinct:
         release(prep.rows)
-    out = level_result(levels)
+    out = [lv.select("itemset", F.size("itemset").cast("int").alias("k"),
+                     F.col("support").cast("bigint").alias("support")) for lv in levels]
     return select_report(out, report, k, out[0])
 
 

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from ..session import broadcast_if_small, materialize
 from .support import distinct_rows, item_support
@@ -73,22 +74,27 @@ def decode(itemsets: DataFrame, dictionary: DataFrame, itemset: str = "itemset",
     """Map id arrays back to items (ENC-3), keeping every other column.
 
     ``sort=True`` returns the items in natural order (set semantics);
-    ``False`` keeps the order of the ids (ordered patterns).  An id that the
-    dictionary lacks stops the job.
+    ``False`` keeps the order of the ids (ordered patterns).  Every row is
+    decoded by itself, equal rows too; an empty array stays empty and null stays
+    null.  An id that the dictionary lacks stops the job.
     """
     others = [c for c in itemsets.columns if c != itemset]
     d = broadcast_if_small(dictionary.select(F.col(item_id).alias("_id"),
                                              F.col(item).alias("_item")))
-    exploded = itemsets.select(*others, F.col(itemset).alias("_key"),
-                               F.posexplode(itemset).alias("_pos", "_id"))
+    # written, so that a row keeps its number whatever is computed again
+    rows = materialize(itemsets.select(
+        F.monotonically_increasing_id().alias("_row"), F.struct(*others).alias("_others") if others
+        else F.lit(True).alias("_others"), F.col(itemset).alias("_key")), "decode")
+    exploded = rows.select("_row", F.posexplode("_key").alias("_pos", "_id"))
     known = F.coalesce("_item", F.raise_error(F.concat(
         F.lit("id not in the dictionary: "), F.coalesce(F.col("_id").cast("string"), F.lit("null")))))
-    joined = exploded.join(d, "_id", "left").withColumn("_item", known)
-    regrouped = joined.groupBy("_key", *others).agg(
-        F.array_sort(F.collect_list(F.struct("_pos", "_item"))).alias("_pairs"))
+    regrouped = (exploded.join(d, "_id", "left").withColumn("_item", known).groupBy("_row")
+                 .agg(F.array_sort(F.collect_list(F.struct("_pos", "_item"))).alias("_pairs")))
     items = F.transform("_pairs", lambda p: p["_item"])
-    return regrouped.select(*others, (F.array_sort(items) if sort else items).alias(itemset)) \
-        .select(itemset, *others)
+    whole = F.when(F.size("_key") == 0, F.array().cast(ArrayType(dictionary.schema[item].dataType))).otherwise(
+        F.array_sort(items) if sort else items)
+    return (rows.join(regrouped, "_row", "left")
+            .select(whole.alias(itemset), *[F.col("_others")[c].alias(c) for c in others]))
 
 
 def encoded_rows(rows: DataFrame, tid: str = "tid", item: str = "item",

@@ -5,10 +5,12 @@ in that order (not necessarily next to each other); ``[a, b]`` and
 ``[b, a]`` are different patterns and an item may repeat.  Support counts
 baskets.
 
-State per level: ``(tid, pattern, end)`` where ``end`` is the position of
-the earliest embedding's last item; extending by an item at a later
-position and taking the minimum keeps it earliest.  The extension is a
-skew-safe join on ``tid`` with ``position > end`` (no per-basket arrays).
+State per level: ``(tid, node, end)`` where ``node`` numbers a frequent
+pattern and ``end`` is the position of the earliest embedding's last item;
+extending by an item at a later position and taking the minimum keeps it
+earliest.  Items have codes and positions are numbers, so every aggregate hashes
+fixed-width keys.  The extension is a skew-safe join on ``tid`` with ``position >
+end`` (no per-basket arrays).
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.ml.fpm import PrefixSpan
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small, materialize, release
+from ..session import Store, broadcast_if_small, materialize, release
 from .apriori import select_report
 from .fpgrowth import fraction_for_count
 from .groupjoin import DEFAULT_MAX_GROUP, group_join
@@ -41,55 +43,60 @@ def ordered_patterns(rows: DataFrame, min_support, *, tid: str = "tid", item: st
     the events are written).  Rows with a null transaction id or item are
     dropped; ``n_baskets`` see :func:`support.prepare`.
     """
-    # The order columns and a unique number make a position that compares as
-    # the order does, without any sort.  Written once, so positions are fixed.
-    pos = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)],
-                   F.monotonically_increasing_id().alias("nth"))
-    ev = materialize(_events(rows, tid, item).select(tid, item, pos.alias("pos")),
-                     "ordered-events")
+    # A distributed sort by the order alone: the ids of its rows rise with it, so
+    # one number per event compares as the order does.  Written once and fixed.
+    store = Store(rows.sparkSession)
+    ev, _ = store.write(_events(rows, tid, item).orderBy(*order).select(
+        tid, item, F.monotonically_increasing_id().alias("pos")), "ordered-events")
     stats = basket_stats(ev, tid)  # baskets and the longest sequence, one job
     m = min_count(min_support, stats.n_baskets if n_baskets is None else n_baskets)
     stop = max_len
     if report == "exact_k" and k is not None:
         stop = k if stop is None else min(stop, k)
 
-    first = ev.groupBy(tid, item).agg(F.min("pos").alias("end"))
-    l1 = materialize(frequent(first.groupBy(item).agg(F.count(F.lit(1)).alias("support")), m),
-                     "ordered-level-1")
+    counts = item_support(distinct_rows(ev, tid, item), tid, item, already_distinct=True)
+    l1, size = store.write(frequent(counts, m).withColumn("node", F.monotonically_increasing_id()),
+                           "ordered-level-1")
     levels = [l1.select(F.array(item).alias("pattern"), "support")]
-    if l1.count() == 0:
+    if size == 0:
+        release(ev)
         return _result(levels, report, k)
-    keep = broadcast_if_small(l1.select(item))
-    all_ev = ev
-    ev = materialize(ev.join(keep, item, "left_semi"), "ordered-frequent-events")
-    occ = first.join(keep, item, "left_semi").select(tid, F.array(item).alias("pattern"), "end")
-    nxt_ev = ev.select(tid, F.col(item).alias("_next"), F.col("pos").alias("_npos"))
-    level = 1
+    coded, _ = store.write(ev.join(broadcast_if_small(l1.select(item, "node")), item)
+                           .select(tid, F.col("node").alias("next"), F.col("pos").alias("npos")),
+                           "ordered-coded")
+    release(ev)
+    names = l1.select(F.col("node").alias("next"), F.col(item).alias("_name"))
+    nodes = l1.select("node", F.array(item).alias("pattern"))
+    occ = coded.groupBy(tid, F.col("next").alias("node")).agg(F.min("npos").alias("end"))
+    made, level = None, 1
     while stop is None or level < stop:
         # a sequence of length L holds at most C(L, k) distinct k-patterns, so
         # with both sides provably small the hot-group measurement is skipped
         longest = stats.max_basket
         check = longest > max_group or math.comb(longest, level) > max_group
-        ext = group_join(occ, nxt_ev, [tid], left_spread=["pattern"], right_spread=["_npos"],
-                         condition=F.col("_npos") > F.col("end"), max_group=max_group,
+        ext = group_join(occ, coded, [tid], left_spread=["node"], right_spread=["npos"],
+                         condition=F.col("npos") > F.col("end"), max_group=max_group,
                          check_hot=check)
-        cand = (ext.groupBy(tid, F.concat("pattern", F.array("_next")).alias("pattern"))
-                .agg(F.min("_npos").alias("end"))).persist()
-        lv = materialize(frequent(cand.groupBy("pattern").agg(F.count(F.lit(1)).alias("support")),
-                                  m), f"ordered-level-{level + 1}")
-        if lv.count() == 0:
-            cand.unpersist()
+        cand = ext.groupBy(tid, "node", "next").agg(F.min("npos").alias("end"))
+        # the earliest ends are counted and, where frequent, joined with their level
+        cand, _ = store.write(cand, f"ordered-ends-{level + 1}")
+        found = frequent(cand.groupBy("node", "next").agg(F.count(F.lit(1)).alias("support")), m)
+        lv, size = store.write(
+            found.join(nodes, "node").join(names, "next")
+            .select(F.col("node").alias("parent"), "next", F.monotonically_increasing_id().alias("node"),
+                    F.concat("pattern", F.array("_name")).alias("pattern"), "support"),
+            f"ordered-level-{level + 1}")
+        release(made)
+        made = cand
+        if size == 0:
             break
-        levels.append(lv)
+        levels.append(lv.select("pattern", "support"))
         level += 1
-        done = occ
-        if stop is None or level < stop:
-            occ = materialize(cand.join(broadcast_if_small(lv.select("pattern")), "pattern",
-                                        "left_semi"), f"ordered-occ-{level}")
-        cand.unpersist()
-        if done is not occ:
-            release(done)
-    release(occ, ev, all_ev)
+        nodes = lv.select("node", "pattern")
+        keys = broadcast_if_small(lv.select("parent", "next", F.col("node").alias("_node")), bound=size)
+        occ = (cand.withColumnRenamed("node", "parent").join(keys, ["parent", "next"])
+               .select(tid, F.col("_node").alias("node"), "end"))
+    release(made, coded)
     return _result(levels, report, k)
 
 

@@ -8,6 +8,7 @@ before it is shuffled.
 
 from __future__ import annotations
 
+import dataclasses
 import math
 from dataclasses import dataclass
 from fractions import Fraction
@@ -15,7 +16,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small
+from ..session import Store, broadcast_if_small
 from .groupjoin import DEFAULT_MAX_GROUP, pairs_within
 
 
@@ -84,31 +85,29 @@ class Prepared:
 def prepare(rows: DataFrame, min_support, tid: str = "tid", item: str = "item", *,
             min_basket_size: int | None = None,
             num_partitions: int | None = None, n_baskets: int | None = None,
-            already_distinct: bool = False) -> Prepared:
+            already_distinct: bool = False, store: Store | None = None) -> Prepared:
     """Write the distinct ``(tid, item)`` rows once (tokenising, dimension
     joins and the dedup run a single time), measure them in one job and
     resolve the threshold.
 
     ``min_basket_size`` drops baskets with fewer distinct items (PRJ-8, off
     by default; a relative threshold then counts the kept baskets).
-    ``num_partitions`` hash-partitions the written rows by ``tid`` into that
-    many partitions (SRC-6).  ``n_baskets`` is the number of transactions that
+    ``num_partitions`` writes the rows in that many buckets by ``tid`` (SRC-6),
+    so joins and aggregates of the rows on ``tid`` need no shuffle.  ``n_baskets`` is the number of transactions that
     a relative threshold is a share of, when some of them hold no item and so
     have no row (SRC-1); by default the baskets found in the rows.
     ``already_distinct`` says the rows are sets without nulls, so the dedup is
-    skipped, and the write too if they are written rows.
+    skipped, and the write too if they are written rows.  ``store`` keeps the
+    rows and their statistics for a run that can be resumed.
     """
-    from ..session import materialize
-
-    written = getattr(rows, "_cofreq_path", None) if already_distinct else None
+    store = store or Store(rows.sparkSession)
+    written = getattr(rows, "_cofreq_path", None) if already_distinct and not store.path else None
     rows = rows.select(tid, item) if already_distinct else distinct_rows(rows, tid, item)
     if min_basket_size and min_basket_size > 1:
         rows = keep_baskets(rows, min_basket_size, tid)
-    if num_partitions:
-        rows = rows.repartition(int(num_partitions), tid)
     if not written or min_basket_size or num_partitions:
-        rows = materialize(rows, "rows")
-    st = basket_stats(rows, tid)
+        rows, _ = store.write(rows, "rows", num_partitions, tid)
+    st = BasketStats(*store.value("baskets", lambda: dataclasses.astuple(basket_stats(rows, tid))))
     n = st.n_baskets if n_baskets is None else n_baskets
     return Prepared(rows, n, st.max_basket, st.n_rows, min_count(min_support, n))
 

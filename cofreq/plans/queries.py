@@ -15,10 +15,11 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import contains_all, intersect, itemset_text
+from ..functions import add_item, contains_all, intersect, itemset_text
 from ..operators.apriori import apriori, r_apriori
 from ..operators.candidates import candidates, count_containment, items_in_candidates
-from ..operators.eclat import bitset_support, eclat, tid_bitsets
+from ..operators.eclat import (bitmap_support, bitset_support, eclat, merge_bitmaps, merge_tidsets,
+                               tid_bitmaps, tid_bitsets)
 from ..operators.encode import build_dictionary, encode
 from ..operators.fpgrowth import fpgrowth
 from ..operators.ordered import ordered_patterns
@@ -27,7 +28,8 @@ from ..operators.rules import association_rules
 from ..operators.support import (basket_stats, distinct_rows, frequent, item_support,
                                   min_count, pair_support, trim_baskets)
 from ..session import materialize, run_folder
-from ..sources import count_lines, read_baskets, read_rows, write_baskets_text
+from ..sources import (count_lines, read_baskets, read_itemsets, read_rows, write_baskets_text,
+                       write_itemsets)
 from . import catalog as C
 from .pipelines import (POS_COLUMNS, POS_N_COLUMNS, POS_SEP, basket_analysis,
                         csv_basket_analysis, pos_basket_analysis, retail_basket_analysis,
@@ -109,6 +111,24 @@ def tidset_size_q(spark, d):
     return bitset_support(tid_bitsets(C.order_brand_rows(spark, d)), ["item"])
 
 
+MERGED = f"""
+WITH b AS ({BRAND})
+SELECT substr(item, 1, 7) AS maker, count(DISTINCT tid) AS support FROM b GROUP BY maker"""
+
+
+@register("tidset_merge", MERGED)
+def tidset_merge_q(spark, d):
+    """Orders with any brand of a maker: the brands' bitmaps merged."""
+    maps = tid_bitmaps(C.order_brand_rows(spark, d)).withColumn("maker", F.substring("item", 1, 7))
+    return bitmap_support(merge_bitmaps(maps, ["maker"]), ["maker"])
+
+
+@register("tidset_merge_words", MERGED)
+def tidset_merge_words_q(spark, d):
+    words = tid_bitsets(C.order_brand_rows(spark, d)).withColumn("maker", F.substring("item", 1, 7))
+    return bitset_support(merge_tidsets(words, ["maker"]), ["maker"])
+
+
 # ------------------------------------------------------------------ baskets
 
 @register("basket_build", f"""
@@ -162,6 +182,15 @@ def basket_intersect_q(spark, d):
                          F.concat_ws("|", F.array_sort("common")).alias("common"))
 
 
+@register("basket_add_item", f"""
+WITH b AS ({TYPE})
+SELECT tid, array_to_string(list_sort(list_distinct(list_append(list(item), 'PROMO'))), '|') AS items
+FROM b GROUP BY tid""")
+def basket_add_item_q(spark, d):
+    b = to_baskets(C.order_type_rows(spark, d))
+    return b.select("tid", F.concat_ws("|", add_item("items", F.lit("PROMO"))).alias("items"))
+
+
 # ------------------------------------------------------------------ dictionary
 
 DICT_SQL = f"""
@@ -270,6 +299,14 @@ def apriori_last_level_q(spark, d):
                             report="last_level"))
 
 
+@register("level_file", f"SELECT * FROM ({TYPE_117}) WHERE k = 2")
+def level_file_q(spark, d):
+    """All levels written by size, one of them read back."""
+    path = f"{run_folder(spark)}/levels-{uuid.uuid4().hex}"
+    write_itemsets(apriori(C.order_type_rows(spark, d), Fraction(117, 1000)), path, by_level=True)
+    return _as_text(read_itemsets(spark, path, k=2))
+
+
 @register("apriori_from_2", f"SELECT * FROM ({TYPE_117}) WHERE k >= 2")
 def apriori_from_2_q(spark, d):
     return _as_text(apriori(C.order_type_rows(spark, d), Fraction(117, 1000),

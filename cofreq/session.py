@@ -10,13 +10,14 @@ stays one level deep.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import tempfile
 import uuid
 from urllib.parse import urlparse
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
@@ -92,10 +93,90 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return out
 
 
+def _file(spark: SparkSession, path: str):
+    """A Hadoop path and its file system."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+    hpath, fs = _file(spark, path)
+    fs.delete(hpath, True)
+
+
+class Store:
+    """The tables of one mining run, counted while they are written.
+
+    Without a ``path`` they go to the run folder like :func:`materialize`'s.
+    With one the run can be resumed: a table is written under its own name, and
+    once it is complete a note beside it records its rows and schema.  A later
+    run of the same parameters finds the note and reads the table, so nothing
+    of a finished level runs again, whatever happened to the first driver.
+    ``parameters`` name what the tables depend on; a folder that holds a run of
+    other parameters is refused.
+    """
+
+    def __init__(self, spark: SparkSession, path: str | None = None, parameters: dict | None = None):
+        self.spark, self.path = spark, path.rstrip("/") if path else None
+        said = {k: str(v) for k, v in (parameters or {}).items()}
+        if self.value("parameters", lambda: said) != said:
+            raise ValueError(f"{path} holds a run of other parameters")
+
+    def _note(self, tag: str) -> dict | None:
+        hpath, fs = _file(self.spark, f"{self.path}/{tag}.json")
+        if not fs.exists(hpath):
+            return None
+        return json.loads(self.spark.read.text(hpath.toString(), wholetext=True).first()[0])
+
+    def _record(self, tag: str, said: dict) -> None:
+        # the note appears whole or not at all: written aside, then renamed
+        hpath, fs = _file(self.spark, f"{self.path}/{tag}.json")
+        aside, _ = _file(self.spark, f"{self.path}/.{tag}.{uuid.uuid4().hex}")
+        out = fs.create(aside)
+        out.write(json.dumps(said).encode())
+        out.close()
+        fs.rename(aside, hpath)
+
+    def value(self, tag: str, compute):
+        """What ``compute`` returns (JSON), from its note if there is one."""
+        said = self._note(tag) if self.path else None
+        if said is None:
+            said = {"value": compute()}
+            if self.path:
+                self._record(tag, said)
+        return said["value"]
+
+    def write(self, df: DataFrame, tag: str, buckets: int | None = None,
+              by: str | None = None) -> tuple[DataFrame, int]:
+        """The written table and its number of rows, counted by the job that
+        writes it.  With ``buckets`` the rows lie in that many files by the hash
+        of ``by``, sorted by it, and the table says so: a join or an aggregate
+        on ``by`` reads it without another shuffle."""
+        path = f"{self.path}/{tag}" if self.path else f"{run_folder(self.spark)}/{tag}-{uuid.uuid4().hex}"
+        said = self._note(tag) if self.path else None
+        name = None
+        if said is None:
+            seen = Observation()
+            if buckets:
+                df = df.repartition(buckets, by)
+            out = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(
+                "overwrite" if self.path else "errorifexists")
+            if buckets:
+                name = f"cofreq_{uuid.uuid4().hex}"
+                out.option("path", path).bucketBy(buckets, by).sortBy(by).format("parquet").saveAsTable(name)
+            else:
+                out.parquet(path)
+            said = {"rows": seen.get["rows"], "schema": df.schema.json()}
+            if self.path:
+                self._record(tag, said)
+        if name:
+            out = self.spark.table(name)
+            out._cofreq_table = name
+        else:
+            out = self.spark.read.schema(StructType.fromJson(json.loads(said["schema"]))).parquet(path)
+        if not self.path:
+            out._cofreq_path = path  # a run that can be resumed keeps its tables
+        return out, said["rows"]
 
 
 def release(*dfs: DataFrame | None) -> None:
@@ -104,6 +185,8 @@ def release(*dfs: DataFrame | None) -> None:
     Results keep reading their level tables; :func:`cleanup` removes those."""
     for df in dfs:
         path = getattr(df, "_cofreq_path", None) if df is not None else None
+        if path and getattr(df, "_cofreq_table", None):
+            df.sparkSession.sql(f"DROP TABLE IF EXISTS {df._cofreq_table}")
         if path:
             _delete(df.sparkSession, path)
             df._cofreq_path = None

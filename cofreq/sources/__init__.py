@@ -2,9 +2,9 @@
 
 from .builtin import customer_transactions, default_baskets
 from .delimited import read_delimited
-from .sinks import write_baskets_text, write_itemsets
+from .sinks import read_itemsets, write_baskets_text, write_itemsets
 from .text import baskets_to_rows, count_lines, read_baskets, read_rows
 
 __all__ = ["read_baskets", "read_rows", "baskets_to_rows", "count_lines", "read_delimited",
-           "default_baskets", "customer_transactions", "write_baskets_text",
-           "write_itemsets"]
+           "default_baskets", "customer_transactions", "read_itemsets",
+           "write_baskets_text", "write_itemsets"]
