@@ -206,7 +206,10 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
     chosen = F.broadcast(picked[0].unionAll(picked[1]))
     sample = (docs.select("doc_id", "text", F.col("lang").cast("string"), F.col("source").cast("string"))
               .join(chosen, "doc_id").select("doc_id", "label", "text", "lang", "source")
-              .mapInArrow(run, "doc_id bigint, label int, numbers array<double>, names array<bigint>").toArrow())
+              .mapInArrow(run, "doc_id bigint, label int, numbers array<double>, names array<bigint>")
+              # an id that stands on many rows is one row of the sample
+              .groupBy("doc_id", "label").agg(F.min(F.struct("numbers", "names")).alias("x"))
+              .select("doc_id", "label", "x.*").toArrow())
     rows = sorted(zip(sample["doc_id"].to_pylist(), sample["label"].to_pylist(),
                       sample["numbers"].to_pylist(), sample["names"].to_pylist()),
                   key=lambda r: (crc32(str(r[0]).encode()), r))

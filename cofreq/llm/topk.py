@@ -51,16 +51,17 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.n
 class Shard:
     """Posting lists of a shard: one per dimension, by ascending id."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        order = np.argsort(ids)
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, rows: np.ndarray | None = None):
+        order = np.argsort(ids, kind="stable")
         self.ids, docs = ids[order], vectors[order]
+        self.rows = self.ids if rows is None else rows[order]
         self.docs = docs
         # exact in 64-bit floats: see _exact()
         self.lists = np.ascontiguousarray(docs.T.astype(np.float64))
         self.low, self.high = self.lists.min(axis=1), self.lists.max(axis=1)
 
     def top(self, query: np.ndarray, own: int | None, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k best (ids, scores) for a query; ``own`` takes no part."""
+        """The k best (ids, scores) for a query; row ``own`` takes no part."""
         q = query.astype(np.float64)
         n = len(self.ids)
         # each list adds between its least and least + bound
@@ -72,7 +73,7 @@ class Shard:
         base = least.sum()
         seed = np.arange(min(n, SEED))
         score = q @ self.lists[:, seed]
-        keep = self.ids[seed] != own if own is not None else np.ones(len(seed), bool)
+        keep = self.rows[seed] != own if own is not None else np.ones(len(seed), bool)
         ids, scores = _best(self.ids[seed][keep], score[keep], k)
         for start in range(len(seed), n, CHUNK):
             stop = min(start + CHUNK, n)
@@ -95,7 +96,7 @@ class Shard:
                 alive = partial + room >= floor
                 at, partial = at[alive], partial[alive]
             if own is not None:
-                other = self.ids[at] != own
+                other = self.rows[at] != own
                 at, partial = at[other], partial[other]
             if len(at):
                 ids, scores = _best(np.concatenate([ids, self.ids[at]]), np.concatenate([scores, partial]), k)
@@ -110,9 +111,9 @@ def _exact(docs: np.ndarray, queries: np.ndarray) -> bool:
     return most < 2.0 ** 52
 
 
-def _plain(ids, docs, query, own, k):
+def _plain(rows, ids, docs, query, own, k):
     """All scores in Python integers, for values too large for floats."""
-    scores = [(-sum(int(a) * int(b) for a, b in zip(d, query)), int(i)) for i, d in zip(ids, docs) if i != own]
+    scores = [(-sum(int(a) * int(b) for a, b in zip(d, query)), int(i)) for r, i, d in zip(rows, ids, docs) if r != own]
     best = sorted(scores)[:k]
     return [i for _, i in best], [-s for s, _ in best]
 
@@ -120,57 +121,59 @@ def _plain(ids, docs, query, own, k):
 def _search(k: int):
     def run(table: pa.Table) -> pa.Table:
         dim = table.column("dim")[0].as_py()
-        ids = table.column("vec_id").to_numpy()
+        ids, rows = table.column("vec_id").to_numpy(), table.column("row").to_numpy()
         query = table.column("query").to_numpy(zero_copy_only=False).astype(bool)
         v = np.frombuffer(b"".join(table.column("vector").to_pylist()), "<i8").reshape(-1, dim) if dim else np.zeros(
             (len(ids), 0), np.int64)
-        out: list[list] = [[], [], []]
+        out: list[list] = [[], [], [], []]
         docs, queries = v[~query], v[query]
         if len(docs):
             floats = _exact(docs, queries)
-            shard = Shard(ids[~query], docs) if floats else None
-            for own, q in zip(ids[query].tolist(), queries):
-                found, scores = shard.top(q, own, k) if floats else _plain(ids[~query], docs, q, own, k)
+            shard = Shard(ids[~query], docs, rows[~query]) if floats else None
+            for own, name, q in zip(rows[query].tolist(), ids[query].tolist(), queries):
+                found, scores = shard.top(q, own, k) if floats else _plain(rows[~query], ids[~query], docs, q, own, k)
                 out[0] += [own] * len(found)
-                out[1] += [int(x) for x in found]
-                out[2] += [max(-2**63, min(2**63 - 1, int(x))) for x in scores]
-        return pa.table([pa.array(c, pa.int64()) for c in out], names=["query_id", "vec_id", "score"])
+                out[1] += [name] * len(found)
+                out[2] += [int(x) for x in found]
+                out[3] += [max(-2**63, min(2**63 - 1, int(x))) for x in scores]
+        return pa.table([pa.array(c, pa.int64()) for c in out], names=["row", "query_id", "vec_id", "score"])
     return run
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, shard: int = SHARD, block: int = QUERIES) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for each query the k rows of
     ``vectors`` of the highest inner product, ties to the smaller vec_id, its
-    own id left out; all rows if there are fewer.
-
-    Both inputs hold ``vec_id`` and ``vector``, an array of integers.  Rows with
-    a null id or vector (or null components) take no part; of repeated ids the
-    smallest vector counts; vectors are compared with those of the same length
-    only.  A score beyond 64 bits counts as the nearest 64-bit integer.  Empty
+    own row left out; all rows if there are fewer.
+
+    Both inputs hold ``row``, a number of its own for every row of either (a
+    query that is a row of ``vectors`` has that row's), ``vec_id`` and
+    ``vector``, an array of integers.  Rows with a null id or vector (or null
+    components) take no part; every other row is a candidate and a query by
+    itself, so ranks of a repeated query id start anew for each of its rows;
+    vectors are compared with those of the same length only.  A score beyond 64 bits counts as the nearest 64-bit integer.  Empty
     tables give an empty result; other columns are ignored.
     """
     small_batches(vectors.sparkSession)
 
     def clean(df: DataFrame) -> DataFrame:
         sound = F.col("vec_id").isNotNull() & F.forall("vector", lambda x: x.isNotNull())
-        return (df.select(F.col("vec_id").cast("long"), F.col("vector").cast("array<long>")).where(sound)
-                .groupBy("vec_id").agg(F.min("vector").alias("vector")))
+        return df.where(sound).select(F.col("row").cast("long"), F.col("vec_id").cast("long"), F.col("vector").cast("array<long>"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [np.array(x, "<i8") for x in b.column(1).to_pylist()]
+            rows = [np.array(x, "<i8") for x in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([len(x) for x in rows], pa.int32()), pa.array([x.tobytes() for x in rows], pa.binary())],
-                names=["vec_id", "dim", "vector"])
+                [b.column(0), b.column(1), pa.array([len(x) for x in rows], pa.int32()), pa.array([x.tobytes() for x in rows], pa.binary())],
+                names=["row", "vec_id", "dim", "vector"])
 
     def packed(df: DataFrame, tag: str) -> DataFrame:
-        return materialize(clean(df).mapInArrow(pack, "vec_id long, dim int, vector binary"), tag)
+        return materialize(clean(df).mapInArrow(pack, "row long, vec_id long, dim int, vector binary"), tag)
 
     docs, asked = packed(vectors, "vectors"), packed(queries, "queries")
     shards, blocks = max(1, -(-docs.count() // shard)), max(1, -(-asked.count() // block))
 
     def number(n: int) -> Column:
-        return F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
+        return F.pmod(F.xxhash64("row"), F.lit(n)).cast("int")
 
     def every(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
@@ -178,31 +181,33 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, shard: int = SHARD
     dealt = (docs.withColumn("query", F.lit(False)).withColumn("shard", number(shards)).withColumn("block", every(blocks))
              .unionByName(asked.withColumn("query", F.lit(True)).withColumn("block", number(blocks))
                           .withColumn("shard", every(shards))))
-    found = dealt.groupBy("dim", "shard", "block").applyInArrow(_search(k), "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    found = dealt.groupBy("dim", "shard", "block").applyInArrow(_search(k), "row long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("row").orderBy(F.col("score").desc(), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
 
 def embedding_top_k(embeddings: DataFrame, every: int = 20, k: int = K) -> DataFrame:
     """:func:`top_k` of the quantized embeddings; queries are the rows whose
-    vec_id is divisible by ``every``."""
-    vectors = embeddings.select("vec_id", quantized(F.col("embedding")).alias("vector"))
+    vec_id is divisible by ``every``.  Null ids and unsound vectors take no part,
+    repeated rows count as rows of their own, an empty table gives none."""
+    # numbered by a written table, so that queries and candidates agree
+    vectors = materialize(embeddings.select("vec_id", quantized(F.col("embedding")).alias("vector"),
+                                            F.monotonically_increasing_id().alias("row")), "quantized")
     return top_k(vectors, vectors.where(F.col("vec_id") % every == 0), k)
 
 
 #: Rows of :func:`embedding_top_k` in DuckDB, for vectors of one length.
 ORACLE = """
 WITH v AS (
-  SELECT vec_id, min(list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT)) AS v
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-  GROUP BY vec_id),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-  SELECT q.vec_id AS query_id, d.vec_id,
+  SELECT q.r, q.vec_id AS query_id, d.vec_id,
          list_inner_product(q.v::DOUBLE[], d.v::DOUBLE[])::BIGINT AS score
-  FROM v q JOIN v d ON q.vec_id % 20 = 0 AND q.vec_id <> d.vec_id AND len(q.v) = len(d.v)),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+  FROM v q JOIN v d ON q.vec_id % 20 = 0 AND q.r <> d.r AND len(q.v) = len(d.v)),
+r AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20
 """

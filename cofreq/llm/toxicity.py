@@ -126,7 +126,9 @@ def train(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
     # at most max_positive + max_unlabelled ids of a few bytes
     chosen = F.broadcast(picked[0].unionAll(picked[1]))
     sample = (docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "positive", "text")
-              .mapInArrow(slots, "doc_id bigint, positive boolean, slots array<int>").toArrow())
+              .mapInArrow(slots, "doc_id bigint, positive boolean, slots array<int>")
+              # an id that stands on many rows is one row of the sample
+              .groupBy("doc_id", "positive").agg(F.min("slots").alias("slots")).toArrow())
     rows = sorted(zip(sample["doc_id"].to_pylist(), sample["positive"].to_pylist(),
                       (np.asarray(x.values, dtype=np.int32) for x in sample["slots"])),
                   key=lambda r: (r[0], len(r[2])))

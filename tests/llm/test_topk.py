@@ -9,18 +9,20 @@ from cofreq.llm import topk
 
 
 def brute(docs, queries, k):
-    best = lambda rows: {i: min(v for j, v in rows if j == i) for i, _ in rows}
-    ok = lambda rows: [(i, list(v)) for i, v in rows if i is not None and v is not None and None not in v]
-    d, q, out = best(ok(docs)), best(ok(queries)), []
-    for i, x in q.items():
+    """Every row but the query's own; a query that is a row of docs is that very tuple."""
+    ok = lambda rows: [r for r in rows if r[0] is not None and r[1] is not None and None not in r[1]]
+    out = []
+    for q in ok(queries):
         cut = lambda n: max(-2**63, min(2**63 - 1, n))
-        s = sorted((-cut(sum(a * b for a, b in zip(x, v))), j) for j, v in d.items() if j != i and len(v) == len(x))[:k]
-        out += [(i, r + 1, j, -y) for r, (y, j) in enumerate(s)]
+        s = sorted((-cut(sum(a * b for a, b in zip(q[1], d[1]))), d[0]) for d in ok(docs) if d is not q and len(d[1]) == len(q[1]))[:k]
+        out += [(q[0], r + 1, j, -y) for r, (y, j) in enumerate(s)]
     return sorted(out)
 
 
 def run(spark, docs, queries, k, **kw):
-    make = lambda rows: spark.createDataFrame([(*r, 1, 0) for r in rows], "vec_id bigint, vector array<bigint>, shard int, rank int")
+    number = {id(d): i for i, d in enumerate(docs)}
+    make = lambda rows: spark.createDataFrame([(*r, number.get(id(r), -1 - i), 1, 0) for i, r in enumerate(rows)],
+                                              "vec_id bigint, vector array<bigint>, row bigint, shard int, rank int")
     return sorted(map(tuple, topk.top_k(make(docs), make(queries), k, **kw).collect()))
 
 
@@ -48,12 +50,18 @@ def test_pruning_keeps_every_result():
 
 def test_awkward_rows(spark):
     docs = [(1, [1, 2]), (2, [1, 2]), (2, [0, 0]), (3, None), (4, [None, 1]), (None, [9, 9]), (5, [1, 2, 3]), (6, [7]),
-            (7, []), (8, []), (9, [2**40, 2**40]), (10, [1, 2]), (10, [1, 2])]
+            (7, []), (8, []), (9, [2**40, 2**40]), (10, [1, 2]), (10, [1, 2]), (10, [3, 1])]
+    docs = [tuple(d) for d in docs]
     queries = [d for d in docs] + [(99, [2**41, -1])]
     assert run(spark, docs, queries, 3) == brute(docs, queries, 3)
     assert run(spark, [], queries, 3) == [] and run(spark, docs, [], 3) == []
 
 
+def test_a_repeated_id_is_many_rows(spark):
+    docs = [(1, [1, 0]), (1, [5, 0]), (2, [3, 3])] + [(7, [i, 1]) for i in range(60)]
+    assert run(spark, docs, docs, 5, shard=16, block=8) == brute(docs, docs, 5)
+
+
 def test_quantized(spark):
     nan, inf = float("nan"), float("inf")
     rows = [([0.1, -0.1, 0.0],), ([nan],), ([inf],), ([None, 1.0],), (None,), ([],)]

@@ -64,3 +64,13 @@ def test_negative_risk_is_pushed_back():
     clean = np.logaddexp(0, mixed.margins(m.weights) + m.bias).mean() - 0.2 * np.logaddexp(
         0, pos.margins(m.weights) + m.bias).mean()
     assert clean > -0.05
+
+
+def test_a_repeated_id_is_one_row_of_the_sample(spark, monkeypatch):
+    free = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 3 != 1)
+    docs = spark.createDataFrame([(free, f"copy {n % 3}") for n in range(50)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(free, 1, 1)], "doc_id bigint, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda positive, unlabelled, prior: seen.append((positive, unlabelled)))
+    toxicity.train(docs, labels)
+    assert [len(r) for r in seen[0]] == [1, 1]
