@@ -29,8 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import empty_array
-from ..session import Store, broadcast_if_small, materialize, release
+from ..session import Store, release
 from .groupjoin import DEFAULT_MAX_GROUP, group_join, pairs_within
+from .listed import join_listed
 from .support import (basket_stats, frequent, frequent_rows, item_support, pair_occurrences, prepare,
                       triple_support)
 
@@ -126,7 +127,7 @@ def apriori(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "item
     coded = frequent(counts, m).orderBy(item).withColumn("code", F.monotonically_increasing_id())
     dictionary, size = store.write(coded, "items")
     items, _ = store.write(
-        prep.rows.join(broadcast_if_small(dictionary.select(item, "code")), item)
+        join_listed(prep.rows, dictionary.select(item, "code"), item, "inner")
         .select(tid, F.col("code").alias("last")), "coded-rows", num_partitions, tid)
     widest = prep.max_basket
     if widest > max_group:
@@ -151,7 +152,7 @@ def apriori(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "item
             if level >= 2:
                 # the two last items must be a frequent pair themselves (CG-6),
                 # so most candidates that fail are never counted
-                cand = cand.join(pair_keys, ["last_a", "last_b"], "left_semi")
+                cand = join_listed(cand, pair_keys, ["last_a", "last_b"], bound=n_pairs)
         else:
             cand = group_join(occ, items.select(tid, F.col("last").alias("next")), [tid],
                               left_spread=["parent", "last"], right_spread=["next"],
@@ -179,8 +180,8 @@ def apriori(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "item
         nodes = grown.select(F.col("prefix").alias("parent"), F.col("last_b").alias("last"),
                              "node", "itemset")
         if level == 2 and strategy == "pairs":
-            pair_keys = broadcast_if_small(grown.select("last_a", "last_b"), bound=size)
-        occ = cand.join(broadcast_if_small(grown.select(*key, "prefix"), bound=size), key).select(
+            pair_keys, n_pairs = grown.select("last_a", "last_b"), size
+        occ = join_listed(cand, grown.select(*key, "prefix"), key, "inner", bound=size).select(
             tid, F.col("prefix").alias("parent"), F.col("last_b").alias("last"))
     release(made, items)
     if not already_distinct:
@@ -203,7 +204,8 @@ def r_apriori(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "it
     """
     if max_len > 3 or (k or 0) > 3:
         raise ValueError("r_apriori has three passes: max_len and k go up to 3; use apriori")
-    prep = prepare(rows, min_support, tid, item, n_baskets=n_baskets)
+    store = Store(rows.sparkSession)
+    prep = prepare(rows, min_support, tid, item, n_baskets=n_baskets, store=store)
     m = prep.threshold
     item_type = prep.rows.schema[item].dataType
     l1, kept, widest = frequent_rows(prep, tid, item, max_group=max_group)
@@ -214,19 +216,19 @@ def r_apriori(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "it
         pair_rows = kept if discard else prep.rows
         if not discard:
             check = prep.max_basket > max_group
-        occ = pair_occurrences(pair_rows, tid, item, max_group, check).persist()
-        l2 = materialize(frequent(occ.groupBy("item1", "item2")
-                                  .agg(F.count(F.lit(1)).alias("support")), m), "r-level-2")
-        if l2.count() > 0:
+        occ, _ = store.write(pair_occurrences(pair_rows, tid, item, max_group, check), "r-pairs")
+        l2, size = store.write(frequent(occ.groupBy("item1", "item2")
+                                        .agg(F.count(F.lit(1)).alias("support")), m), "r-level-2")
+        if size:
             levels.append(l2.select(F.array("item1").alias("prefix"),
                                     F.col("item2").alias("last"), "support"))
         if max_len >= 3 and len(levels) == 2:
-            l3 = materialize(triple_support(pair_rows, l2, m, tid, item, max_group, check,
-                                            occurrences=occ), "r-level-3")
-            if l3.count() > 0:
+            l3, size = store.write(triple_support(pair_rows, l2, m, tid, item, max_group, check,
+                                                  occurrences=occ), "r-level-3")
+            if size:
                 levels.append(l3.select(F.array("item1", "item2").alias("prefix"),
                                         F.col("item3").alias("last"), "support"))
-        occ.unpersist()
+        release(occ)
     release(kept, prep.rows)
     out = level_result(levels)
     return select_report(out, report, k, out[0])

@@ -16,10 +16,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import bit_mask, bit_word, empty_array, popcount
-from ..session import broadcast_if_small, materialize, release
+from ..session import Store, broadcast_if_small, release
 from .apriori import _stop_level, level_result, select_report
 from .encode import dense_ids
 from .groupjoin import DEFAULT_MAX_GROUP, pairs_within
+from .listed import join_listed
 from .support import distinct_rows, frequent, keep_items, pair_occurrences, prepare
 
 
@@ -100,75 +101,80 @@ def eclat(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "item",
           max_len: int | None = None, report: str = "all", k: int | None = None,
           dense: bool = True, max_group: int = DEFAULT_MAX_GROUP,
           min_basket_size: int | None = None, num_partitions: int | None = None,
-          n_baskets: int | None = None) -> DataFrame:
+          n_baskets: int | None = None, resume: str | None = None) -> DataFrame:
     """Frequent itemsets by tidset intersection; same contract and result as
-    :func:`cofreq.operators.apriori.apriori`.
+    :func:`cofreq.operators.apriori.apriori`, ``resume`` included.
 
     Pairs are counted where they occur, in baskets: items of one 64-transaction
     word that share no basket never meet.  From size 3 on words are
     intersected, of pairs known to be frequent only.
     """
+    store = Store(rows.sparkSession, resume, dict(
+        min_support=min_support, tid=tid, item=item, dense=dense,
+        min_basket_size=min_basket_size, n_baskets=n_baskets))
     prep = prepare(rows, min_support, tid, item, min_basket_size=min_basket_size,
-                   num_partitions=num_partitions, n_baskets=n_baskets)
+                   num_partitions=num_partitions, n_baskets=n_baskets, store=store)
     m = prep.threshold
     item_type = prep.rows.schema[item].dataType
     stop = _stop_level(max_len, report, k)
 
-    raw_bits, ids = _bitsets(prep.rows, tid, item, dense, already_distinct=True)
-    bits = materialize(raw_bits, "bitsets-1")
+    ids = None
+
+    def all_bits() -> DataFrame:
+        nonlocal ids
+        found, ids = _bitsets(prep.rows, tid, item, dense, already_distinct=True)
+        return found
+
+    bits, _ = store.write(all_bits, "bitsets")
     release(ids)
-    l1 = materialize(frequent(bitset_support(bits, [item]), m)
-                     .select(empty_array(item_type).alias("prefix"),
-                             F.col(item).alias("last"), "support"), "eclat-level-1")
+    l1, size = store.write(frequent(bitset_support(bits, [item]), m)
+                           .select(empty_array(item_type).alias("prefix"),
+                                   F.col(item).alias("last"), "support"), "level-1")
     levels = [l1]
-    size = l1.count()
-    l1_keys = broadcast_if_small(l1.select(F.col("last").alias(item)), bound=size)
-    tids = bits.join(l1_keys, item, "left_semi") \
-        .select(empty_array(item_type).alias("prefix"), F.col(item).alias("last"), "word", "bits")
-    tids = materialize(tids, "eclat-tids-1")
+    tids, _ = store.write(
+        join_listed(bits, l1.select(F.col("last").alias(item)), item, bound=size)
+        .select(empty_array(item_type).alias("prefix"), F.col(item).alias("last"), "word", "bits"), "tids-1")
     # A (prefix, word) group never holds more items than the word held at
     # level 1, so one measurement bounds every level.
-    widest = tids.groupBy("word").count().agg(F.max("count")).first()[0] or 0
+    widest = store.value("widest-word", lambda: tids.groupBy("word").count().agg(F.max("count")).first()[0] or 0)
     check = widest > max_group
     level = 1
     if size > 1 and (stop is None or stop > 1):
         kept = keep_items(prep.rows, l1.select(F.col("last").alias(item)), item, bound=size)
         occ = pair_occurrences(kept, tid, item, max_group, check_hot=prep.max_basket > max_group)
-        l2 = materialize(frequent(occ.groupBy("item1", "item2")
-                                  .agg(F.count(F.lit(1)).alias("support")), m)
-                         .select(F.array("item1").alias("prefix"), F.col("item2").alias("last"),
-                                 "support"), "eclat-level-2")
-        size = l2.count()
+        l2, size = store.write(frequent(occ.groupBy("item1", "item2")
+                                        .agg(F.count(F.lit(1)).alias("support")), m)
+                               .select(F.array("item1").alias("prefix"), F.col("item2").alias("last"),
+                                       "support"), "level-2")
         if size:
             levels.append(l2)
             level = 2
         if size > 1 and (stop is None or stop > 2):
-            done, tids = tids, _pair_tidsets(tids, l2)
-            tids = materialize(tids, "eclat-tids-2")
+            done = tids
+            tids, _ = store.write(_pair_tidsets(tids, l2), "tids-2")
             release(done)
     while level > 1 and size > 1 and (stop is None or level < stop):
         pairs = pairs_within(tids, ["prefix", "word"], "last", payload=["bits"],
                              max_group=max_group, check_hot=check)
-        cand = (pairs.select(F.concat("prefix", F.array("last_a")).alias("prefix"),
-                             F.col("last_b").alias("last"), "word",
-                             F.col("bits_a").bitwiseAND(F.col("bits_b")).alias("bits"))
-                .where(F.col("bits") != 0)).persist()
-        nxt = materialize(frequent(bitset_support(cand, ["prefix", "last"]), m),
-                          f"eclat-level-{level + 1}")
-        size = nxt.count()
-        if size == 0:
-            cand.unpersist()
+        # written once: the level is counted from the file, and the next
+        # tidsets are the file's rows that match the level
+        cand, _ = store.write(
+            pairs.select(F.concat("prefix", F.array("last_a")).alias("prefix"),
+                         F.col("last_b").alias("last"), "word",
+                         F.col("bits_a").bitwiseAND(F.col("bits_b")).alias("bits"))
+            .where(F.col("bits") != 0), f"candidates-{level + 1}")
+        nxt, size = store.write(frequent(bitset_support(cand, ["prefix", "last"]), m), f"level-{level + 1}")
+        if size:
+            levels.append(nxt)
+            level += 1
+            if size > 1 and (stop is None or level < stop):
+                done = tids
+                tids, _ = store.write(join_listed(cand, nxt.select("prefix", "last"), ["prefix", "last"], bound=size),
+                                      f"tids-{level}")
+                release(done)
+        release(cand)
+        if not size:
             break
-        levels.append(nxt)
-        level += 1
-        done = tids
-        if size > 1 and (stop is None or level < stop):
-            keys = broadcast_if_small(nxt.select("prefix", "last"), bound=size)
-            tids = materialize(cand.join(keys, ["prefix", "last"], "left_semi"),
-                               f"eclat-tids-{level}")
-        cand.unpersist()
-        if done is not tids:
-            release(done)
     release(tids, bits, prep.rows)
     out = level_result(levels)
     return select_report(out, report, k, out[0])

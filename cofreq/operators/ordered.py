@@ -22,10 +22,11 @@ from pyspark.ml.fpm import PrefixSpan
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import Store, broadcast_if_small, materialize, release
+from ..session import Store, materialize, release
 from .apriori import select_report
 from .fpgrowth import fraction_for_count
 from .groupjoin import DEFAULT_MAX_GROUP, group_join
+from .listed import join_listed
 from .prepare import ordered_baskets
 from .support import (basket_stats, distinct_rows, frequent, item_support, keep_items,
                       min_count)
@@ -61,7 +62,7 @@ def ordered_patterns(rows: DataFrame, min_support, *, tid: str = "tid", item: st
     if size == 0:
         release(ev)
         return _result(levels, report, k)
-    coded, _ = store.write(ev.join(broadcast_if_small(l1.select(item, "node")), item)
+    coded, _ = store.write(join_listed(ev, l1.select(item, "node"), item, "inner")
                            .select(tid, F.col("node").alias("next"), F.col("pos").alias("npos")),
                            "ordered-coded")
     release(ev)
@@ -93,8 +94,8 @@ def ordered_patterns(rows: DataFrame, min_support, *, tid: str = "tid", item: st
         levels.append(lv.select("pattern", "support"))
         level += 1
         nodes = lv.select("node", "pattern")
-        keys = broadcast_if_small(lv.select("parent", "next", F.col("node").alias("_node")), bound=size)
-        occ = (cand.withColumnRenamed("node", "parent").join(keys, ["parent", "next"])
+        keys = lv.select("parent", "next", F.col("node").alias("_node"))
+        occ = (join_listed(cand.withColumnRenamed("node", "parent"), keys, ["parent", "next"], "inner", bound=size)
                .select(tid, F.col("_node").alias("node"), "end"))
     release(made, coded)
     return _result(levels, report, k)

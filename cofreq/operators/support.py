@@ -16,8 +16,9 @@ from fractions import Fraction
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import Store, broadcast_if_small
+from ..session import Store
 from .groupjoin import DEFAULT_MAX_GROUP, pairs_within
+from .listed import join_listed
 
 
 # ---------------------------------------------------------------- thresholds
@@ -167,11 +168,12 @@ def frequent(counts: DataFrame, threshold: int, col: str = "support") -> DataFra
 
 
 def keep_items(rows: DataFrame, items: DataFrame, item: str = "item",
-               bound: int | None = None) -> DataFrame:
+               bound: int | None = None, limit: int | None = None) -> DataFrame:
     """Keep rows whose item is in ``items`` (PRJ-5); a semi-join that
     broadcasts the item list only when its size (proven ``bound`` or
-    measured) allows."""
-    return rows.join(broadcast_if_small(items.select(item), bound=bound), item, "left_semi")
+    measured) allows, and else drops most other rows before the shuffle (see
+    :mod:`listed`)."""
+    return join_listed(rows, items.select(item), item, bound=bound, limit=limit)
 
 
 def keep_baskets(rows: DataFrame, min_items: int, tid: str = "tid") -> DataFrame:
@@ -182,12 +184,14 @@ def keep_baskets(rows: DataFrame, min_items: int, tid: str = "tid") -> DataFrame
 
 
 def trim_baskets(rows: DataFrame, items: DataFrame, min_items: int,
-                 tid: str = "tid", item: str = "item", already_distinct: bool = False) -> DataFrame:
+                 tid: str = "tid", item: str = "item", already_distinct: bool = False,
+                 limit: int | None = None) -> DataFrame:
     """Keep only the listed items, then drop baskets with fewer than
-    ``min_items`` of them (PRJ-6, PRJ-7)."""
+    ``min_items`` of them (PRJ-6, PRJ-7).  ``limit``: bytes up to which the
+    list is broadcast."""
     if not already_distinct:
         rows = distinct_rows(rows, tid, item)
-    return keep_baskets(keep_items(rows, items, item), min_items, tid)
+    return keep_baskets(keep_items(rows, items, item, limit=limit), min_items, tid)
 
 
 # ---------------------------------------------------------------- pairs, triples
@@ -236,11 +240,10 @@ def triple_support(rows: DataFrame, pairs: DataFrame, threshold: int,
     """
     occ = occurrences if occurrences is not None else \
         pair_occurrences(rows, tid, item, max_group, check_hot)
-    occ = occ.join(broadcast_if_small(pairs.select("item1", "item2")),
-                   ["item1", "item2"], "left_semi")
+    occ = join_listed(occ, pairs.select("item1", "item2"), ["item1", "item2"])
     tri = pairs_within(occ, [tid, "item1"], "item2", max_group=max_group, check_hot=check_hot)
     bc = pairs.select(F.col("item1").alias("item2_a"), F.col("item2").alias("item2_b"))
-    tri = tri.join(broadcast_if_small(bc), ["item2_a", "item2_b"], "left_semi")
+    tri = join_listed(tri, bc, ["item2_a", "item2_b"])
     counts = tri.groupBy("item1", F.col("item2_a").alias("item2"), F.col("item2_b").alias("item3")) \
         .agg(F.count(F.lit(1)).alias("support"))
     return frequent(counts, threshold)

@@ -162,6 +162,17 @@ def basket_trim_q(spark, d):
     return trim_baskets(rows, items, 2, already_distinct=True)
 
 
+@register("basket_trim_listed", """
+WITH k AS (SELECT DISTINCT l_orderkey AS tid, l_partkey AS item FROM lineitem
+           WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size <= 10)),
+big AS (SELECT tid FROM k GROUP BY tid HAVING count(*) >= 2)
+SELECT tid, item FROM k SEMI JOIN big USING (tid)""")
+def basket_trim_listed_q(spark, d):
+    # a list that is taken as too long to broadcast, so its Bloom filter goes ahead
+    listed = C.table(spark, d, "part").where("p_size <= 10").select(F.col("p_partkey").alias("item"))
+    return trim_baskets(C.order_column_rows(spark, d, "l_partkey"), listed, 2, limit=0)
+
+
 @register("basket_contains", f"""
 WITH b AS ({TYPE})
 SELECT tid FROM b WHERE item IN ('PROMO', 'SMALL') GROUP BY tid HAVING count(*) = 2""")

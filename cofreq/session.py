@@ -146,17 +146,19 @@ class Store:
                 self._record(tag, said)
         return said["value"]
 
-    def write(self, df: DataFrame, tag: str, buckets: int | None = None,
+    def write(self, df, tag: str, buckets: int | None = None,
               by: str | None = None) -> tuple[DataFrame, int]:
         """The written table and its number of rows, counted by the job that
         writes it.  With ``buckets`` the rows lie in that many files by the hash
         of ``by``, sorted by it, and the table says so: a join or an aggregate
-        on ``by`` reads it without another shuffle."""
+        on ``by`` reads it without another shuffle.  ``df`` may be a function
+        that makes the DataFrame, called only if the table is to be written."""
         path = f"{self.path}/{tag}" if self.path else f"{run_folder(self.spark)}/{tag}-{uuid.uuid4().hex}"
         said = self._note(tag) if self.path else None
         name = None
         if said is None:
             seen = Observation()
+            df = df() if callable(df) else df
             if buckets:
                 df = df.repartition(buckets, by)
             out = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(
@@ -216,22 +218,31 @@ def _row_bytes(schema: StructType) -> tuple[int, list[Column]]:
     return fixed, variable
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_MAX_BYTES,
-                       bound: int | None = None) -> DataFrame:
-    """Broadcast-hint ``df`` only when its size is within ``limit`` bytes;
-    otherwise leave the join strategy to Spark (shuffle join, AQE may still
-    switch at run time).
+def measured(df: DataFrame, limit: int | None = None, bound: int | None = None) -> tuple[bool, int]:
+    """Whether ``df`` is within ``limit`` bytes, and its rows (at most).
 
     ``bound`` is a proven upper bound on the rows (e.g. a known count, or
     rows / min_support for frequent items); with columns of fixed width it
-    decides without a job.  Else the bytes are summed by a partial aggregate,
-    one row per task reaching the last one.
+    decides without a job where it suffices.  Else rows and bytes are summed by
+    a partial aggregate, one row per task reaching the last one.
     """
+    limit = BROADCAST_MAX_BYTES if limit is None else limit
     fixed, variable = _row_bytes(df.schema)
-    if bound is not None and not variable:
-        return F.broadcast(df) if bound * fixed <= limit else df
+    if bound is not None and not variable and bound * fixed <= limit:
+        return True, bound
     size = F.lit(fixed).cast("bigint")
     for v in variable:
         size = size + v
-    total = df.agg(F.sum(size)).first()[0] or 0
-    return F.broadcast(df) if total <= limit else df
+    total, n = df.agg(F.sum(size), F.count(F.lit(1))).first()
+    return (total or 0) <= limit, n
+
+
+def broadcast_if_small(df: DataFrame, limit: int | None = None, bound: int | None = None) -> DataFrame:
+    """Broadcast-hint ``df`` only when its size (see :func:`measured`) is within
+    ``limit`` bytes, by default ``BROADCAST_MAX_BYTES``; otherwise leave the
+    join strategy to Spark (shuffle join, AQE may still switch at run time)."""
+    limit = BROADCAST_MAX_BYTES if limit is None else limit
+    fixed, variable = _row_bytes(df.schema)
+    if bound is not None and not variable:
+        return F.broadcast(df) if bound * fixed <= limit else df
+    return F.broadcast(df) if measured(df, limit)[0] else df

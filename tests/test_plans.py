@@ -36,6 +36,13 @@ def captured(monkeypatch):
     import cofreq.plans.queries as Q
     for mod in (S, A, CA, EC, EN, FP, G, O, P, Q):
         monkeypatch.setattr(mod, "materialize", spy, raising=False)
+    write = S.Store.write
+
+    def spy_store(self, df, tag, *a):
+        df = df() if callable(df) else df
+        plans.append((tag, _plan(df)))
+        return write(self, df, tag, *a)
+    monkeypatch.setattr(S.Store, "write", spy_store)
     return plans
 
 

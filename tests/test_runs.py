@@ -7,7 +7,7 @@ import pytest
 from conftest import as_dict
 from pyspark.sql import functions as F
 
-from cofreq import apriori, session
+from cofreq import apriori, r_apriori, session
 from cofreq.operators.eclat import (bitmap_support, eclat, merge_bitmaps, tid_bitmaps)
 from cofreq.operators.encode import decode
 from cofreq.operators.groupjoin import pairs_within
@@ -57,6 +57,39 @@ def test_a_lost_driver_resumes(spark, rows, tmp_path, monkeypatch, strategy):
         apriori(rows, 21, strategy=strategy, resume=folder)
 
 
+def test_eclat_resumes(spark, rows, tmp_path, monkeypatch):
+    whole = as_dict(eclat(rows, 20))
+    write, done = session.Store.write, []
+
+    def until(last):
+        def run(self, df, tag, *a):
+            if tag == last:
+                raise Stopped
+            if not self._note(tag):
+                done.append(tag)
+            return write(self, df, tag, *a)
+        return run
+    folder = str(tmp_path / "run")
+    monkeypatch.setattr(session.Store, "write", until("candidates-4"))
+    with pytest.raises(Stopped):
+        eclat(rows, 20, resume=folder)
+    assert done == ["rows", "bitsets", "level-1", "tids-1", "level-2", "tids-2", "candidates-3", "level-3", "tids-3"]
+    done.clear()
+    monkeypatch.setattr(session.Store, "write", until(None))
+    assert as_dict(eclat(rows, 20, resume=folder)) == whole
+    assert done[:2] == ["candidates-4", "level-4"]
+    with pytest.raises(ValueError, match="other parameters"):
+        eclat(rows, 21, resume=folder)
+
+
+def test_miners_leave_nothing_on_executors(spark, rows):
+    held = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    r_apriori(rows, 20).count()
+    eclat(rows, 20).count()
+    apriori(rows, 20).count()
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == held
+
+
 def test_an_unfinished_table_is_written_again(spark, tmp_path):
     store = session.Store(spark, str(tmp_path / "s"))
     spark.range(3).write.parquet(str(tmp_path / "s" / "t"))
