@@ -67,6 +67,16 @@ def with_key(docs: DataFrame, *content: str) -> DataFrame:
             .withColumn(KEY[2], F.xxhash64(*content)))
 
 
+#: Column that holds a row's own columns, where no name can clash.
+ROW = "__row"
+
+
+def with_row(docs: DataFrame, *content: str) -> DataFrame:
+    """The columns of ``KEY``, and the rows' own columns in ``ROW``."""
+    return (with_key(docs.select("doc_id", *content, F.struct("*").alias(ROW)), *content)
+            .select(*KEY, ROW))
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """Components of an undirected graph as ``(node, component)`` rows, where
     ``component`` is the smallest node reachable.

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from cofreq.llm.common import small_batches
 from cofreq.llm.tokens import encoder, tokenizer_path
-from cofreq.session import checkpoint_root
+from cofreq.session import run_folder
 
 MAGIC = b"DAC1"
 TOKENIZER, END_ID = "word_bpe_49k.json", 2
@@ -232,11 +232,11 @@ def read_tokens(spark: SparkSession, path: str, positions: DataFrame) -> DataFra
 
 
 def encode_documents(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """Write the token files of ``docs`` to the checkpoint folder and return
+    """Write the token files of ``docs`` to the run folder and return
     :func:`read_documents` of them: a row per row of ``docs``, also for null or
     empty texts (the end id alone) and repeated rows; none for an empty table.
     """
     spark = docs.sparkSession
-    path = f"{checkpoint_root(spark).rstrip('/')}/cofreq/dac-{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/dac-{uuid.uuid4().hex}"
     write_tokens(docs, path, tokenizer)
     return read_documents(spark, path)

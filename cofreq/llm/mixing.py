@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cofreq.llm.common import KEY, n_words, with_key
+from cofreq.llm.common import KEY, ROW, n_words, with_key, with_row
 from cofreq.session import materialize
 
 #: A source is given at most this many times.
@@ -141,10 +141,9 @@ def mix_documents(docs: DataFrame) -> DataFrame:
 
 def mixed(docs: DataFrame) -> DataFrame:
     """The mix itself: rows of ``docs``, each as often as it is taken, with
-    their columns.  Rows equal in id, source and text share their copies
-    evenly."""
-    cols = docs.columns
-    sized = _sized(with_key(docs, "source", "text"), *map(F.col, KEY))
+    their columns, whatever their names.  Rows equal in id, source and text
+    share their copies evenly."""
+    sized = _sized(with_key(docs.select("doc_id", "source", "text"), "source", "text"), *map(F.col, KEY))
     plan = mix(sized.drop(*KEY)).select("rid", "copies")
     per_key = (sized.select("rid", *KEY).join(plan, "rid").groupBy(*KEY)
                .agg(F.sum("copies").alias("__copies"), F.count("*").alias("__rows"))
@@ -152,10 +151,10 @@ def mixed(docs: DataFrame) -> DataFrame:
     nth = F.row_number().over(Window.partitionBy(*KEY).orderBy(F.lit(0)))
     share = (F.floor(F.col("__copies") / F.col("__rows"))
              + (nth <= F.col("__copies") % F.col("__rows")).cast("int")).cast("int")
-    return (with_key(docs, "source", "text").join(per_key, list(KEY))
+    return (with_row(docs, "source", "text").join(per_key, list(KEY))
             .withColumn("__times", share).where("__times > 0")
             .withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__times"))))
-            .select(*cols))
+            .select(f"{ROW}.*"))
 
 
 #: Rows of :func:`mix_documents` in DuckDB.

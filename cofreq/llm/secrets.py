@@ -19,8 +19,6 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cofreq.session import materialize
-
 #: Base kinds in listed order: pattern, group that holds the value.
 #: A run of 24+ hex digits, or of 20+ characters from AKIA on, is matched in
 #: full or not at all, so the minimum can stand in the pattern; the minimum of
@@ -39,8 +37,6 @@ PART = r"[A-Za-z0-9]+[+/_=-]*|[+/_=-]+"
 PIECE = r"^[A-Za-z0-9]*"
 #: Characters that the models tell apart; all others are one more.
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
-#: Bounds of the samples that the models are trained on.
-SAMPLE_VALUES, SAMPLE_DOCS = 50_000, 500
 #: Least total log-likelihood ratio (nats): odds that outweigh a prior of one
 #: random string in about three thousand tokens.
 THRESHOLD = 8.0
@@ -126,22 +122,24 @@ def _by_place(spans: Column) -> Column:
 
 def train(samples: DataFrame) -> list[float]:
     """Log-likelihood ratio of each transition, from labelled ``(value, label)``
-    rows: label 1 random, 0 ordinary.  Transitions are counted with Spark; only
-    the counts, at most twice the squared alphabet, reach the driver.
+    rows, or ``(value, label, n)`` with the weight of each: label 1 random, 0
+    ordinary.  Transitions are counted with Spark; only the counts, at most
+    twice the squared alphabet, reach the driver.
 
     ``P(b|a) = (n(ab) + BACKOFF * P(b)) / (n(a) + BACKOFF)`` and ``P(b) =
     (n(b) + 1) / (N + size of the alphabet)``: after a character that a class
     never showed, the class still knows which characters are rare.  An empty
     class is a uniform model.  Null values or labels are ignored."""
+    weight = F.col("n") if "n" in samples.columns else F.lit(1)
     pairs = samples.where("value is not null and label is not null and char_length(value) >= 2").select(
-        "label", F.explode(F.transform(
+        "label", weight.alias("n"), F.explode(F.transform(
             F.sequence(F.lit(1), F.char_length("value") - 1),
             lambda i: _code(F.substring("value", i, F.lit(1))) * _SIDE
             + _code(F.substring("value", i + 1, F.lit(1))))).alias("pair"))
     counts = {0: [0] * _SIDE ** 2, 1: [0] * _SIDE ** 2}
-    for r in pairs.groupBy("label", "pair").count().collect():
+    for r in pairs.groupBy("label", "pair").agg(F.sum("n").alias("n")).collect():
         if r["label"] in counts:
-            counts[r["label"]][r["pair"]] = r["count"]
+            counts[r["label"]][r["pair"]] = r["n"]
     logs = {}
     for label, n in counts.items():
         after = [sum(n[b::_SIDE]) for b in range(_SIDE)]
@@ -190,22 +188,25 @@ def _best_stretch(value: Column, ratio: list[float]) -> Column:
     return _summed(value, ratio, open=upto, best=lambda acc, x: F.greatest(acc["best"], upto(acc, x)))["best"]
 
 
-def own_samples(matches: DataFrame, docs: DataFrame) -> DataFrame:
-    """Labelled samples from a corpus itself: values of base spans are random
-    strings (at most ``SAMPLE_VALUES``), the other tokens of at most
-    ``SAMPLE_DOCS`` texts are ordinary; both are those of the smallest hashes,
-    so reruns agree."""
-    value = (matches.select(F.explode("__base").alias("s")).select("s.value").distinct()
-             .orderBy(F.xxhash64("value"), "value").limit(SAMPLE_VALUES).withColumn("label", F.lit(1)))
-    some = docs.select("text").where("text is not null").orderBy(F.xxhash64("text")).limit(SAMPLE_DOCS)
-    return value.unionAll(_plain(some).withColumn("label", F.lit(0)))
+def own_samples(docs: DataFrame) -> DataFrame:
+    """Labelled samples ``(value, label, n)`` from a corpus itself, all of it:
+    the distinct values of base spans are random strings, once each; the
+    distinct other tokens are ordinary, with the number of texts that hold
+    them.  One pass over the texts; tokens are counted where they are read,
+    before they are shuffled."""
+    # only a text with a base span has anything to take out
+    rest = F.when(F.size("__base") > 0, F.regexp_replace("text", ASSIGN, " ")).otherwise(F.col("text"))
+    tokens = F.array_distinct(F.regexp_extract_all(F.coalesce(rest, F.lit("")), F.lit(TOKEN), F.lit(0)))
 
+    def labelled(values: Column, label: int) -> Column:
+        return F.transform(values, lambda v: F.struct(v.alias("value"), F.lit(label).alias("label")))
 
-def _plain(texts: DataFrame) -> DataFrame:
-    """Tokens of texts, ``(value)``, without those that a base kind takes."""
-    rest = F.regexp_replace("text", ASSIGN, " ")
-    return (texts.select(F.explode(F.regexp_extract_all(rest, F.lit(TOKEN), F.lit(0))).alias("value"))
-            .where(~F.col("value").rlike(f"{HEX}|{ACCESS}")))
+    values = F.transform("__base", lambda b: b["value"])
+    found = (with_matches(docs.select("text"))
+             .select(F.explode(F.concat(labelled(values, 1), labelled(tokens, 0))).alias("s"))
+             .groupBy("s.value", "s.label").agg(F.count(F.lit(1)).alias("n")))
+    return (found.where((F.col("label") == 1) | ~F.col("value").rlike(f"{HEX}|{ACCESS}"))
+            .withColumn("n", F.when(F.col("label") == 1, F.lit(1).cast("long")).otherwise(F.col("n"))))
 
 
 def _random_spans(run: Column, ratio: list[float], threshold: float) -> Column:
@@ -285,12 +286,6 @@ def _text_of(spans: Column) -> Column:
         ":", F.get(name, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def _learnt(docs: DataFrame) -> DataFrame:
-    """:func:`own_samples` of documents whose base spans are yet to be found."""
-    return own_samples(materialize(
-        with_matches(docs).select("__base").where(F.size("__base") > 0), "secrets"), docs)
-
-
 def find_secrets(docs: DataFrame, samples: DataFrame | None = None,
                  threshold: float = THRESHOLD) -> DataFrame:
     """``(doc_id, n_assign, n_access, n_hex, n_markov, base_sha256, spans)``, a
@@ -303,7 +298,7 @@ def find_secrets(docs: DataFrame, samples: DataFrame | None = None,
     """
     own = docs.select("doc_id", "text")
     matches = with_matches(own)
-    ratio = train(_learnt(own) if samples is None else samples)
+    ratio = train(own_samples(own) if samples is None else samples)
 
     def count(kind: int) -> Column:
         return F.size(F.filter("__spans", lambda s: s["kind"] == kind)).cast("long")
@@ -318,13 +313,15 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", samples: DataFrame | None =
            threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with every span replaced by ``mark``; spans that overlap become
     one mark.  ``n_chars``, where there is one, follows the new text.  Texts
-    without a span, null ones included, and all other columns stay as they
-    are."""
+    without a span, null ones included, and all other columns, whatever their
+    names, stay as they are; repeated rows stay repeated, an empty table stays
+    empty."""
     cols = docs.columns
-    own = docs.select("doc_id", "text")
     if samples is None:
-        samples = _learnt(own)
-    found = with_spans(with_matches(docs), train(samples), threshold)
+        samples = own_samples(docs)
+    # the rows' own columns travel in one, where no name can clash
+    found = with_spans(with_matches(docs.select("text", F.struct("*").alias("__row"))),
+                       train(samples), threshold)
     first = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def step(acc: Column, s: Column) -> Column:
@@ -338,9 +335,10 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", samples: DataFrame | None =
         F.array_join(acc["parts"], ""),
         F.substring(F.col("text"), acc["at"] + 1, F.char_length("text"))))
     hit = F.size("__spans") > 0
-    out = found.withColumn("text", F.when(hit, whole).otherwise(F.col("text")))
+    out = found.select("__row", hit.alias("__hit"), F.when(hit, whole).otherwise(F.col("text")).alias("__new"))
+    row = F.col("__row")
+    said = {"text": F.col("__new")}
     if "n_chars" in cols:
         kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(hit, F.char_length("text")).otherwise(
-            F.col("n_chars")).cast(kind))
-    return out.select(*cols)
+        said["n_chars"] = F.when(F.col("__hit"), F.char_length("__new")).otherwise(row["n_chars"]).cast(kind)
+    return out.select(*[said.get(c, row.getField(c)).alias(c) for c in cols])

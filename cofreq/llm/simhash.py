@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from cofreq.llm.common import KEY, connected_components, small_batches, with_key
+from cofreq.llm.common import KEY, ROW, connected_components, small_batches, with_key, with_row
 from cofreq.session import materialize
 
 #: Fingerprints of one task's batch, and variants that a shuffle part aims at.
@@ -255,8 +255,8 @@ def simhash_components(docs: DataFrame, ngram: int = 3) -> DataFrame:
 def keep_one(docs: DataFrame, ngram: int = 3) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: that of the smallest
     doc_id (nulls last), then of the smallest hash of its text; of rows equal
-    in both any one.  Columns stay as they are."""
-    cols = docs.columns
+    in both any one.  Columns, whatever their names, stay as they are; null
+    and empty texts are one group; an empty table stays empty."""
     hashed = with_key(with_fingerprint(docs.select("doc_id", "text"), ngram, name="__fp"), "text")
     narrow = materialize(hashed.select(F.col("__fp").alias("fingerprint"),
                                        F.struct(*KEY).alias("__row")), "simhash")
@@ -265,5 +265,5 @@ def keep_one(docs: DataFrame, ngram: int = 3) -> DataFrame:
             .join(groups, "fingerprint").groupBy("root").agg(F.min("__row").alias("__row"))
             .select("__row.*").distinct())
     nth = F.row_number().over(Window.partitionBy(*KEY).orderBy(F.lit(0)))
-    return (with_key(docs, "text").join(best, list(KEY), "left_semi")
-            .withColumn("__n", nth).where("__n = 1").select(*cols))
+    return (with_row(docs, "text").join(best, list(KEY), "left_semi")
+            .withColumn("__n", nth).where("__n = 1").select(f"{ROW}.*"))

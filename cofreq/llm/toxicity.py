@@ -170,6 +170,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Rows of ``docs`` whose score is below ``threshold``, unchanged."""
-    return (with_score(docs, train(docs, labels), "__toxicity")
-            .where(F.col("__toxicity") < threshold).drop("__toxicity"))
+    """Rows of ``docs`` whose score is below ``threshold``, unchanged: columns of
+    any name, null texts (as empty ones) and repeated rows included.  Without
+    toxic labels every row stays; an empty table stays empty."""
+    name = "toxicity"
+    while name in map(str.lower, docs.columns):
+        name += "_"
+    return with_score(docs, train(docs, labels), name).where(F.col(name) < threshold).drop(name)

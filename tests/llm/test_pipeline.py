@@ -118,12 +118,16 @@ def test_stages_on_awkward_rows(spark):
             (5, "token = \"0123456789abcdef0123456789abcdef\" é", "fr", "c", 45, 2.0)]
     names = "doc_id bigint, text string, lang string, source string, n_chars bigint, score double"
     docs = spark.createDataFrame(rows, names)
-    for extra in ("fingerprint", "rid", "size", "copies", "spans", "range", "rank", "group", "place", "h", "bucket", "root"):
+    for extra in ("fingerprint", "rid", "size", "copies", "spans", "range", "rank", "group", "place", "h", "bucket", "root",
+                  "toxicity", "__toxicity", "__hot", "__runs", "__spans", "__base", "__assign", "__row", "__hit", "__new",
+                  "__k0", "__k1", "__k2", "__copies", "__rows", "__copy", "__times", "__n", "__fp", "n", "value", "label"):
         docs = docs.withColumn(extra, docs.score)
     columns, n = docs.columns, {}
     for name, stage in P.STAGES[:-1]:
         out = stage(spark, docs, SF)
         assert out.columns == columns and out.dtypes == docs.dtypes, name
+        # every column still holds its own row's values
+        assert out.where(" or ".join(f"not (`{c}` <=> score)" for c in columns[6:])).count() == 0, name
         n[name] = out.count()
         assert stage(spark, docs.where("false"), SF).count() == 0, name
     # all share a score column of their own, but no text is toxic

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 from cofreq.llm import secrets
 
@@ -142,3 +143,87 @@ def test_pieces_and_short_tokens(spark):
         missed += sum(not any(w in g for g in got) for w in want[r.doc_id])
         assert len(got) <= 5 and not any(path in g for g in got)
     assert missed == 0
+
+
+def plain_samples(texts):
+    """Distinct base values, and the other tokens with the number of texts that hold them."""
+    values, plain = set(), Counter()
+    for t in texts:
+        t = t or ""
+        values |= {m[2] for m in ASSIGN.finditer(t) if len(m[2]) >= 6}
+        values |= {m[0] for m in re.finditer(secrets.ACCESS, t)} | {m[0] for m in re.finditer(secrets.HEX, t)}
+        rest = ASSIGN.sub(" ", t) if base_spans(t) else t
+        plain.update({v for v in re.findall(secrets.TOKEN, rest) if not re.search(f"{secrets.HEX}|{secrets.ACCESS}", v)})
+    return Counter({**{(v, 1): 1 for v in values}, **{(v, 0): n for v, n in plain.items()}})
+
+
+def test_models_learn_from_all_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = Counter({(r.value, r.label): r.n for r in secrets.own_samples(docs).collect()})
+    assert got == plain_samples(r.text for r in docs.select("text").collect())
+    # however many copies one text has, the tokens of the others count
+    rows = [(i, "only one text again and again") for i in range(600)] + [(1000, "other_word token=abcdef12"), (1001, None)]
+    got = {(r.value, r.label): r.n for r in secrets.own_samples(_docs(spark, rows)).collect()}
+    assert got["again", 0] == 600 and got["other_word", 0] == 1 and got["abcdef12", 1] == 1
+    # a weight counts as so many rows
+    samples = [("abc", 0), ("abc", 0), ("xyz", 1)]
+    assert secrets.train(spark.createDataFrame(samples, "value string, label int")) == secrets.train(
+        spark.createDataFrame([("abc", 0, 2), ("xyz", 1, 1)], "value string, label int, n long"))
+
+
+def plain_markov(text, ratio, threshold=secrets.THRESHOLD):
+    side = len(secrets.ALPHABET) + 1
+    base = [(s, e) for s, _, e in base_spans(text)]
+
+    def steps(v):
+        codes = [secrets.ALPHABET.find(c) + 1 for c in v]
+        return [ratio[a * side + b] for a, b in zip(codes, codes[1:])]
+
+    def free(s, e):
+        return not any(b < e and s < f for b, f in base)
+    out = []
+    for m in re.finditer(secrets.TOKEN, text or ""):
+        v, at = m[0], m.start()
+        if not re.search("[A-Za-z]", v):
+            continue
+        if sum(steps(v)) >= threshold and free(at, m.end()):
+            out.append((at, m.end()))
+            continue
+        # groups of neighbouring pieces that no base span touches
+        open_, start, end, total, high = False, 0, 0, 0.0, 0.0
+        found = []
+        for p in re.finditer(secrets.PART, v):
+            n = len(re.match(secrets.PIECE, p[0])[0])
+            s, e = at + p.start(), at + p.start() + n
+            inner = sum(steps(v[p.start():p.start() + n]))
+            if n and free(s, e) and open_ and total >= 0 and not (high >= threshold and high - total - inner >= threshold):
+                total += inner
+                if total > high:
+                    high, end = total, e
+            else:
+                if open_ and high >= threshold:
+                    found.append((start, end))
+                open_, start, end, total, high = bool(n) and free(s, e), s, e, inner, inner
+            total += sum(steps(v[p.start():p.end() + 1])) - inner
+        if open_ and high >= threshold:
+            found.append((start, end))
+        out += [(s, e) for s, e in found if re.search("[A-Za-z]", text[s:e])]
+    return out
+
+
+def test_markov_spans_of_a_whole_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rng = random.Random(8)
+    alnum = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    key = lambda n: "".join(rng.choice(alnum) for _ in range(n))
+    more = [(10 ** 6 + i, f"see /some/path/{key(24)}/of/{key(9)}-{key(16)} and {key(rng.randint(4, 30))} {key(20)}=token: {key(12)}")
+            for i in range(60)]
+    docs = docs.unionAll(spark.createDataFrame(more, "doc_id bigint, text string"))
+    ratio = secrets.train(secrets.own_samples(docs))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    n = 0
+    for r in secrets.find_secrets(docs).collect():
+        got = [tuple(map(int, p.split(":")[1:])) for p in r.spans.split(",") if p.startswith("markov")]
+        assert got == plain_markov(texts[r.doc_id], ratio), r.doc_id
+        n += len(got)
+    assert n > 100
