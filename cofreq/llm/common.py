@@ -7,7 +7,7 @@ from pathlib import Path
 
 import numpy as np
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cofreq.session import materialize, release
@@ -77,6 +77,28 @@ def with_row(docs: DataFrame, *content: str) -> DataFrame:
             .select(*KEY, ROW))
 
 
+def running(rows: DataFrame, order: list, **sums: Column) -> DataFrame:
+    """Adds, for each of ``sums``, its sum over all rows that come earlier in
+    ``order``, which must be total.
+
+    The rows are range-sorted and written; sums inside a range start from
+    those of the ranges before it, so only one row a range meets in one task.
+    ``order`` may hold column names or sort expressions."""
+    sorted_ = materialize(
+        rows.select("*", *[c.alias(f"__{name}") for name, c in sums.items()]).orderBy(*order)
+        .withColumn("__at", F.monotonically_increasing_id()), "running")
+    # the upper bits of the id are the number of the range
+    sorted_ = sorted_.withColumn("__part", F.shiftright("__at", 33))
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (sorted_.groupBy("__part").agg(*[F.sum(f"__{name}").alias(f"__{name}") for name in sums])
+              .select(F.col("__part").alias("__of"),
+                      *[F.coalesce(F.sum(f"__{name}").over(earlier), F.lit(0)).alias(f"__{name}_start") for name in sums]))
+    inside = Window.partitionBy("__part").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    return (sorted_.join(F.broadcast(starts), F.col("__part") == F.col("__of"))
+            .select(*rows.columns, *[(F.col(f"__{name}_start") + F.coalesce(F.sum(f"__{name}").over(inside), F.lit(0)))
+                                     .alias(name) for name in sums]))
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """Components of an undirected graph as ``(node, component)`` rows, where
     ``component`` is the smallest node reachable.

@@ -6,10 +6,12 @@ order of finish time get their shares at every point of the mix, and all reach
 their targets at time 1.  The mix is the order of finish times, cut where the
 total budget is reached.
 
-Running sums never gather a source or the corpus in one task: sums of hash
-buckets (within a source) and of time ranges (within the mix) are added up
-first, and a window only runs inside one bucket or range.  Finish times are
-spread evenly by construction, so equal ranges of time hold equal shares.
+Running sums never gather a source, the corpus or the list of sources in one
+task: sums of hash buckets (within a source) and of time ranges (within the
+mix) are added up first, along a range sort, and a window only runs inside one
+bucket or range.  A bucket that an id on many rows makes large is cut further,
+by size and by a hash of the row.  Finish times are spread evenly by
+construction, so equal ranges of time hold equal shares.
 """
 
 from __future__ import annotations
@@ -19,13 +21,15 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cofreq.llm.common import KEY, ROW, n_words, with_key, with_row
+from cofreq.llm.common import KEY, ROW, n_words, running, with_key, with_row
 from cofreq.session import materialize
 
 #: A source is given at most this many times.
 MAX_REPEAT = 3
 #: Rows that a bucket or a time range aims at.
 RANGE_ROWS = 10_000
+#: A bucket of more rows than this is cut.
+HOT_ROWS = 50_000
 #: Time ranges at least, so that a small mix also spreads over many tasks.
 MIN_RANGES = 256
 
@@ -39,32 +43,29 @@ def source_targets(sizes: DataFrame, max_repeat: int = MAX_REPEAT) -> DataFrame:
     among the others until none is above.  In closed form: with sources by
     ascending cap over weight, the level at which the rest are served is the
     first ``(total - caps before) / weights from here`` that its own cap
-    reaches.  One row per source; the windows run over sources only.
+    reaches.
     """
-    everything = Window.partitionBy(F.lit(0))
-    by_cap = everything.orderBy(F.col("cap") / F.col("weight"), "rank")
-    before = by_cap.rowsBetween(Window.unboundedPreceding, -1)
-    onward = by_cap.rowsBetween(0, Window.unboundedFollowing)
-    leveled = (sizes.withColumn("cap", F.col("source_size") * max_repeat)
-               .withColumn("total", F.sum("source_size").over(everything))
-               .withColumn("level", (F.col("total") - F.coalesce(F.sum("cap").over(before), F.lit(0)))
-                           / F.sum("weight").over(onward))
-               .withColumn("place", F.row_number().over(by_cap))
-               .withColumn("served", F.when(F.col("level") <= F.col("cap") / F.col("weight"), F.col("level"))))
-    level = F.min_by("served", F.when(F.col("served").isNotNull(), F.col("place"))).over(everything)
-    return leveled.select(
-        "source", "rank", "source_size",
-        F.coalesce(F.least(F.col("cap").cast("double"), level * F.col("weight")),
-                   F.col("cap").cast("double")).alias("target"))
+    capped = materialize(sizes.withColumn("cap", F.col("source_size") * max_repeat), "caps")
+    total, weights = capped.agg(F.sum("source_size"), F.sum("weight")).first()
+    total, weights = F.lit(total or 0).cast("long"), F.lit(weights or 0).cast("long")
+    by_cap = F.col("cap") / F.col("weight")
+    leveled = running(capped.withColumn("ratio", by_cap), ["ratio", "rank"],
+                      caps_before=F.col("cap"), weight_before=F.col("weight"))
+    leveled = leveled.withColumn("level", (total - F.col("caps_before")) / (weights - F.col("weight_before")))
+    level = leveled.where(F.col("level") <= F.col("ratio")).agg(
+        F.min_by("level", F.struct("ratio", "rank"))).first()[0]
+    cap = F.col("cap").cast("double")
+    target = cap if level is None else F.least(cap, F.lit(level) * F.col("weight"))
+    return capped.select("source", "rank", "source_size", target.alias("target"))
 
 
 def cyclic_weights(sizes: DataFrame, cycle: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
     """Adds ``rank`` (from 1, by code point, null last) and ``weight``, the
     cycle repeated along it.  One row per source."""
-    order = Window.partitionBy(F.lit(0)).orderBy(F.col("source").asc_nulls_last())
     weights = F.array(*map(F.lit, cycle))
-    return sizes.withColumn("rank", F.row_number().over(order)).withColumn(
-        "weight", F.get(weights, (F.col("rank") - 1) % len(cycle)))
+    return (running(sizes, [F.col("source").asc_nulls_last()], before=F.lit(1))
+            .withColumn("rank", (F.col("before") + 1).cast("int")).drop("before")
+            .withColumn("weight", F.get(weights, (F.col("rank") - 1) % len(cycle))))
 
 
 def mix(rows: DataFrame, max_repeat: int = MAX_REPEAT) -> DataFrame:
@@ -73,7 +74,8 @@ def mix(rows: DataFrame, max_repeat: int = MAX_REPEAT) -> DataFrame:
     ``size``; ``copies`` says how often the mix takes the row.
 
     Documents of a source are shuffled by the MD5 of their id, which makes
-    reruns agree; ties go to the smaller id, size, then rid.  A source whose
+    reruns agree; ties go to the smaller id and size, rows equal in both to the
+    smaller hash of rid.  A source whose
     target is above its size goes through its documents again, up to
     ``max_repeat`` times.  Documents of size 0 are never taken.
     """
@@ -82,20 +84,37 @@ def mix(rows: DataFrame, max_repeat: int = MAX_REPEAT) -> DataFrame:
     ranges = max(MIN_RANGES, n // RANGE_ROWS)
     rows = rows.withColumn("h", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     rows = rows.withColumn("bucket", F.substring("h", 1, digits))
-    buckets = rows.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
+    # rows of one id share a bucket: a large one is cut along the same order
+    turn = F.pmod(F.xxhash64("rid"), F.lit(1 << 20))
+    rows = rows.withColumn("turn", turn)
+    place = ["bucket", "cut_h", "cut_size", "cut_turn"]
+    hot = materialize(rows.groupBy("source", "bucket").agg(F.count(F.lit(1)).alias("rows"))
+                      .where(F.col("rows") > HOT_ROWS)
+                      .select(F.col("source").alias("hot_source"), F.col("bucket").alias("hot_bucket"),
+                              F.ceil(F.col("rows") / RANGE_ROWS).alias("cuts")), "hot")
+    cuts = F.lit(None).cast("long")
+    if not hot.isEmpty():
+        rows = rows.join(hot, F.col("source").eqNullSafe(F.col("hot_source"))
+                         & (F.col("bucket") == F.col("hot_bucket")), "left").drop("hot_source", "hot_bucket")
+        cuts = F.col("cuts")
+    rows = (rows.withColumn("cut_h", F.when(cuts.isNotNull(), F.col("h")).otherwise(F.lit("")))
+            .withColumn("cut_size", F.when(cuts.isNotNull(), F.col("size")).otherwise(F.lit(0)).cast("long"))
+            .withColumn("cut_turn", F.coalesce(F.floor(F.col("turn") * cuts / (1 << 20)), F.lit(0)).cast("long"))
+            .drop("cuts"))
+    buckets = materialize(rows.groupBy("source", *place).agg(F.sum("size").alias("bucket_size")), "buckets")
     sizes = cyclic_weights(buckets.groupBy("source").agg(F.sum("bucket_size").alias("source_size")))
     targets = materialize(source_targets(sizes, max_repeat), "targets")
-    before = (Window.partitionBy("source").orderBy("bucket")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    starts = buckets.select(F.col("source").alias("b_source"), F.col("bucket").alias("b_bucket"),
-                            F.coalesce(F.sum("bucket_size").over(before), F.lit(0)).alias("before"))
-    shares = targets.withColumnRenamed("source", "t_source")
-    placed = (rows.join(starts, F.col("source").eqNullSafe(F.col("b_source"))
-                        & (F.col("bucket") == F.col("b_bucket")))
-              .join(shares, F.col("source").eqNullSafe(F.col("t_source"))))
-    inside = (Window.partitionBy("rank", "bucket").orderBy("h", "doc_id", "size", "rid")
+    shares = running(targets, ["rank"], source_start=F.col("source_size")).withColumnRenamed("source", "t_source")
+    starts = (running(buckets, [F.col("source").asc_nulls_last(), *place], start=F.col("bucket_size"))
+              .join(shares, F.col("source").eqNullSafe(F.col("t_source")))
+              .select(F.col("source").alias("b_source"), *[F.col(c).alias(f"b_{c}") for c in place],
+                      "rank", "source_size", "target", (F.col("start") - F.col("source_start")).alias("before")))
+    same = F.col("source").eqNullSafe(F.col("b_source"))
+    for c in place:
+        same = same & (F.col(c) == F.col(f"b_{c}"))
+    inside = (Window.partitionBy("rank", *place).orderBy("h", "doc_id", "size", "turn", "rid")
               .rowsBetween(Window.unboundedPreceding, 0))
-    placed = materialize(placed.withColumn("upto", F.col("before") + F.sum("size").over(inside))
+    placed = materialize(rows.join(starts, same).withColumn("upto", F.col("before") + F.sum("size").over(inside))
                          .select("rid", "doc_id", "source", "size", "rank", "source_size", "target", "upto"),
                          "queue")
     # one entry per pass through the source, with its finish time
@@ -105,9 +124,8 @@ def mix(rows: DataFrame, max_repeat: int = MAX_REPEAT) -> DataFrame:
              .withColumn("range", F.floor(F.col("finish") * ranges))
              .select("rid", "doc_id", "size", "rank", "pass", "finish", "range"))
     budget = targets.agg(F.sum("target")).first()[0] or 0.0
-    until = Window.partitionBy(F.lit(0)).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    totals = (queue.groupBy("range").agg(F.sum("size").alias("range_size"))
-              .withColumn("start", F.coalesce(F.sum("range_size").over(until), F.lit(0))))
+    totals = running(queue.groupBy("range").agg(F.sum("size").alias("range_size")), ["range"],
+                     start=F.col("range_size"))
     # ranges that begin beyond the budget hold nothing that is taken
     totals = totals.where(F.col("start") <= F.lit(budget)).select("range", "start")
     order = (Window.partitionBy("range").orderBy("finish", "rank", "pass", "rid")

@@ -9,13 +9,16 @@ cover all tokens of its queue up to its end:
     window = ceil(tokens up to and with the document / quantum)
 
 which needs running sums only, so deficits carry across windows and Spark
-partitions without a serial loop.  Targets are the sources' shares of all
-tokens, so all queues end together and every window holds the same mixture.
-The windows, one after the other, are one stream that is cut into sequences:
-nothing is padded but the last one.
-
-Running sums come from totals of hash buckets (in a queue) and of groups of
-windows (in the stream); a window function only runs inside one of them.
+partitions without a serial loop.  Targets may be given.  By default they are
+the sources' shares of all tokens, so all queues end together and every window
+holds the same mixture.  A queue that ends leaves later windows to the others,
+in their targets' proportions to each other; these windows are shorter, and no
+document is dropped or repeated.  The windows, one after the other, are one
+stream that is cut into sequences: nothing is padded but the last one.
+
+Running sums come from totals of hash buckets (in a queue) and of windows (in
+the stream), themselves added up along a range sort; a window function only
+runs inside a bucket, a window of the mixture or a range.
 """
 
 from __future__ import annotations
@@ -30,15 +33,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (BinaryType, IntegerType, LongType, StringType, StructField,
                                StructType)
 
-from cofreq.llm.common import small_batches
+from cofreq.llm.common import running, small_batches
 from cofreq.llm.tokens import encoder, tokenizer_path
 from cofreq.session import materialize
 
 SEQUENCE = 1024
 #: Tokens that a window of the mixture aims at.
 WINDOW = 1 << 16
-#: Buckets of a queue, and windows whose totals are added up first.
-BUCKETS, GROUP = 1024, 1024
+#: Buckets of a queue: at least, and rows that one of all queues aims at.
+MIN_BUCKETS, BUCKET_ROWS = 64, 10_000
 TOKENIZER, END_ID = "byte_bpe_50k.json", 0
 
 
@@ -66,38 +69,57 @@ def tokenized(docs: DataFrame, path: str | None = None, end_id: int = END_ID) ->
     return docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), "text").mapInArrow(run, schema)
 
 
-def layout(rows: DataFrame, window: int = WINDOW) -> DataFrame:
+def shares(sizes: DataFrame, targets: DataFrame | None = None) -> DataFrame:
+    """``(source, source_n, share)`` from ``(source, source_n)``: each source's
+    part of a window.
+
+    ``targets``: ``(source, weight)``, weights above 0, one row a source.  The
+    sources named there divide by weight what they hold together of all
+    tokens; a source that is not named keeps its own share, as all do without
+    ``targets``.  Names of no source are ignored.
+    """
+    total = sizes.agg(F.sum("source_n")).first()[0] or 0
+    own = F.col("source_n") / F.lit(float(max(total, 1)))
+    if targets is None:
+        return sizes.select("source", "source_n", own.alias("share"))
+    wanted = targets.select(F.col("source").cast("string").alias("t_source"), F.col("weight").cast("double"))
+    if wanted.where("weight is null or isnan(weight) or weight <= 0").limit(1).count():
+        raise ValueError("target weights must be above 0")
+    if wanted.groupBy("t_source").count().where("count > 1").limit(1).count():
+        raise ValueError("a source has more than one target")
+    both = materialize(sizes.join(wanted, F.col("source").eqNullSafe(F.col("t_source")), "left"), "shares")
+    named, weights = both.where("weight is not null").agg(F.sum("source_n"), F.sum("weight")).first()
+    part = F.col("weight") * F.lit(float(named or 0) / max(total, 1) / (weights or 1.0))
+    return both.select("source", "source_n", F.coalesce(part, own).alias("share"))
+
+
+def layout(rows: DataFrame, window: int = WINDOW, targets: DataFrame | None = None) -> DataFrame:
     """Place of each row of ``rows`` (a unique ``rid``, ``source``, ``n``) in
     the stream: ``(rid, place)``.
 
     A queue is shuffled by the hash of rid.  The quantum of a source is its
-    share of all tokens times ``window``, at least one token.
+    share (see :func:`shares`) times ``window``.
     """
-    total = rows.agg(F.sum("n")).first()[0] or 0
-    rows = rows.withColumn("h", F.xxhash64("rid")).withColumn("bucket", F.pmod("h", F.lit(BUCKETS)))
-    buckets = rows.groupBy("source", "bucket").agg(F.sum("n").alias("bucket_n"))
-    order = Window.partitionBy("source").orderBy("bucket")
-    starts = buckets.select(
-        F.col("source").alias("s_source"), F.col("bucket").alias("s_bucket"),
-        (F.sum("bucket_n").over(order) - F.col("bucket_n")).alias("before"),
-        F.sum("bucket_n").over(Window.partitionBy("source")).alias("source_n"))
+    n_buckets = max(MIN_BUCKETS, rows.count() // BUCKET_ROWS)
+    rows = rows.withColumn("h", F.xxhash64("rid")).withColumn("bucket", F.pmod("h", F.lit(n_buckets)))
+    buckets = materialize(rows.groupBy("source", "bucket").agg(F.sum("n").alias("bucket_n")), "buckets")
+    order = F.col("source").asc_nulls_last()
+    sources = shares(buckets.groupBy("source").agg(F.sum("bucket_n").alias("source_n")), targets)
+    sources = running(sources, [order], source_start=F.col("source_n")).select(
+        F.col("source").alias("q_source"), "source_start", "share")
+    starts = (running(buckets, [order, "bucket"], start=F.col("bucket_n"))
+              .join(sources, F.col("source").eqNullSafe(F.col("q_source")))
+              .select(F.col("source").alias("s_source"), F.col("bucket").alias("s_bucket"),
+                      (F.col("start") - F.col("source_start")).alias("before"), "share"))
     inside = (Window.partitionBy("source", "bucket").orderBy("h", "rid")
               .rowsBetween(Window.unboundedPreceding, 0))
     upto = F.col("before") + F.sum("n").over(inside)
-    # quantum = window * source_n / total, so upto / quantum is the time
-    time = F.col("upto") * (float(total) / window) / F.col("source_n")
     sent = materialize(
         rows.join(starts, F.col("source").eqNullSafe(F.col("s_source")) & (F.col("bucket") == F.col("s_bucket")))
-        .withColumn("upto", upto).withColumn("window", F.ceil(time))
+        .withColumn("upto", upto).withColumn("window", F.ceil(F.col("upto") / (F.col("share") * window)))
         .select("rid", "source", "n", "upto", "window"), "queue")
-    windows = (sent.groupBy("window").agg(F.sum("n").alias("window_n"))
-               .withColumn("group", F.floor(F.col("window") / GROUP)))
-    groups = windows.groupBy("group").agg(F.sum("window_n").alias("group_n"))
-    everything = Window.partitionBy(F.lit(0)).orderBy("group")
-    groups = groups.select("group", (F.sum("group_n").over(everything) - F.col("group_n")).alias("group_start"))
-    in_group = Window.partitionBy("group").orderBy("window")
-    windows = windows.join(groups, "group").select(
-        "window", (F.col("group_start") + F.sum("window_n").over(in_group) - F.col("window_n")).alias("start"))
+    windows = running(sent.groupBy("window").agg(F.sum("n").alias("window_n")), ["window"],
+                      start=F.col("window_n")).select("window", "start")
     in_window = (Window.partitionBy("window").orderBy(F.col("source").asc_nulls_last(), "upto", "rid")
                  .rowsBetween(Window.unboundedPreceding, 0))
     return sent.join(windows, "window").select(
@@ -105,7 +127,7 @@ def layout(rows: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def pack(docs: DataFrame, path: str | None = None, end_id: int = END_ID, sequence: int = SEQUENCE,
-         window: int = WINDOW, with_ids: bool = True) -> DataFrame:
+         window: int = WINDOW, with_ids: bool = True, targets: DataFrame | None = None) -> DataFrame:
     """Pieces ``(doc_id, start, length, ids_crc32, doc_tokens, sequence_id,
     offset, source, ids)`` of all documents in sequences of ``sequence`` ids.
 
@@ -116,7 +138,7 @@ def pack(docs: DataFrame, path: str | None = None, end_id: int = END_ID, sequenc
     """
     tokens = materialize(tokenized(docs, path, end_id).select(
         F.monotonically_increasing_id().alias("rid"), "*"), "tokens")
-    places = layout(tokens.select("rid", "source", "n"), window)
+    places = layout(tokens.select("rid", "source", "n"), window, targets)
     small_batches(docs.sparkSession)
     schema = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
               "sequence_id long, offset long, source string, ids binary")

@@ -63,3 +63,16 @@ def test_mixed_rows_follow_the_plan(spark):
 def test_empty(spark):
     docs = _docs(spark).where("false")
     assert mixing.mix_documents(docs).count() == 0 and mixing.mixed(docs).count() == 0
+
+
+def test_id_on_a_third_of_the_rows(spark, monkeypatch):
+    """A bucket that one id fills is cut, and the mix stays that of the SQL."""
+    rows = [(i, "w " * (i % 13 + 1), "ab"[i % 2]) for i in range(200)] + [(7, "w " * (i % 4 + 1), "a") for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    con = duckdb.connect()
+    con.register("documents", docs.toArrow())
+    want = sorted(con.execute(mixing.ORACLE).fetchall(), key=str)
+    monkeypatch.setattr(mixing, "HOT_ROWS", 20)
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 10)
+    got = sorted((tuple(r) for r in mixing.mix_documents(docs).collect()), key=str)
+    assert [w[:3] + w[4:] for w in want] == [g[:3] + g[4:] for g in got]

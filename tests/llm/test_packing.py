@@ -75,27 +75,74 @@ def test_awkward_rows(spark):
     assert packing.packed_pieces(docs.where("false")).count() == 0
 
 
-def test_deficits_in_closed_form(spark):
-    """The windows of documents are those of a serial deficit round-robin."""
-    import random
-    rng = random.Random(1)
-    rows = [(i, rng.choice("aab"), rng.randint(1, 400)) for i in range(600)]
-    df = spark.createDataFrame(rows, "rid bigint, source string, n bigint")
-    place = {r.rid: r.place for r in packing.layout(df, 1000).collect()}
-    order = sorted(rows, key=lambda r: place[r[0]])
-    total = sum(r[2] for r in rows)
-    queues = {s: [r for r in order if r[1] == s] for s in "ab"}
-    quantum = {s: 1000 * sum(r[2] for r in q) / total for s, q in queues.items()}
-    stream, deficit = [], dict.fromkeys("ab", 0.0)
+def serial(order, quantum):
+    """Row ids by a plain deficit round-robin over queues in ``order``, with
+    the round of each."""
+    queues = {s: [r for r in order if r[1] == s] for s in sorted(quantum)}
+    stream, deficit, turn = [], dict.fromkeys(queues, 0.0), 0
     while any(queues.values()):
-        for s in "ab":
+        turn += 1
+        for s, queue in queues.items():
             deficit[s] += quantum[s]
-            while queues[s] and queues[s][0][2] <= deficit[s] + 1e-6:
-                r = queues[s].pop(0)
+            while queue and queue[0][2] <= deficit[s] + 1e-6:
+                r = queue.pop(0)
                 deficit[s] -= r[2]
-                stream.append(r)
-    assert [r[0] for r in stream] == [r[0] for r in order]
+                stream.append((r[0], turn))
+    return stream
+
+
+def _rows(seed, sources):
+    import random
+    rng = random.Random(seed)
+    return [(i, rng.choice(sources), rng.randint(1, 400)) for i in range(600)]
+
+
+def _layout(spark, rows, targets=None):
+    df = spark.createDataFrame(rows, "rid bigint, source string, n bigint")
+    if targets is not None:
+        targets = spark.createDataFrame(targets, "source string, weight double")
+    place = {r.rid: r.place for r in packing.layout(df, 1000, targets).collect()}
+    order = sorted(rows, key=lambda r: place[r[0]])
     at = 0
     for r in order:
         assert place[r[0]] == at
         at += r[2]
+    return order
+
+
+def test_deficits_in_closed_form(spark, monkeypatch):
+    """The windows of documents are those of a serial deficit round-robin."""
+    monkeypatch.setattr(packing, "BUCKET_ROWS", 5)
+    rows = _rows(1, "aab")
+    order, total = _layout(spark, rows), sum(r[2] for r in rows)
+    quantum = {s: 1000 * sum(r[2] for r in rows if r[1] == s) / total for s in "ab"}
+    assert [x for x, _ in serial(order, quantum)] == [r[0] for r in order]
+
+
+def test_chosen_targets(spark):
+    """Windows follow the targets until a queue ends, then the others' ones;
+    a source without a target keeps its share."""
+    rows = _rows(2, "aaabbc")
+    order, total = _layout(spark, rows, [("a", 1.0), ("b", 3.0), ("none", 5.0)]), sum(r[2] for r in rows)
+    size = {s: sum(r[2] for r in rows if r[1] == s) for s in "abc"}
+    both = (size["a"] + size["b"]) / total
+    quantum = {"a": 250 * both, "b": 750 * both, "c": 1000 * size["c"] / total}
+    stream = serial(order, quantum)
+    assert [x for x, _ in stream] == [r[0] for r in order]
+    by_id = {r[0]: r for r in rows}
+    end = max(t for x, t in stream if by_id[x][1] == "b")
+    sent = dict.fromkeys("abc", 0)
+    for x, t in stream:
+        if t < end:
+            sent[by_id[x][1]] += by_id[x][2]
+    # a deficit is always less than the largest document
+    assert all(abs(sent[s] - (end - 1) * quantum[s]) <= 400 for s in "abc")
+    assert max(t for _, t in stream) > end  # others go on
+
+
+def test_targets_that_cannot_be(spark):
+    import pytest
+    rows = _rows(3, "ab")
+    for wrong in ([("a", 0.0)], [("a", None)], [("a", 1.0), ("a", 2.0)]):
+        with pytest.raises(ValueError):
+            _layout(spark, rows, wrong)
