@@ -77,6 +77,18 @@ def with_row(docs: DataFrame, *content: str) -> DataFrame:
             .select(*KEY, ROW))
 
 
+def smallest_hashes(ids: DataFrame, n: int, most: int) -> DataFrame:
+    """Up to ``most`` of the ``n`` rows of ``ids``, those of the smallest
+    hashes in its column ``h`` (then ``doc_id``).
+
+    Hashes are even, so a limit on them that about twice ``most`` rows keep
+    goes first, and no more than those meet in one task."""
+    share = 2 * most / max(n, 1)
+    if share < 1:
+        ids = ids.where(F.col("h") < F.lit(-(1 << 63) + int((1 << 64) * share)))
+    return ids.orderBy("h", "doc_id").limit(most)
+
+
 def running(rows: DataFrame, order: list, **sums: Column) -> DataFrame:
     """Adds, for each of ``sums``, its sum over all rows that come earlier in
     ``order``, which must be total.

@@ -21,9 +21,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cofreq.llm.common import small_batches
+from cofreq.llm.common import small_batches, smallest_hashes
 from cofreq.llm.textfeatures import sigmoid
 from cofreq.llm.toxicity import held_out
+from cofreq.session import materialize
 
 #: Bounds of the samples, in documents: labelled and unlabelled.
 MAX_LABELLED, MAX_UNLABELLED = 6_000, 12_000
@@ -189,10 +190,11 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
     labels of a document the larger counts."""
     able = F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
     known = labels.where(able & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    ids = docs.select("doc_id").where(able).distinct().withColumn("h", F.xxhash64("doc_id"))
-    picked = [some.orderBy("h", "doc_id").limit(most).select("doc_id", label.alias("label")) for some, label, most in (
-        (ids.join(known, "doc_id"), F.col("quality").cast("int"), max_labelled),
-        (ids.join(known, "doc_id", "left_anti"), F.lit(-1), max_unlabelled))]
+    ids = materialize(docs.select("doc_id").where(able).distinct().join(known, "doc_id", "left").select(
+        "doc_id", F.xxhash64("doc_id").alias("h"), F.coalesce(F.col("quality").cast("int"), F.lit(-1)).alias("label")), "ids")
+    n, n_labelled = ids.agg(F.count(F.lit(1)), F.count_if(F.col("label") >= 0)).first()
+    picked = [smallest_hashes(some, count, most).select("doc_id", "label") for some, count, most in (
+        (ids.where("label >= 0"), n_labelled, max_labelled), (ids.where("label < 0"), n - n_labelled, max_unlabelled))]
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -43,6 +43,9 @@ THRESHOLD = 8.0
 #: Weight of single characters where a transition is rare.
 BACKOFF = 10.0
 
+#: Tokens of a text that are looked up in a list.
+LISTED = 32
+
 _CHUNK = 128
 
 
@@ -209,6 +212,26 @@ def own_samples(docs: DataFrame) -> DataFrame:
             .withColumn("n", F.when(F.col("label") == 1, F.lit(1).cast("long")).otherwise(F.col("n"))))
 
 
+def _touches(start: Column, end: Column) -> Column:
+    """Whether a base span overlaps the place.  Spans of one kind lie apart, so
+    the first that ends behind ``start`` is found by halving."""
+    def of_kind(spans: Column) -> Column:
+        steps = F.sequence(F.lit(1), F.ceil(F.log2(F.size(spans) + 1)).cast("int"))
+        span = F.struct(F.lit(0).alias("low"), F.size(spans).alias("high"))
+
+        def halve(acc: Column, _: Column) -> Column:
+            mid = F.floor((acc["low"] + acc["high"]) / 2).cast("int")
+            left = (acc["low"] < acc["high"]) & (F.get(spans, mid)["end"] > start)
+            right = (acc["low"] < acc["high"]) & ~left
+            return F.struct(F.when(right, mid + 1).otherwise(acc["low"]).alias("low"),
+                            F.when(left, mid).otherwise(acc["high"]).alias("high"))
+
+        first = F.aggregate(steps, span, halve, lambda acc: acc["low"])
+        return F.coalesce(F.get(spans, first)["start"] < end, F.lit(False))
+
+    return F.exists("__by_kind", of_kind)
+
+
 def _random_spans(run: Column, ratio: list[float], threshold: float) -> Column:
     """Spans of a token: itself if it reaches ``threshold`` and touches no base
     span, else its stretches of whole pieces that do.
@@ -216,9 +239,6 @@ def _random_spans(run: Column, ratio: list[float], threshold: float) -> Column:
     A stretch starts anew where its sum falls below zero, and ends at its
     highest sum once that is reached and lost again by as much as
     ``threshold``, so a second random string gets a span of its own."""
-    def touches(start: Column, end: Column) -> Column:
-        return F.exists("__base", lambda b: (b["start"] < end) & (start < b["end"]))
-
     def span(start: Column, end: Column) -> Column:
         return F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"), F.lit(3).alias("kind"),
                         F.substring(run["value"], start - run["start"] + 1, end - start).alias("value"))
@@ -240,7 +260,7 @@ def _random_spans(run: Column, ratio: list[float], threshold: float) -> Column:
 
     def step(acc: Column, x: Column) -> Column:
         end = acc["at"] + x["piece"]
-        barred = (x["piece"] == 0) | touches(acc["at"], end)
+        barred = (x["piece"] == 0) | _touches(acc["at"], end)
         upto = acc["sum"] + x["inner"]
         anew = barred | ~acc["open"] | (acc["sum"] < 0) | (
             (acc["high"] >= threshold) & (acc["high"] - upto >= threshold))
@@ -254,7 +274,7 @@ def _random_spans(run: Column, ratio: list[float], threshold: float) -> Column:
             F.when(higher, total).otherwise(acc["high"]).alias("high"),
             F.when(anew, closed(acc)).otherwise(acc["spans"]).alias("spans"))
 
-    whole = ~touches(run["start"], run["end"]) & (log_ratio(run["value"], ratio) >= threshold)
+    whole = ~_touches(run["start"], run["end"]) & (log_ratio(run["value"], ratio) >= threshold)
     return F.when(whole, F.array(span(run["start"], run["end"]))).otherwise(F.filter(
         F.aggregate(parts, first, step, closed), lambda s: s["value"].rlike("[A-Za-z]")))
 
@@ -268,16 +288,26 @@ def with_spans(matches: DataFrame, ratio: list[float], threshold: float = THRESH
     # no shorter token can reach the threshold
     most = max(ratio)
     least = 2 + max(0, math.ceil(threshold / most) - 1) if most > 0 else 2
+    def may_be(v: Column) -> Column:
+        return (F.char_length(v) >= least) & v.rlike("[A-Za-z]")
+
+    def holds(v: Column) -> Column:
+        return F.when(v.rlike("[+/_=-]"), _best_stretch(v, ratio)).otherwise(log_ratio(v, ratio)) >= threshold
+
     tokens = F.filter(F.array_distinct(F.regexp_extract_all(
-        F.coalesce("text", F.lit("")), F.lit(TOKEN), F.lit(0))),
-        lambda v: (F.char_length(v) >= least) & v.rlike("[A-Za-z]"))
-    found = matches.withColumn("__hot", F.filter(tokens, lambda v: F.when(
-        v.rlike("[+/_=-]"), _best_stretch(v, ratio)).otherwise(log_ratio(v, ratio)) >= threshold))
+        F.coalesce("text", F.lit("")), F.lit(TOKEN), F.lit(0))), may_be)
+    found = matches.withColumn("__hot", F.filter(tokens, holds))
     found = _with_kind(found, "__runs", TOKEN, 3, F.size("__hot") > 0)
-    random = F.flatten(F.transform(
-        F.filter("__runs", lambda r: F.array_contains("__hot", r["value"])),
-        lambda r: _random_spans(r, ratio, threshold)))
-    return found.withColumn("__spans", _by_place(F.concat("__base", random))).drop("__hot", "__runs")
+
+    def of_kind(kind: int) -> Column:
+        return F.filter("__base", lambda b: b["kind"] == kind)
+
+    found = found.withColumn("__by_kind", F.filter(F.array(*map(of_kind, range(3))), lambda x: F.size(x) > 0))
+    # a long list is not searched for each token: the token is scored again
+    hot = F.filter("__runs", lambda r: F.when(F.size("__hot") <= LISTED, F.array_contains("__hot", r["value"]))
+                   .otherwise(may_be(r["value"]) & holds(r["value"])))
+    random = F.flatten(F.transform(hot, lambda r: _random_spans(r, ratio, threshold)))
+    return found.withColumn("__spans", _by_place(F.concat("__base", random))).drop("__hot", "__runs", "__by_kind")
 
 
 def _text_of(spans: Column) -> Column:

@@ -18,8 +18,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cofreq.llm.common import small_batches
+from cofreq.llm.common import small_batches, smallest_hashes
 from cofreq.llm.textfeatures import SLOTS, Rows, sigmoid, word_slots
+from cofreq.session import materialize
 
 #: Bounds of the training sample, in documents.
 MAX_POSITIVE, MAX_UNLABELLED = 2_000, 6_000
@@ -111,10 +112,12 @@ def train(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
         error = (share * (1 - share) / max(n, 1)) ** 0.5
         prior = max(share - 2 * error, share / 2)
     ids = docs.select("doc_id").where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).distinct()
-    ids = ids.withColumn("h", F.xxhash64("doc_id"))
-    toxic = ids.join(known.where("toxic = 1"), "doc_id", "left_semi")
-    picked = [some.orderBy("h", "doc_id").limit(most).select("doc_id", F.lit(flag).alias("positive"))
-              for some, flag, most in ((toxic, True, max_positive), (ids, False, max_unlabelled))]
+    ids = materialize(ids.join(known.where("toxic = 1"), "doc_id", "left")
+                      .select("doc_id", F.xxhash64("doc_id").alias("h"), F.col("toxic").isNotNull().alias("toxic")), "ids")
+    n, n_toxic = ids.agg(F.count(F.lit(1)), F.count_if("toxic")).first()
+    picked = [smallest_hashes(some, count, most).select("doc_id", F.lit(flag).alias("positive"))
+              for some, count, flag, most in ((ids.where("toxic"), n_toxic, True, max_positive),
+                                              (ids, n, False, max_unlabelled))]
     small_batches(docs.sparkSession)
 
     def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -227,3 +227,34 @@ def test_markov_spans_of_a_whole_table(spark):
         assert got == plain_markov(texts[r.doc_id], ratio), r.doc_id
         n += len(got)
     assert n > 100
+
+
+def test_a_text_of_many_secrets(spark):
+    """A long text has the spans of its lines, and each line's places; long
+    lists of random tokens and base spans of every kind are in it."""
+    import string
+    rng = random.Random(4)
+    signs = string.ascii_letters + string.digits
+
+    def word(n, of=signs):
+        return "".join(rng.choices(of, k=n))
+
+    def line(i):
+        return [f"plain words {word(30)} and password = {word(20)}", f"token={word(24, '0123456789abcdef')} words",
+                f"AKIA{word(18, string.ascii_uppercase)} plain {word(28)}/words/{word(26)}",
+                f"{word(30, '0123456789abcdef')} plain {word(25)}"][i % 4]
+
+    samples = spark.createDataFrame(
+        [(word(24), 1) for _ in range(200)] + [(w, 0) for w in "plain words and token password".split()] * 50,
+        "value string, label int")
+    lines = [line(i) for i in range(160)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(lines)] + [(-1, " ".join(lines))], "doc_id bigint, text string")
+    out = {r.doc_id: r.spans for r in secrets.find_secrets(docs, samples).collect()}
+    want, at = [], 0
+    for i, text in enumerate(lines):
+        for one in out[i].split(","):
+            kind, start, end = one.split(":")
+            want.append(f"{kind}:{int(start) + at}:{int(end) + at}")
+        at += len(text) + 1
+    assert sum(x.startswith("markov") for x in want) > 100
+    assert out[-1] == ",".join(want)

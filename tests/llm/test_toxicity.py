@@ -74,3 +74,15 @@ def test_a_repeated_id_is_one_row_of_the_sample(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "fit", lambda positive, unlabelled, prior: seen.append((positive, unlabelled)))
     toxicity.train(docs, labels)
     assert [len(r) for r in seen[0]] == [1, 1]
+
+
+def test_picks_are_the_smallest_hashes(spark):
+    """The limit on hashes that goes first changes no pick."""
+    from pyspark.sql import functions as F
+
+    from cofreq.llm.common import smallest_hashes
+    ids = spark.range(20000).select(F.col("id").alias("doc_id"), F.xxhash64("id").alias("h"))
+    want = {r.doc_id for r in ids.orderBy("h", "doc_id").limit(300).collect()}
+    assert {r.doc_id for r in smallest_hashes(ids, 20000, 300).collect()} == want
+    assert smallest_hashes(ids, 20000, 20000).count() == 20000
+    assert smallest_hashes(ids.where("false"), 0, 300).count() == 0
