@@ -57,7 +57,8 @@ def _measure_hot(left: DataFrame, right: DataFrame | None, keys: list[str],
 
 
 def _blocked_join(left: DataFrame, right: DataFrame, keys: list[str], hot: DataFrame,
-                  left_spread: Sequence[str], right_spread: Sequence[str]) -> DataFrame:
+                  left_spread: Sequence[str], right_spread: Sequence[str],
+                  parts: int | None = None) -> DataFrame:
     def blocked(side: DataFrame, own: str, other: str, spread: Sequence[str],
                 own_blk: str, other_blk: str) -> DataFrame:
         n_own = F.coalesce(F.col(own), F.lit(1))
@@ -69,7 +70,12 @@ def _blocked_join(left: DataFrame, right: DataFrame, keys: list[str], hot: DataF
 
     lb = blocked(left, "_nl", "_nr", left_spread, "_bl", "_br")
     rb = blocked(right, "_nr", "_nl", right_spread, "_br", "_bl")
-    return lb.join(rb, keys + ["_bl", "_br"], "inner").drop("_bl", "_br")
+    cell = keys + ["_bl", "_br"]
+    return _dealt(lb, parts, cell).join(_dealt(rb, parts, cell), cell, "inner").drop("_bl", "_br")
+
+
+def _dealt(side: DataFrame, parts: int | None, keys: list[str]) -> DataFrame:
+    return side.repartition(parts, *keys) if parts else side
 
 
 def group_join(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
@@ -77,7 +83,7 @@ def group_join(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
                condition: Column | None = None,
                max_group: int = DEFAULT_MAX_GROUP,
                same_sizes: bool = False,
-               check_hot: bool = True) -> DataFrame:
+               check_hot: bool = True, parts: int | None = None) -> DataFrame:
     """Inner join of ``left`` and ``right`` on ``keys`` (plus ``condition``)
     in which no task holds more than about ``2 * max_group`` rows of a key.
 
@@ -85,15 +91,18 @@ def group_join(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
     (e.g. the item); their hash picks a row's block.  ``same_sizes`` says the
     two sides have equal group sizes (a self-join), so sizes are measured
     once.  ``check_hot=False`` skips the measurement when the caller has
-    already proven every group is small.
+    already proven every group is small.  ``parts`` is the number of
+    partitions to join in, where the caller knows how many rows meet; by default
+    Spark decides, which knows the bytes that are shuffled but not what a row
+    meets.
     """
     keys = list(keys)
     hot = _measure_hot(left, None if same_sizes else right, keys, max_group) \
         if check_hot else None
     if hot is None:
-        joined = left.join(right, keys, "inner")
+        joined = _dealt(left, parts, keys).join(_dealt(right, parts, keys), keys, "inner")
     else:
-        joined = _blocked_join(left, right, keys, hot, left_spread, right_spread)
+        joined = _blocked_join(left, right, keys, hot, left_spread, right_spread, parts)
     return joined.where(condition) if condition is not None else joined
 
 

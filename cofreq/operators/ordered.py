@@ -11,6 +11,10 @@ extending by an item at a later position and taking the minimum keeps it
 earliest.  Items have codes and positions are numbers, so every aggregate hashes
 fixed-width keys.  The extension is a skew-safe join on ``tid`` with ``position >
 end`` (no per-basket arrays).
+
+Every step is dealt to as many partitions as its counted rows need,
+so a task's sorts and hash tables hold about ``TASK_ROWS`` rows whatever the
+input's size and the session's number of shuffle partitions.
 """
 
 from __future__ import annotations
@@ -31,6 +35,16 @@ from .prepare import ordered_baskets
 from .support import (basket_stats, distinct_rows, frequent, item_support, keep_items,
                       min_count)
 
+# Rows that a step sorts or hashes in one task, and the most rows that one row
+# counts as when it meets several others.
+TASK_ROWS, MOST_MET = 1 << 18, 128
+
+
+def partitions(rows: int, met: float = 1) -> int:
+    """Partitions for ``rows`` rows that meet ``met`` others each.  A basket
+    stays whole in a partition, or in the blocks of :func:`group_join`."""
+    return max(1, math.ceil(rows * min(max(met, 1), MOST_MET) / TASK_ROWS))
+
 
 def ordered_patterns(rows: DataFrame, min_support, *, tid: str = "tid", item: str = "item",
                      order: Sequence[str] = ("ts",), max_len: int | None = None,
@@ -44,31 +58,41 @@ def ordered_patterns(rows: DataFrame, min_support, *, tid: str = "tid", item: st
     the events are written).  Rows with a null transaction id or item are
     dropped; ``n_baskets`` see :func:`support.prepare`.
     """
-    # A distributed sort by the order alone: the ids of its rows rise with it, so
-    # one number per event compares as the order does.  Written once and fixed.
+    # A distributed sort by the order: the ids of its rows rise with it, so one
+    # number per event compares as the order does.  The transaction cuts ties that
+    # would fill a task.  Written once and fixed.
     store = Store(rows.sparkSession)
-    ev, _ = store.write(_events(rows, tid, item).orderBy(*order).select(
+    columns = list(dict.fromkeys([tid, item, *order]))
+    raw, n = store.write(_events(rows, tid, item).select(*columns), "ordered-rows")
+    by = [*order, tid]
+    ev, n = store.write(raw.repartitionByRange(partitions(n), *by).sortWithinPartitions(*by).select(
         tid, item, F.monotonically_increasing_id().alias("pos")), "ordered-events")
-    stats = basket_stats(ev, tid)  # baskets and the longest sequence, one job
+    release(raw)
+    whole = ev.repartition(partitions(n), tid)
+    stats = basket_stats(whole, tid)  # baskets and the longest sequence, one job
     m = min_count(min_support, stats.n_baskets if n_baskets is None else n_baskets)
     stop = max_len
     if report == "exact_k" and k is not None:
         stop = k if stop is None else min(stop, k)
 
-    counts = item_support(distinct_rows(ev, tid, item), tid, item, already_distinct=True)
+    counts = item_support(distinct_rows(whole, tid, item), tid, item, already_distinct=True)
     l1, size = store.write(frequent(counts, m).withColumn("node", F.monotonically_increasing_id()),
                            "ordered-level-1")
     levels = [l1.select(F.array(item).alias("pattern"), "support")]
     if size == 0:
         release(ev)
         return _result(levels, report, k)
-    coded, _ = store.write(join_listed(ev, l1.select(item, "node"), item, "inner")
+    coded, n = store.write(join_listed(ev, l1.select(item, "node"), item, "inner")
                            .select(tid, F.col("node").alias("next"), F.col("pos").alias("npos")),
                            "ordered-coded")
     release(ev)
     names = l1.select(F.col("node").alias("next"), F.col(item).alias("_name"))
     nodes = l1.select("node", F.array(item).alias("pattern"))
-    occ = coded.groupBy(tid, F.col("next").alias("node")).agg(F.min("npos").alias("end"))
+    # an event of a sequence of length L is followed by L / 2 others
+    met = stats.n_cells / max(1, stats.n_rows) / 2
+    parts = partitions(n, met)
+    occ = (coded.repartition(parts, tid).groupBy(tid, F.col("next").alias("node"))
+           .agg(F.min("npos").alias("end")))
     made, level = None, 1
     while stop is None or level < stop:
         # a sequence of length L holds at most C(L, k) distinct k-patterns, so
@@ -77,10 +101,10 @@ def ordered_patterns(rows: DataFrame, min_support, *, tid: str = "tid", item: st
         check = longest > max_group or math.comb(longest, level) > max_group
         ext = group_join(occ, coded, [tid], left_spread=["node"], right_spread=["npos"],
                          condition=F.col("npos") > F.col("end"), max_group=max_group,
-                         check_hot=check)
+                         check_hot=check, parts=parts)
         cand = ext.groupBy(tid, "node", "next").agg(F.min("npos").alias("end"))
         # the earliest ends are counted and, where frequent, joined with their level
-        cand, _ = store.write(cand, f"ordered-ends-{level + 1}")
+        cand, n = store.write(cand, f"ordered-ends-{level + 1}")
         found = frequent(cand.groupBy("node", "next").agg(F.count(F.lit(1)).alias("support")), m)
         lv, size = store.write(
             found.join(nodes, "node").join(names, "next")
@@ -95,6 +119,7 @@ def ordered_patterns(rows: DataFrame, min_support, *, tid: str = "tid", item: st
         level += 1
         nodes = lv.select("node", "pattern")
         keys = lv.select("parent", "next", F.col("node").alias("_node"))
+        parts = partitions(n, met)
         occ = (join_listed(cand.withColumnRenamed("node", "parent"), keys, ["parent", "next"], "inner", bound=size)
                .select(tid, F.col("_node").alias("node"), "end"))
     release(made, coded)

@@ -57,6 +57,8 @@ class BasketStats:
     n_baskets: int
     max_basket: int
     n_rows: int = 0
+    #: Sum of the baskets' squared sizes: the pairs of rows that meet.
+    n_cells: int = 0
 
 
 def basket_stats(rows: DataFrame, tid: str = "tid") -> BasketStats:
@@ -64,8 +66,8 @@ def basket_stats(rows: DataFrame, tid: str = "tid") -> BasketStats:
     job (AGG-13)."""
     sizes = rows.groupBy(tid).agg(F.count(F.lit(1)).alias("_size"))
     r = sizes.agg(F.count(F.lit(1)).alias("n"), F.max("_size").alias("m"),
-                  F.sum("_size").alias("r")).first()
-    return BasketStats(int(r["n"] or 0), int(r["m"] or 0), int(r["r"] or 0))
+                  F.sum("_size").alias("r"), F.sum(F.col("_size").cast("double") * F.col("_size")).alias("c")).first()
+    return BasketStats(int(r["n"] or 0), int(r["m"] or 0), int(r["r"] or 0), int(r["c"] or 0))
 
 
 @dataclass(frozen=True)

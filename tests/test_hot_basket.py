@@ -5,8 +5,12 @@ import random
 from collections import Counter
 from itertools import combinations
 
+from pyspark.sql import functions as F
+
+from cofreq.operators import ordered
 from cofreq.operators.apriori import apriori
 from cofreq.operators.eclat import eclat
+from cofreq.operators.groupjoin import group_join
 from cofreq.operators.ordered import ordered_patterns
 
 from conftest import as_dict
@@ -61,3 +65,20 @@ def test_hot_sequence_is_split_and_exact(spark):
     got = {tuple(r["pattern"]): r["support"] for r in
            ordered_patterns(rows, 5, order=("pos",), max_len=2, max_group=8).collect()}
     assert got == want
+
+
+def test_ordered_steps_are_dealt_by_their_rows(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = spark.createDataFrame([(t, rng.randrange(8), p) for t in range(400) for p in range(6)], "tid int, item int, pos int")
+    mine = lambda: {tuple(r["pattern"]): r["support"] for r in ordered_patterns(rows, 5, order=("pos",), max_len=3).collect()}
+    want, largest = mine(), []
+
+    def watched(*args, **kw):
+        out = group_join(*args, **kw)
+        largest.append(max(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()))
+        return out
+    monkeypatch.setattr(ordered, "TASK_ROWS", 100, raising=False)
+    monkeypatch.setattr(ordered, "group_join", watched)
+    assert mine() == want
+    # 6000 pairs of an event and a later one
+    assert len(largest) == 2 and max(largest) < 600
