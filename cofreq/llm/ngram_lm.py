@@ -1,7 +1,7 @@
 """Language-model scoring with sharded Elias-Fano n-gram tries.
 
 The model is an interpolated trigram model with absolute discounting (the
-discount of an order is ``n1 / (n1 + 2 n2)`` of the shard's counts) over the
+discount of an order is ``n1 / (n1 + 2 n2)`` of all training counts) over the
 add-half unigram distribution.  Words are numbered by descending count.
 
 A shard holds all n-grams of the middle words that hash to it, as a trie whose
@@ -21,8 +21,11 @@ all of them, and only sums per text come back.  Sums are whole numbers of 1e-6,
 so reruns agree.
 
 A word so frequent that its n-grams would overfill a task is dealt to several
-shards by the text's hash: its contexts are then estimated within each class of
-texts, every one from about ``SHARD`` occurrences.
+shards by the hash of the words around it.  What such a shard lacks, how often
+its pairs occur anywhere and with how many thirds, is added up in buckets and
+handed back, like the counts that discounts need, before any trie is built.  So
+the model is that of the whole corpus, and how its n-grams are dealt changes no
+score.
 """
 
 from __future__ import annotations
@@ -61,8 +64,11 @@ def _decode(code: np.ndarray) -> np.ndarray:
     return np.where(code == NONE, 0.0, np.exp2(code.astype(np.float64) / -STEPS))
 
 
-def _discount(counts: np.ndarray) -> float:
-    once, twice = int((counts == 1).sum()), int((counts == 2).sum())
+def _rare(counts: np.ndarray) -> tuple[int, int]:
+    return int((counts == 1).sum()), int((counts == 2).sum())
+
+
+def _discount(once: int, twice: int) -> float:
     return min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
 
 
@@ -72,37 +78,55 @@ def _ranges(owner: np.ndarray, n: int) -> np.ndarray:
 
 def _chained(children: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Children of all ranges as one increasing sequence: a range starts one
-    past the last value of the range before it.  No range is empty."""
-    last = children[at[1:] - 1] + 1
-    base = np.concatenate([[0], np.cumsum(last)[:-1]]) if len(last) else np.zeros(0, np.int64)
-    return children + np.repeat(base, np.diff(at))
-
-
-def build_trie(w1: np.ndarray, w2: np.ndarray, w3: np.ndarray, times: np.ndarray) -> bytes:
-    """The image of a trie of the trigrams ``w1 w2 w3``, seen ``times`` each."""
-    words, i2 = np.unique(w2, return_inverse=True)
-    size = int(max(w1.max(initial=0), w3.max(initial=0))) + 1
-    keys, bi = np.unique(i2 * size + w3, return_inverse=True)
-    owner, follows = np.divmod(keys, size)
-    bi_at = _ranges(owner, len(words))
-    bi_count = np.bincount(bi, times, len(keys))
-    of_word = np.bincount(i2, times, len(words))
-    place = bi - bi_at[i2]
-    keys, ctx = np.unique(i2 * size + w1, return_inverse=True)
-    owner2, before = np.divmod(keys, size)
-    ctx_at = _ranges(owner2, len(words))
-    of_ctx = np.bincount(ctx, times, len(keys))
-    n_ctx, width = len(keys), int(place.max(initial=0)) + 1
+    past the last value of the range before it."""
+    last = np.zeros(len(at) - 1, np.int64)
+    some = np.diff(at) > 0
+    last[some] = children[at[1:][some] - 1] + 1
+    return children + np.repeat(np.cumsum(last) - last, np.diff(at))
+
+
+def build_trie(w1: np.ndarray, w2: np.ndarray, w3: np.ndarray, times: np.ndarray,
+               rare: tuple[int, int, int, int] | None = None, whole: tuple | None = None) -> bytes:
+    """The image of a trie of the trigrams ``w1 w2 w3``, seen ``times`` each.
+
+    ``rare``: how many pairs, then trigrams, the whole corpus has once and
+    twice; by default as in these trigrams.  ``whole``: for trigrams of one
+    middle word that are not all of its own, the word, its count, how many
+    words follow it, the followers and their counts, and the words before it,
+    their counts and how many thirds each of these contexts has."""
+    if whole is None:
+        words, i2 = np.unique(w2, return_inverse=True)
+        size = int(max(w1.max(initial=0), w3.max(initial=0))) + 1
+        keys, bi = np.unique(i2 * size + w3, return_inverse=True)
+        owner, follows = np.divmod(keys, size)
+        bi_at = _ranges(owner, len(words))
+        bi_count = np.bincount(bi, times, len(keys))
+        of_word = np.bincount(i2, times, len(words))
+        n_follows = np.diff(bi_at)
+        place = bi - bi_at[i2]
+        keys, ctx = np.unique(i2 * size + w1, return_inverse=True)
+        owner2, before = np.divmod(keys, size)
+        ctx_at = _ranges(owner2, len(words))
+        of_ctx = np.bincount(ctx, times, len(keys))
+    else:
+        word, of_word, n_follows, follows, bi_count, before, of_ctx, n_thirds = whole
+        words, owner = np.array([word], np.int64), np.zeros(len(follows), np.int64)
+        bi_at, ctx_at = np.array([0, len(follows)]), np.array([0, len(before)])
+        place, ctx = np.searchsorted(follows, w3), np.searchsorted(before, w1)
+    n_ctx, width = len(before), int(place.max(initial=0)) + 1
     keys, tri = np.unique(ctx * width + place, return_inverse=True)
     owner3, third = np.divmod(keys, width)
     tri_at = _ranges(owner3, n_ctx)
     tri_count = np.bincount(tri, times, len(keys))
-    d2, d3 = _discount(bi_count), _discount(tri_count)
+    if whole is None:
+        n_thirds = np.diff(tri_at)
+    rare = rare or (*_rare(bi_count), *_rare(tri_count))
+    d2, d3 = _discount(*rare[:2]), _discount(*rare[2:])
     levels = {"words": words, "bi_at": bi_at, "bi": _chained(follows, bi_at), "ctx_at": ctx_at,
               "ctx": _chained(before, ctx_at), "tri_at": tri_at, "tri": _chained(third, tri_at)}
     arrays = {f"{name}.{part}": a for name, level in levels.items() for part, a in encode(level).items()}
-    arrays |= {"p2": _code((bi_count - d2) / of_word[owner]), "b2": _code(d2 * np.diff(bi_at) / of_word),
-               "p3": _code((tri_count - d3) / of_ctx[owner3]), "b3": _code(d3 * np.diff(tri_at) / of_ctx)}
+    arrays |= {"p2": _code((bi_count - d2) / (of_word[owner] if whole is None else of_word)), "b2": _code(np.atleast_1d(d2 * n_follows / of_word)),
+               "p3": _code((tri_count - d3) / of_ctx[owner3]), "b3": _code(d3 * n_thirds / of_ctx)}
     return image(arrays)
 
 
@@ -149,11 +173,18 @@ class Trie:
     def _children(self, level: str, i: np.ndarray, x: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """:meth:`_child` of many: places, which were found, and the ranges' starts."""
         at, values = self.levels[level + "_at"].values(), self.levels[level].values()
-        base = np.concatenate([[0], values[at[1:-1] - 1] + 1])
+        if not len(values):
+            return np.zeros(len(i), np.int64), np.zeros(len(i), bool), at[i]
+        base = np.where(at[:-1] > 0, values[at[:-1] - 1] + 1, 0)
         target = base[i] + x
         found = np.minimum(np.searchsorted(values, target), len(values) - 1)
         return found, known & (values[found] == target) & (found < at[i + 1]) & (found >= at[i]), at[i]
 
+    def _values(self, name: str, at: np.ndarray, some: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(at))
+        out[some] = _decode(self.codes[name][at[some]])
+        return out
+
     def probabilities(self, w1: np.ndarray, w2: np.ndarray, w3: np.ndarray, p1: np.ndarray) -> np.ndarray:
         """:meth:`probability` of many n-grams; levels are read one at a time."""
         words = self.levels["words"].values()
@@ -162,16 +193,16 @@ class Trie:
         i = np.minimum(np.searchsorted(words, w2), len(words) - 1)
         known = words[i] == w2
         bi, two, start = self._children("bi", i, w3, known)
-        p = np.where(known, _decode(self.codes["b2"][i]) * p1 + np.where(two, _decode(self.codes["p2"][bi]), 0), p1)
+        p = np.where(known, self._values("b2", i, known) * p1 + self._values("p2", bi, two), p1)
         ctx, has = self._children("ctx", i, w1, known)[:2]
         ctx = np.where(has, ctx, 0)
         tri, three, _ = self._children("tri", ctx, np.where(two, bi - start, 0), has & two)
-        return np.where(has, _decode(self.codes["b3"][ctx]) * p + np.where(three, _decode(self.codes["p3"][tri]), 0), p)
+        return np.where(has, self._values("b3", ctx, has) * p + self._values("p3", tri, three), p)
 
 
 #: Rows of two kinds: a batch without a bucket, and its words of one bucket.
 _BATCH = ("batch bigint, bucket int, doc_ids array<bigint>, held array<boolean>, texts array<int>, sizes array<int>, "
-          "times array<int>, classes array<bigint>, tokens binary, words binary, counts binary")
+          "times array<int>, tokens binary, words binary, counts binary")
 
 
 def _record(schema: str, values: tuple) -> pa.RecordBatch:
@@ -187,7 +218,7 @@ def _record(schema: str, values: tuple) -> pa.RecordBatch:
 
 
 def _batches(limit: int, buckets: int):
-    def close(docs, sizes, times, classes, words, tokens):
+    def close(docs, sizes, times, words, tokens):
         tokens, sizes, times = np.concatenate(tokens), np.array(sizes), np.array(times)
         counts = np.bincount(tokens, np.repeat(times, sizes), len(words)).astype(np.int64)
         # words are numbered by bucket, so answers of the buckets fit together
@@ -197,14 +228,14 @@ def _batches(limit: int, buckets: int):
         number[old] = np.arange(len(words))
         ids, held, texts = zip(*docs)
         batch = uuid.uuid4().int >> 65
-        yield _record(_BATCH, (batch, None, ids, held, texts, sizes, times, classes, pack(number[tokens]), None, None))
+        yield _record(_BATCH, (batch, None, ids, held, texts, sizes, times, pack(number[tokens]), None, None))
         cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1), len(words)]
         for lo, hi in zip(cuts, cuts[1:]):
             raw = zstandard.ZstdCompressor(level=1).compress(b"\n".join(o[1] for o in ordered[lo:hi]))
-            yield _record(_BATCH, (batch, int(bucket[lo]), *[None] * 7, raw, pack(counts[old[lo:hi]])))
+            yield _record(_BATCH, (batch, int(bucket[lo]), *[None] * 6, raw, pack(counts[old[lo:hi]])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs, sizes, times, classes, words, tokens, seen, held_tokens = [], [], [], [], {}, [], {}, 0
+        docs, sizes, times, words, tokens, seen, held_tokens = [], [], [], {}, [], {}, 0
         for batch in batches:
             for doc_id, held, text in zip(*batch.columns):
                 held, text = held.as_py(), text.as_py().lower()
@@ -217,15 +248,14 @@ def _batches(limit: int, buckets: int):
                     tokens.append(np.array([words.setdefault(w, len(words)) for w in found], np.int32))
                     sizes.append(len(found))
                     times.append(0)
-                    classes.append(int.from_bytes(key[:7], "little"))
                     held_tokens += len(found)
                 times[at] += not held
                 docs.append((doc_id.as_py(), held, at))
                 if held_tokens >= limit:
-                    yield from close(docs, sizes, times, classes, words, tokens)
-                    docs, sizes, times, classes, words, tokens, seen, held_tokens = [], [], [], [], {}, [], {}, 0
+                    yield from close(docs, sizes, times, words, tokens)
+                    docs, sizes, times, words, tokens, seen, held_tokens = [], [], [], {}, [], {}, 0
         if docs:
-            yield from close(docs, sizes, times, classes, words, tokens)
+            yield from close(docs, sizes, times, words, tokens)
     return run
 
 
@@ -292,22 +322,26 @@ class _Unigrams:
         return (counts + 0.5) / (self.tokens + 0.5 * (self.words + 1))
 
 
+def _mixed(a: np.ndarray) -> np.ndarray:
+    # multiplicative hashing spreads neighbouring numbers
+    return ((a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64)
+
+
 class _Shards:
     """The shard of an n-gram: by its middle word, and for hot words (the first
-    numbers, with their counts) by the text's class too."""
+    numbers, with their counts) by the words around it too."""
 
     def __init__(self, tokens: int, hot: list[int], size: int):
         self.plain = max(1, -(-tokens // size))
         self.parts = np.array([-(-c // size) for c in hot], np.int64)
         self.first = self.plain + np.cumsum(self.parts) - self.parts
+        self.total = self.plain + int(self.parts.sum())
 
-    def of(self, w2: np.ndarray, classes: np.ndarray) -> np.ndarray:
-        # multiplicative hashing spreads neighbouring numbers
-        mixed = (w2.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
-        out = (mixed % np.uint64(self.plain)).astype(np.int64)
+    def of(self, w1: np.ndarray, w2: np.ndarray, w3: np.ndarray) -> np.ndarray:
+        out = _mixed(w2) % self.plain
         hot = (w2 > 0) & (w2 <= len(self.parts))
         at = w2[hot] - 1
-        out[hot] = self.first[at] + classes[hot] % self.parts[at]
+        out[hot] = self.first[at] + _mixed(_mixed(w1[hot]) + w3[hot]) % self.parts[at]
         return out
 
 
@@ -326,7 +360,7 @@ def _send(shared):
         for batch in batches:
             for r in range(batch.num_rows):
                 row = {n: batch.column(n)[r].as_py() for n in ("batch", "doc_ids", "held", "texts", "tokens")}
-                sizes, times, classes = (np.array(batch.column(n)[r].values, np.int64) for n in ("sizes", "times", "classes"))
+                sizes, times = (np.array(batch.column(n)[r].values, np.int64) for n in ("sizes", "times"))
                 answers = sorted(batch.column("known")[r].as_py(), key=lambda a: a["bucket"])
                 local = np.concatenate([unpack(a["ids"]) for a in answers])
                 w3 = local[unpack(row["tokens"])]
@@ -343,7 +377,7 @@ def _send(shared):
                                       row["texts"], sizes, np.bincount(text, counts > 0, len(sizes)).astype(np.int64),
                                       np.bincount(text, np.log10(p1), len(sizes)), own))
                 at = np.flatnonzero(~alone)
-                shard = shards.of(w2[at], classes[text[at]])
+                shard = shards.of(w1[at], w2[at], w3[at])
                 order = np.argsort(shard, kind="stable")
                 at, shard = at[order], shard[order]
                 packed = pack(times)
@@ -359,18 +393,100 @@ _ANSWER = ("batch bigint, text binary, sums array<bigint>, doc_ids array<bigint>
            "sizes array<int>, known array<int>, base array<double>, own array<bigint>")
 
 
-def _answer(shared):
-    """One shard: its trie from the training texts' n-grams, then sums per text."""
+def _empty(schema: str) -> pa.Table:
+    return pa.Table.from_batches([_record(schema, (None,) * (schema.count(",") + 1))]).slice(0, 0)
+
+
+def _ngrams(table: pa.Table) -> tuple[list[list[np.ndarray]], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A shard's rows, and all their n-grams with the training texts' times."""
+    parts = [[unpack(table.column(n)[i].as_py()) for n in ("text", "w1", "w2", "w3", "times")] for i in range(table.num_rows)]
+    w1, w2, w3 = (np.concatenate([p[c] for p in parts]) for c in (1, 2, 3))
+    return parts, w1, w2, w3, np.concatenate([p[4][p[0]] for p in parts])
+
+
+#: Counts by pair of a shard that holds some of a hot word's n-grams, a bucket
+#: at a time; or, of ``word`` 0, what a shard adds to the counts of all.  Keys
+#: are twice the following word, or twice the word before and 1.
+_PAIRS = "shard bigint, word bigint, bucket bigint, keys binary, counts binary, thirds binary, sums array<bigint>"
+
+
+def _pairs(shared):
+    """What one shard knows of its pairs and rare n-grams."""
     def run(table: pa.Table) -> pa.Table:
+        if table.column("text").null_count:
+            return _empty(_PAIRS)
+        _, shards = shared.value
+        shard = table.column("shard")[0].as_py()
+        _, w1, w2, w3, times = _ngrams(table)
+        train = times > 0
+        size = int(max(w1.max(), w3.max())) + 1
+        words, i2 = np.unique(w2, return_inverse=True)
+        bi, bi_at = np.unique(i2[train] * size + w3[train], return_inverse=True)
+        tri, tri_at = np.unique(bi_at * size + w1[train], return_inverse=True)
+        tri_count = np.bincount(tri_at, times[train], len(tri))
+        rare = _rare(np.bincount(bi_at, times[train], len(bi))) if shard < shards.plain else (0, 0)
+        out = [_record(_PAIRS, (None, 0, shard % 64, None, None, None, [*rare, *_rare(tri_count), 0]))]
+        if shard >= shards.plain:
+            keys, at = np.unique(np.concatenate([w3 * 2, w1 * 2 + 1]), return_inverse=True)
+            counts = np.bincount(at, np.concatenate([times, times]), len(keys)).astype(np.int64)
+            # every trigram lies in one shard, so its contexts' thirds add up
+            thirds = np.bincount(np.searchsorted(keys, tri % size * 2 + 1), None, len(keys))
+            word = int(words[0])
+            bucket = _mixed(keys) % shards.parts[word - 1]
+            order = np.argsort(bucket, kind="stable")
+            for some in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+                out.append(_record(_PAIRS, (shard, word, int(bucket[some[0]]), pack(keys[some]), pack(counts[some]), pack(thirds[some]), None)))
+        return pa.Table.from_batches(out)
+    return run
+
+
+def _added(table: pa.Table) -> pa.Table:
+    """A bucket's counts of all shards for each that asked, and what they add
+    to the counts of all: pairs and trigrams once and twice, followers."""
+    word, bucket = (table.column(n)[0].as_py() for n in ("word", "bucket"))
+    if not word:
+        sums = np.sum(np.array(table.column("sums").to_pylist(), np.int64), axis=0)
+        return pa.Table.from_batches([_record(_PAIRS, (None, 0, bucket, None, None, None, sums))])
+    asked = [unpack(k.as_py()) for k in table.column("keys")]
+    keys, at = np.unique(np.concatenate(asked), return_inverse=True)
+    counts, thirds = (np.bincount(at, np.concatenate([unpack(x.as_py()) for x in table.column(n)]), len(keys)).astype(np.int64)
+                      for n in ("counts", "thirds"))
+    follows = counts[keys % 2 == 0]
+    out = [_record(_PAIRS, (None, word, bucket, None, None, None, [*_rare(follows), 0, 0, int((follows > 0).sum())]))]
+    for shard, some in zip(table.column("shard").to_pylist(), asked):
+        i = np.searchsorted(keys, some)
+        out.append(_record(_PAIRS, (shard, word, bucket, pack(some), pack(counts[i]), pack(thirds[i]), None)))
+    return pa.Table.from_batches(out)
+
+
+_ANSWER = ("batch bigint, text binary, sums array<bigint>, doc_ids array<bigint>, held array<boolean>, texts array<int>, "
+           "sizes array<int>, known array<int>, base array<double>, own array<bigint>")
+
+
+def _answer(shared):
+    """One shard: its trie from the training texts' n-grams and the counts of
+    all, then sums per text."""
+    def run(table: pa.Table, counted: pa.Table) -> pa.Table:
         names = [c.split()[0] for c in _ANSWER.split(", ")]
+        if not table.num_rows:
+            return _empty(_ANSWER)
         if table.column("text").null_count:
             return table.append_column("sums", pa.nulls(table.num_rows, pa.list_(pa.int64()))).select(names)
-        uni, _ = shared.value
-        parts = [[unpack(table.column(n)[i].as_py()) for n in ("text", "w1", "w2", "w3", "times")] for i in range(table.num_rows)]
-        w1, w2, w3 = (np.concatenate([p[c] for p in parts]) for c in (1, 2, 3))
-        times = np.concatenate([p[4][p[0]] for p in parts])
+        uni, shards = shared.value
+        parts, w1, w2, w3, times = _ngrams(table)
         train = times > 0
-        trie = Trie(build_trie(w1[train], w2[train], w3[train], times[train]))
+        rare = counted.filter(counted.column("rare").is_valid()).to_pylist()[0]
+        whole = None
+        if table.column("shard")[0].as_py() >= shards.plain:
+            given = counted.filter(counted.column("keys").is_valid())
+            keys, counts, thirds = (np.concatenate([unpack(x.as_py()) for x in given.column(n)]) for n in ("keys", "counts", "thirds"))
+            order = np.argsort(keys)
+            order = order[counts[order] > 0]
+            keys, counts, thirds = keys[order], counts[order], thirds[order]
+            after, word = keys % 2 == 0, int(w2[0])
+            n_follows = rare["follows"][rare["words"].index(word)]
+            whole = (word, int(uni.count(w2[:1])[0]), n_follows, keys[after] // 2, counts[after], keys[~after] // 2, counts[~after], thirds[~after])
+        trie = Trie(build_trie(w1[train], w2[train], w3[train], times[train], rare["rare"], whole))
         fixed = _fixed(trie.probabilities(w1, w2, w3, uni.probability(uni.count(w3))))
         out, at = [], 0
         for i, p in enumerate(parts):
@@ -382,6 +498,25 @@ def _answer(shared):
     return run
 
 
+def _scored(spark, sent: DataFrame, shared, shards: _Shards) -> DataFrame:
+    """Sums per text from the n-grams by shard.  All of it is one query, so the
+    n-grams are shuffled once and read twice."""
+    parts = min(shards.total, max(int(spark.conf.get("spark.sql.shuffle.partitions")), shards.total // 8))
+    sent = sent.repartition(parts, "shard")
+    added = (sent.groupBy("shard").applyInArrow(_pairs(shared), _PAIRS)
+             .groupBy("word", "bucket").applyInArrow(_added, _PAIRS))
+    by_word = (added.where("sums IS NOT NULL").groupBy("word")
+               .agg(*[F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(5)]))
+    # one row; at most N / shard words are hot
+    of_all = by_word.agg(F.array(*[F.sum(f"s{i}") for i in range(4)]).alias("rare"),
+                         F.collect_list(F.struct("word", "s4")).alias("hot"))
+    every = (spark.range(shards.total).crossJoin(F.broadcast(of_all))
+             .select(F.col("id").alias("shard"), "rare", F.col("hot.word").alias("words"), F.col("hot.s4").alias("follows")))
+    counted = added.where("shard IS NOT NULL").select("shard", "keys", "counts", "thirds").unionByName(every, allowMissingColumns=True)
+    return (sent.groupBy("shard").cogroup(counted.repartition(parts, "shard").groupBy("shard"))
+            .applyInArrow(_answer(shared), _ANSWER))
+
+
 _SCORE = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
 
@@ -431,11 +566,13 @@ def score_documents(docs: DataFrame, batch: int = BATCH, shard: int = SHARD) ->
     hot = [n for n, several in steps if n > shard for _ in range(several)]
     tokens = batches.select(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     uni = _Unigrams(steps)
-    shared = spark.sparkContext.broadcast((uni, _Shards(tokens, hot, shard)))
+    shards = _Shards(tokens, hot, shard)
+    shared = spark.sparkContext.broadcast((uni, shards))
     before = Window.partitionBy("n").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = tally.select("bucket", "n", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("before"))
     known = (words.groupBy("bucket").cogroup(offsets.groupBy("bucket"))
              .applyInArrow(_number(shared), "batch bigint, bucket int, ids binary")
              .groupBy("batch").agg(F.collect_list(F.struct("bucket", "ids")).alias("known")))
-    return (batches.join(known, "batch").mapInArrow(_send(shared), _SENT).groupBy("shard").applyInArrow(_answer(shared), _ANSWER)
+    sent = batches.join(known, "batch").mapInArrow(_send(shared), _SENT)
+    return (_scored(spark, sent, shared, shards)
             .groupBy("batch").applyInArrow(_gather(uni.tokens), _SCORE))

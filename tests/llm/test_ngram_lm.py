@@ -80,6 +80,32 @@ def test_trie_against_dictionaries(tmp_path):
     assert ngram_lm.Trie(ngram_lm.build_trie(none, none, none, none)).probabilities(*asked.T, p1).tolist() == p1.tolist()
 
 
+def test_trie_of_some_of_a_words_trigrams():
+    """Counts of the whole corpus stand in for what a shard lacks, to the last bit."""
+    rng = np.random.default_rng(3)
+    w1, w3 = rng.integers(1, 12, (2, 3000)) ** 2 % 90
+    w2, times = np.full(3000, 5), rng.integers(1, 3, 3000)
+    tri = np.unique(np.stack([w1, w3], 1), axis=0, return_inverse=True)
+    count = lambda a: (np.unique(a), np.bincount(np.unique(a, return_inverse=True)[1], times).astype(np.int64))
+    (after, n_after), (before, n_before) = count(w3), count(w1)
+    thirds = np.array([(tri[0][:, 0] == b).sum() for b in before])
+    rare = (3, 4, *ngram_lm._rare(np.bincount(tri[1].ravel(), times)))
+    full = ngram_lm.Trie(ngram_lm.build_trie(w1, w2, w3, times, rare))
+    p1 = rng.random(3000)
+    want = full.probabilities(w1, w2, w3, p1)
+    for mine in ((w1 + w3) % 3 == 0, np.zeros(3000, bool)):
+        for b, a in ((np.ones(len(before), bool), np.ones(len(after), bool)), (before < 0, after < 0)):
+            whole = (5, int(times.sum()), len(after), after[a], n_after[a], before[b], n_before[b], thirds[b])
+            if mine.any() and not b.any():
+                continue
+            trie = ngram_lm.Trie(ngram_lm.build_trie(w1[mine], w2[mine], w3[mine], times[mine], rare, whole))
+            got = trie.probabilities(w1, w2, w3, p1)
+            if b.any():
+                assert (got[mine] == want[mine]).all()
+            else:  # words that follow it nowhere
+                assert np.allclose(got, ngram_lm._discount(3, 4) * len(after) / times.sum() * p1, rtol=1e-3)
+
+
 def brute(rows):
     tokens = [[*(t or "").encode().lower().split(), END] for _, t in rows]
     held = [zlib.crc32(str(i).encode()) % 5 == 1 if i is not None else False for i, _ in rows]
@@ -139,3 +165,14 @@ def test_hot_words_are_dealt_and_the_model_predicts_held_out_texts(spark):
         assert sum(r.score for r in got) > 0.85 * sum(r.base_score for r in got)
     again = {r.doc_id: r.score for r in ngram_lm.score_documents(docs, shard=5000).collect() if r.held_out}
     assert again == {r.doc_id: r.score for r in got}
+
+
+def test_scores_do_not_follow_how_n_grams_are_dealt(spark):
+    rng = random.Random(4)
+    rows = [(i, " ".join(f"w{min(int(rng.paretovariate(0.7)), 60)}" for _ in range(rng.randint(0, 40)))) for i in range(150)]
+    rows += [(i, "w1 w2 w1 " * 30) for i in range(150, 160)]
+    one = run(spark, rows)
+    compare(one, brute(rows))
+    # hot words in many shards, texts in many batches: not one digit changes
+    for kw in ({"shard": 40}, {"shard": 300, "batch": 200}):
+        assert sorted(run(spark, rows, **kw)) == sorted(one)
