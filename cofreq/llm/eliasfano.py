@@ -23,7 +23,9 @@ def encode(values: np.ndarray) -> dict[str, np.ndarray]:
     n = len(v)
     top = int(v[-1]) if n else 0
     low = max(0, (max(top, 1) // max(n, 1)).bit_length() - 1)
-    bits = ((v[:, None] >> np.arange(low)) & 1).astype(np.uint8)
+    width = -(-low // 8)
+    raw = v.astype("<i8").view(np.uint8).reshape(n, 8)[:, :width]
+    bits = np.unpackbits(raw, axis=1, count=low, bitorder="little") if low else raw
     ones = (v >> low) + np.arange(n)
     high = np.zeros((int(ones[-1]) + 1) if n else 0, np.uint8)
     high[ones] = 1
@@ -44,8 +46,10 @@ class EliasFano:
         out = (ones - np.arange(self.n)) << self.low
         if self.low:
             bits = np.unpackbits(self._low, bitorder="little", count=self.n * self.low).reshape(self.n, self.low)
-            for i in range(self.low):
-                out |= bits[:, i].astype(np.int64) << i
+            raw = np.packbits(bits, axis=1, bitorder="little")
+            low = np.zeros((self.n, 8), np.uint8)
+            low[:, :raw.shape[1]] = raw
+            out |= low.view("<i8").ravel()
         return out
 
     def get(self, i: int) -> int:

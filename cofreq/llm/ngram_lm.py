@@ -14,11 +14,12 @@ sequence and a child is found by a successor search in its range.  Discounted
 probabilities and interpolation weights are 16-bit codes of their logarithms.
 
 Texts are cut into batches of about ``BATCH`` tokens; equal texts of a batch
-are kept once.  A batch's distinct words and their counts go to hash buckets,
-which add them up, number them and answer.  Then each batch sends every shard
-its n-grams, a shard builds its trie from those of training texts and answers
-all of them, and only sums per text come back.  Sums are whole numbers of 1e-6,
-so reruns agree.
+are kept once.  Arrow finds and numbers the words of a batch; its distinct
+words and their counts go to hash buckets, which add them up, number them and
+answer.  Then each batch sends every shard its n-grams, a shard sorts them,
+builds its trie from those of training texts and answers each distinct one
+once, in order, so that searches stay near each other.  Only sums per text come
+back, whole numbers of 1e-6, so reruns agree.
 
 A word so frequent that its n-grams would overfill a task is dealt to several
 shards by the hash of the words around it.  What such a shard lacks, how often
@@ -35,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
@@ -44,8 +46,9 @@ from cofreq.llm.common import pack, small_batches, unpack
 from cofreq.llm.eliasfano import EliasFano, encode, image, mapped, views
 from cofreq.session import materialize
 
-#: Tokens of a batch; n-grams of a shard; text bytes for each bucket of words.
-BATCH, SHARD, BUCKET_BYTES = 1_000_000, 1_000_000, 16 << 20
+#: Tokens of a batch; n-grams of a shard; text bytes for each bucket of words,
+#: and of texts that are cut into words at once.
+BATCH, SHARD, BUCKET_BYTES, TEXT_BYTES = 1_000_000, 1_000_000, 16 << 20, 4 << 20
 #: The token after the last word; no word holds a blank.
 END = b" "
 #: Codes of a factor of two; the code of probability 0.
@@ -72,6 +75,23 @@ def _discount(once: int, twice: int) -> float:
     return min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
 
 
+def _starts(run: np.ndarray) -> np.ndarray:
+    """Where the runs of equal values start."""
+    return np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
+
+
+def _ranks(values: np.ndarray) -> np.ndarray:
+    """The places of sorted values among the distinct ones."""
+    return np.concatenate([[0], np.cumsum(values[1:] != values[:-1])])
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys and which of them each key is; sorted keys are not sorted again."""
+    if len(keys) and (keys[1:] >= keys[:-1]).all():
+        return keys[_starts(keys)], _ranks(keys)
+    return np.unique(keys, return_inverse=True)
+
+
 def _ranges(owner: np.ndarray, n: int) -> np.ndarray:
     return np.searchsorted(owner, np.arange(n + 1)).astype(np.int64)
 
@@ -95,16 +115,16 @@ def build_trie(w1: np.ndarray, w2: np.ndarray, w3: np.ndarray, times: np.ndarray
     words follow it, the followers and their counts, and the words before it,
     their counts and how many thirds each of these contexts has."""
     if whole is None:
-        words, i2 = np.unique(w2, return_inverse=True)
+        words, i2 = _distinct(w2)
         size = int(max(w1.max(initial=0), w3.max(initial=0))) + 1
-        keys, bi = np.unique(i2 * size + w3, return_inverse=True)
+        keys, bi = _distinct(i2 * size + w3)
         owner, follows = np.divmod(keys, size)
         bi_at = _ranges(owner, len(words))
         bi_count = np.bincount(bi, times, len(keys))
         of_word = np.bincount(i2, times, len(words))
         n_follows = np.diff(bi_at)
         place = bi - bi_at[i2]
-        keys, ctx = np.unique(i2 * size + w1, return_inverse=True)
+        keys, ctx = _distinct(i2 * size + w1)
         owner2, before = np.divmod(keys, size)
         ctx_at = _ranges(owner2, len(words))
         of_ctx = np.bincount(ctx, times, len(keys))
@@ -114,7 +134,7 @@ def build_trie(w1: np.ndarray, w2: np.ndarray, w3: np.ndarray, times: np.ndarray
         bi_at, ctx_at = np.array([0, len(follows)]), np.array([0, len(before)])
         place, ctx = np.searchsorted(follows, w3), np.searchsorted(before, w1)
     n_ctx, width = len(before), int(place.max(initial=0)) + 1
-    keys, tri = np.unique(ctx * width + place, return_inverse=True)
+    keys, tri = _distinct(ctx * width + place)
     owner3, third = np.divmod(keys, width)
     tri_at = _ranges(owner3, n_ctx)
     tri_count = np.bincount(tri, times, len(keys))
@@ -217,13 +237,39 @@ def _record(schema: str, values: tuple) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=names)
 
 
+def _cut(texts: pa.Array) -> Iterator[tuple[pa.Array, np.ndarray, list[bytes]]]:
+    """The words of some texts at a time, where each text's words end among
+    them, and the texts; A-Z lower-cased."""
+    # bytes as they come, valid or not
+    texts = texts.view(pa.large_string() if pa.types.is_large_binary(texts.type) else pa.string())
+    part = np.cumsum(pc.binary_length(texts).to_numpy()) // TEXT_BYTES
+    cuts = [*np.flatnonzero(np.diff(part, prepend=-1)), len(texts)]
+    for lo, hi in zip(cuts, cuts[1:]):
+        lower = pc.ascii_lower(texts.slice(lo, hi - lo))
+        lists = pc.ascii_split_whitespace(lower)
+        # white space at either end of a text leaves an empty word there
+        found = pc.greater(pc.binary_length(lists.values), 0)
+        ends = np.concatenate([[0], np.cumsum(found.to_numpy(zero_copy_only=False))])[lists.offsets.to_numpy()[1:]]
+        binary = pa.large_binary() if pa.types.is_large_string(texts.type) else pa.binary()
+        # many words of a batch may come to more than 2 GB
+        yield lists.values.filter(found).cast(pa.large_string()), ends, lower.view(binary).to_pylist()
+
+
 def _batches(limit: int, buckets: int):
-    def close(docs, sizes, times, words, tokens):
-        tokens, sizes, times = np.concatenate(tokens), np.array(sizes), np.array(times)
+    def close(docs, sizes, times, tokens):
+        coded, sizes, times = pa.concat_arrays(tokens).dictionary_encode(), np.array(sizes), np.array(times)
+        words = pa.concat_arrays([coded.dictionary.view(pa.large_binary()), pa.array([END], pa.large_binary())])
+        last = np.zeros(sizes.sum(), bool)
+        last[np.cumsum(sizes) - 1] = True
+        tokens = np.full(len(last), len(words) - 1)
+        tokens[~last] = coded.indices.to_numpy()
         counts = np.bincount(tokens, np.repeat(times, sizes), len(words)).astype(np.int64)
         # words are numbered by bucket, so answers of the buckets fit together
-        ordered = sorted((xxhash.xxh32_intdigest(w, 7) % buckets, w, i) for w, i in words.items())
-        bucket, old = (np.array([o[c] for o in ordered]) for c in (0, 2))
+        old = pc.sort_indices(words).to_numpy()
+        ordered = words.take(pa.array(old)).to_numpy(zero_copy_only=False).tolist()
+        bucket = np.array([xxhash.xxh32_intdigest(w, 7) % buckets for w in ordered])
+        by_bucket = np.argsort(bucket, kind="stable")
+        old, bucket, ordered = old[by_bucket], bucket[by_bucket], [ordered[i] for i in by_bucket.tolist()]
         number = np.empty(len(words), np.int64)
         number[old] = np.arange(len(words))
         ids, held, texts = zip(*docs)
@@ -231,52 +277,51 @@ def _batches(limit: int, buckets: int):
         yield _record(_BATCH, (batch, None, ids, held, texts, sizes, times, pack(number[tokens]), None, None))
         cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1), len(words)]
         for lo, hi in zip(cuts, cuts[1:]):
-            raw = zstandard.ZstdCompressor(level=1).compress(b"\n".join(o[1] for o in ordered[lo:hi]))
+            raw = zstandard.ZstdCompressor(level=1).compress(b"\n".join(ordered[lo:hi]))
             yield _record(_BATCH, (batch, int(bucket[lo]), *[None] * 6, raw, pack(counts[old[lo:hi]])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs, sizes, times, words, tokens, seen, held_tokens = [], [], [], {}, [], {}, 0
+        docs, sizes, times, tokens, seen, held_tokens = [], [], [], [], {}, 0
         for batch in batches:
-            for doc_id, held, text in zip(*batch.columns):
-                held, text = held.as_py(), text.as_py().lower()
-                key = xxhash.xxh3_128_digest(text)
-                at = seen.get(key)
-                if at is None:
-                    at = seen[key] = len(sizes)
-                    found = text.split()
-                    found.append(END)
-                    tokens.append(np.array([words.setdefault(w, len(words)) for w in found], np.int32))
-                    sizes.append(len(found))
-                    times.append(0)
-                    held_tokens += len(found)
-                times[at] += not held
-                docs.append((doc_id.as_py(), held, at))
-                if held_tokens >= limit:
-                    yield from close(docs, sizes, times, words, tokens)
-                    docs, sizes, times, words, tokens, seen, held_tokens = [], [], [], {}, [], {}, 0
+            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            for found, ends, texts in _cut(batch.column(2)):
+                start = 0
+                for end, text in zip(ends.tolist(), texts):
+                    doc_id, held = next(rows)
+                    key = xxhash.xxh3_128_digest(text)
+                    at = seen.get(key)
+                    if at is None:
+                        at = seen[key] = len(sizes)
+                        tokens.append(found.slice(start, end - start))
+                        sizes.append(end - start + 1)
+                        times.append(0)
+                        held_tokens += sizes[at]
+                    start = end
+                    times[at] += not held
+                    docs.append((doc_id, held, at))
+                    if held_tokens >= limit:
+                        yield from close(docs, sizes, times, tokens)
+                        docs, sizes, times, tokens, seen, held_tokens = [], [], [], [], {}, 0
         if docs:
-            yield from close(docs, sizes, times, words, tokens)
+            yield from close(docs, sizes, times, tokens)
     return run
 
 
-def _lists(table: pa.Table) -> Iterator[tuple[list[bytes], np.ndarray]]:
-    for words, counts in zip(table.column("words"), table.column("counts")):
-        yield zstandard.ZstdDecompressor().decompress(words.as_py()).split(b"\n"), unpack(counts.as_py())
-
-
-def _totals(table: pa.Table) -> dict[bytes, int]:
-    """Training counts of a bucket's words, words of other texts left out."""
-    total: dict[bytes, int] = {}
-    for words, counts in _lists(table):
-        for w, n in zip(words, counts.tolist()):
-            if n:
-                total[w] = total.get(w, 0) + n
-    return total
+def _totals(table: pa.Table) -> tuple[pa.Array, np.ndarray, list[np.ndarray]]:
+    """A bucket's distinct words, their training counts, and each row's words
+    by their places among them."""
+    lists = [pc.split_pattern(pa.array([zstandard.ZstdDecompressor().decompress(w.as_py())], pa.large_binary()), b"\n").values
+             for w in table.column("words")]
+    coded = pa.concat_arrays(lists).dictionary_encode()
+    places = coded.indices.to_numpy()
+    total = np.bincount(places, np.concatenate([unpack(n.as_py()) for n in table.column("counts")]), len(coded.dictionary))
+    return coded.dictionary, total.astype(np.int64), np.split(places, np.cumsum([len(x) for x in lists])[:-1])
 
 
 def _tally(table: pa.Table) -> pa.Table:
-    """How many words of a bucket have each count."""
-    counts, words = np.unique(np.array(list(_totals(table).values()), np.int64), return_counts=True)
+    """How many words of a bucket have each count, words of other texts left out."""
+    total = _totals(table)[1]
+    counts, words = np.unique(total[total > 0], return_counts=True)
     bucket = pa.array(np.full(len(counts), table.column("bucket")[0].as_py()), pa.int32())
     return pa.table([bucket, pa.array(counts), pa.array(words)], names=["bucket", "n", "words"])
 
@@ -287,12 +332,16 @@ def _number(shared):
     count in lower buckets."""
     def run(table: pa.Table, offsets: pa.Table) -> pa.Table:
         uni, _ = shared.value
-        at = dict(zip(offsets.column("n").to_pylist(), offsets.column("before").to_pylist()))
-        number = {}
-        for w, n in sorted(_totals(table).items()):
-            number[w] = int(uni.first(n)) + at[n]
-            at[n] += 1
-        ids = [pack(np.array([number.get(w, 0) for w in words], np.int64)) for words, _ in _lists(table)]
+        words, total, places = _totals(table)
+        some = pc.sort_indices(words).to_numpy()
+        some = some[total[some] > 0]
+        some = some[np.argsort(total[some], kind="stable")]
+        counts, n = np.unique(total[some], return_counts=True)
+        by_count = np.argsort(offsets.column("n").to_numpy())
+        first = uni.first(counts) + offsets.column("before").to_numpy()[by_count]
+        number = np.zeros(len(words), np.int64)
+        number[some] = np.arange(len(some)) + np.repeat(first - (np.cumsum(n) - n), n)
+        ids = [pack(number[p]) for p in places]
         return pa.table([table.column("batch"), table.column("bucket"), pa.array(ids, pa.binary())], names=["batch", "bucket", "ids"])
     return run
 
@@ -309,7 +358,7 @@ class _Unigrams:
         self.tokens, self.words = int((self.counts * sizes).sum()), int(sizes.sum())
         self.start = self.words + 1
 
-    def first(self, count: int) -> int:
+    def first(self, count: np.ndarray) -> np.ndarray:
         return self.firsts[len(self.counts) - 1 - np.searchsorted(self.counts[::-1], count)]
 
     def count(self, ids: np.ndarray) -> np.ndarray:
@@ -349,10 +398,6 @@ _SENT = ("shard bigint, batch bigint, text binary, w1 binary, w2 binary, w3 bina
          "held array<boolean>, texts array<int>, sizes array<int>, known array<int>, base array<double>, own array<bigint>")
 
 
-def _fixed(p: np.ndarray) -> np.ndarray:
-    return np.rint(np.log10(p) * UNIT)
-
-
 def _send(shared):
     """Every batch's n-grams by shard, and one row with what needs no shard."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -363,22 +408,24 @@ def _send(shared):
                 sizes, times = (np.array(batch.column(n)[r].values, np.int64) for n in ("sizes", "times"))
                 answers = sorted(batch.column("known")[r].as_py(), key=lambda a: a["bucket"])
                 local = np.concatenate([unpack(a["ids"]) for a in answers])
-                w3 = local[unpack(row["tokens"])]
+                tokens = unpack(row["tokens"])
+                w3 = local[tokens]
                 text = np.repeat(np.arange(len(sizes)), sizes)
                 place = np.arange(len(w3)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                counts = uni.count(w3)
-                p1 = uni.probability(counts)
+                counts = uni.count(local)
+                p1 = np.log10(uni.probability(counts))[tokens]
                 back = lambda n: np.where(place >= n, np.concatenate([np.zeros(n, np.int64), w3])[:len(w3)], uni.start)
                 w2, w1 = back(1), back(2)
                 # the first word, and words after unknown ones, have no context
                 alone = (place == 0) | (w2 == 0)
-                own = np.bincount(text[alone], _fixed(p1[alone]), len(sizes)).astype(np.int64)
+                own = np.bincount(text[alone], np.rint(p1[alone] * UNIT), len(sizes)).astype(np.int64)
                 yield _record(_SENT, (-1 - row["batch"], row["batch"], *[None] * 5, row["doc_ids"], row["held"],
-                                      row["texts"], sizes, np.bincount(text, counts > 0, len(sizes)).astype(np.int64),
-                                      np.bincount(text, np.log10(p1), len(sizes)), own))
+                                      row["texts"], sizes, np.bincount(text, (counts > 0)[tokens], len(sizes)).astype(np.int64),
+                                      np.bincount(text, p1, len(sizes)), own))
                 at = np.flatnonzero(~alone)
                 shard = shards.of(w1[at], w2[at], w3[at])
-                order = np.argsort(shard, kind="stable")
+                # a stable sort takes less time on numbers of 16 bits
+                order = np.argsort(shard.astype(np.min_scalar_type(shards.total)), kind="stable")
                 at, shard = at[order], shard[order]
                 packed = pack(times)
                 cuts = np.flatnonzero(np.diff(shard)) + 1
@@ -389,19 +436,28 @@ def _send(shared):
     return run
 
 
-_ANSWER = ("batch bigint, text binary, sums array<bigint>, doc_ids array<bigint>, held array<boolean>, texts array<int>, "
-           "sizes array<int>, known array<int>, base array<double>, own array<bigint>")
-
-
 def _empty(schema: str) -> pa.Table:
     return pa.Table.from_batches([_record(schema, (None,) * (schema.count(",") + 1))]).slice(0, 0)
 
 
-def _ngrams(table: pa.Table) -> tuple[list[list[np.ndarray]], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """A shard's rows, and all their n-grams with the training texts' times."""
+def _ngrams(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts of the n-grams of each row of a shard; all distinct n-grams in
+    the order of middle, first and last word, and how often training texts hold
+    them; and which of these every n-gram is."""
     parts = [[unpack(table.column(n)[i].as_py()) for n in ("text", "w1", "w2", "w3", "times")] for i in range(table.num_rows)]
     w1, w2, w3 = (np.concatenate([p[c] for p in parts]) for c in (1, 2, 3))
-    return parts, w1, w2, w3, np.concatenate([p[4][p[0]] for p in parts])
+    size = int(max(w1.max(), w2.max(), w3.max())) + 1
+    key = (w2 if size < 1 << 31 else np.unique(w2, return_inverse=True)[1]) * size + w1
+    order = np.argsort(key)
+    key = _ranks(key[order]) * size + w3[order]
+    again = np.argsort(key)
+    order, key = order[again], key[again]
+    starts = _starts(key)
+    which = np.empty(len(order), np.int64)
+    which[order] = _ranks(key)
+    times = np.add.reduceat(np.concatenate([p[4][p[0]] for p in parts])[order], starts)
+    first = order[starts]
+    return [p[0] for p in parts], w1[first], w2[first], w3[first], times, which
 
 
 #: Counts by pair of a shard that holds some of a hot word's n-grams, a bucket
@@ -417,21 +473,20 @@ def _pairs(shared):
             return _empty(_PAIRS)
         _, shards = shared.value
         shard = table.column("shard")[0].as_py()
-        _, w1, w2, w3, times = _ngrams(table)
+        _, w1, w2, w3, times, _ = _ngrams(table)
         train = times > 0
-        size = int(max(w1.max(), w3.max())) + 1
-        words, i2 = np.unique(w2, return_inverse=True)
-        bi, bi_at = np.unique(i2[train] * size + w3[train], return_inverse=True)
-        tri, tri_at = np.unique(bi_at * size + w1[train], return_inverse=True)
-        tri_count = np.bincount(tri_at, times[train], len(tri))
-        rare = _rare(np.bincount(bi_at, times[train], len(bi))) if shard < shards.plain else (0, 0)
-        out = [_record(_PAIRS, (None, 0, shard % 64, None, None, None, [*rare, *_rare(tri_count), 0]))]
+        rare = (0, 0)
+        if shard < shards.plain:
+            key = _ranks(w2) * (int(w3.max()) + 1) + w3
+            order = np.argsort(key)
+            rare = _rare(np.add.reduceat(times[order], _starts(key[order])))
+        out = [_record(_PAIRS, (None, 0, shard % 64, None, None, None, [*rare, *_rare(times[train]), 0]))]
         if shard >= shards.plain:
             keys, at = np.unique(np.concatenate([w3 * 2, w1 * 2 + 1]), return_inverse=True)
             counts = np.bincount(at, np.concatenate([times, times]), len(keys)).astype(np.int64)
             # every trigram lies in one shard, so its contexts' thirds add up
-            thirds = np.bincount(np.searchsorted(keys, tri % size * 2 + 1), None, len(keys))
-            word = int(words[0])
+            thirds = np.bincount(at[len(w3):][train], None, len(keys))
+            word = int(w2[0])
             bucket = _mixed(keys) % shards.parts[word - 1]
             order = np.argsort(bucket, kind="stable")
             for some in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
@@ -473,7 +528,7 @@ def _answer(shared):
         if table.column("text").null_count:
             return table.append_column("sums", pa.nulls(table.num_rows, pa.list_(pa.int64()))).select(names)
         uni, shards = shared.value
-        parts, w1, w2, w3, times = _ngrams(table)
+        parts, w1, w2, w3, times, which = _ngrams(table)
         train = times > 0
         rare = counted.filter(counted.column("rare").is_valid()).to_pylist()[0]
         whole = None
@@ -487,13 +542,14 @@ def _answer(shared):
             n_follows = rare["follows"][rare["words"].index(word)]
             whole = (word, int(uni.count(w2[:1])[0]), n_follows, keys[after] // 2, counts[after], keys[~after] // 2, counts[~after], thirds[~after])
         trie = Trie(build_trie(w1[train], w2[train], w3[train], times[train], rare["rare"], whole))
-        fixed = _fixed(trie.probabilities(w1, w2, w3, uni.probability(uni.count(w3))))
+        fixed = np.rint(np.log10(trie.probabilities(w1, w2, w3, uni.probability(uni.count(w3)))) * UNIT)[which]
         out, at = [], 0
-        for i, p in enumerate(parts):
-            some, inverse = np.unique(p[0], return_inverse=True)
-            sums = np.bincount(inverse, fixed[at:at + len(p[0])]).astype(np.int64)
-            at += len(p[0])
-            out.append(_record(_ANSWER, (table.column("batch")[i].as_py(), pack(some), sums, *[None] * 7)))
+        for i, text in enumerate(parts):
+            # a batch sends its texts in ascending order
+            starts = _starts(text)
+            sums = np.add.reduceat(fixed[at:at + len(text)], starts).astype(np.int64)
+            at += len(text)
+            out.append(_record(_ANSWER, (table.column("batch")[i].as_py(), pack(text[starts]), sums, *[None] * 7)))
         return pa.Table.from_batches(out)
     return run
 

@@ -2,10 +2,12 @@
 
 import math
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cofreq.llm import common, eliasfano, ngram_lm
@@ -176,3 +178,75 @@ def test_scores_do_not_follow_how_n_grams_are_dealt(spark):
     # hot words in many shards, texts in many batches: not one digit changes
     for kw in ({"shard": 40}, {"shard": 300, "batch": 200}):
         assert sorted(run(spark, rows, **kw)) == sorted(one)
+
+
+def words_of(texts):
+    out = []
+    for found, ends, lower in ngram_lm._cut(texts):
+        words = [w.as_buffer().to_pybytes() for w in found]
+        out += [(t, words[a:b]) for t, a, b in zip(lower, [0, *ends], ends)]
+    return out
+
+
+def test_words_are_those_of_bytes(monkeypatch):
+    rng = random.Random(5)
+    some = [bytes([i]) for i in range(256)] + [b" ", b"\n", b"\x0b", b"a", b"Z"] * 30
+    texts = [b"".join(rng.choices(some, k=rng.randint(0, 60))) for _ in range(500)] + [b"", b" ", b"\x1c \x85\xa0", b"x" * 3000]
+    for kind in (pa.binary(), pa.large_binary()):
+        for size in (ngram_lm.TEXT_BYTES, 100):
+            monkeypatch.setattr(ngram_lm, "TEXT_BYTES", size)
+            for part in (pa.array(texts, kind), pa.array(texts, kind).slice(100, 50), pa.array([], kind)):
+                assert words_of(part) == [(t.lower(), t.lower().split()) for t in part.to_pylist()]
+
+
+def test_batches_take_less_time_than_words_one_by_one():
+    rng = np.random.default_rng(6)
+    words = [b"w%d" % i for i in range(90_000)]
+    texts = [b" ".join(words[i] for i in row) for row in np.minimum(rng.zipf(1.2, (1500, 600)), 90_000) - 1]
+    n = len(texts)
+    table = pa.record_batch([pa.array(range(n)), pa.array([False] * n), pa.array(texts, pa.binary())], names=["doc_id", "held", "text"])
+
+    def one_by_one():
+        number = {}
+        for _ in range(2):
+            for t in texts:
+                np.array([number.setdefault(w, len(number)) for w in t.lower().split()], np.int32)
+
+    def seconds(work):
+        out = []
+        for _ in range(3):
+            start = time.process_time()
+            work()
+            out.append(time.process_time() - start)
+        return min(out)
+    # as a batch also sorts, hashes and packs: less than numbering alone takes twice
+    assert seconds(lambda: list(ngram_lm._batches(10**6, 1)(iter([table])))) < seconds(one_by_one)
+
+
+def test_a_trie_is_asked_each_n_gram_once_and_in_order(monkeypatch):
+    asked = []
+    plainly = ngram_lm.Trie.probabilities
+    monkeypatch.setattr(ngram_lm.Trie, "probabilities", lambda self, *a: asked.append(np.stack(a[:3], 1)) or plainly(self, *a))
+    uni = ngram_lm._Unigrams([(9, 40)])
+    rng = np.random.default_rng(7)
+    rows = []
+    for batch in range(3):
+        w1, w2, w3 = rng.integers(1, 9, (3, 2000))
+        text = np.sort(rng.integers(0, 5, 2000))
+        rows.append((0, batch, *(common.pack(a) for a in (text, w1, w2, w3, np.array([1, 0, 2, 1, 3]))), *[None] * 7))
+    table = pa.Table.from_batches([ngram_lm._record(ngram_lm._SENT, r) for r in rows])
+    counted = pa.table({"rare": pa.array([[1, 1, 1, 1]], pa.list_(pa.int64())), "keys": pa.array([None], pa.binary())})
+
+    class Shared:
+        value = uni, ngram_lm._Shards(100, [], 10**6)
+    got = ngram_lm._answer(Shared)(table, counted)
+    assert [common.unpack(t.as_py()).tolist() for t in got.column("text")] == [list(range(5))] * 3
+    grams = [(b, a, c) for a, b, c in asked[0].tolist()]
+    assert len(asked) == 1 and grams == sorted(set(grams))
+
+
+def test_sorted_keys_are_numbered_like_others():
+    rng = np.random.default_rng(8)
+    for keys in (np.zeros(0, np.int64), np.array([4]), np.array([1, 1, 2]), np.sort(rng.integers(0, 50, 300)), rng.integers(0, 50, 300)):
+        for got, want in zip(ngram_lm._distinct(keys), np.unique(keys, return_inverse=True)):
+            assert got.tolist() == want.tolist()
